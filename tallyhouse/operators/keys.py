@@ -2,7 +2,8 @@
 
 ``dense_key`` numbers the distinct rows of a DataFrame 1..n in sorted order, in parallel:
 
-1. range-partition by the sort columns and sort each partition (one shuffle);
+1. range-partition by the sort columns and sort each partition (one shuffle; AQE may merge
+   adjacent small ranges, which keeps the order);
 2. tag each row with ``monotonically_increasing_id`` (partition index in the high bits, position in
    the partition in the low bits) and checkpoint, so the layout is fixed for the passes below;
 3. count rows per partition (n rows out), turn the counts into starting offsets;
@@ -46,10 +47,10 @@ def dense_key(
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordering = _order([*group_cols, *order_cols])
+    ranged = df.repartitionByRange(num_partitions, *ordering) if num_partitions else df.repartitionByRange(*ordering)
     laid_out = (
-        df.repartitionByRange(n, *ordering)
+        ranged
         .sortWithinPartitions(*ordering)
         .withColumn(_ROW, F.monotonically_increasing_id())
         .checkpoint(eager=True)
@@ -57,20 +58,15 @@ def dense_key(
     tagged = laid_out.withColumn(_PART, F.shiftright(F.col(_ROW), 33)).withColumn(
         _POS, F.col(_ROW) - F.shiftleft(F.col(_PART), 33)
     )
-    counts = tagged.groupBy(_PART, *group_cols).agg(F.count(F.lit(1)).alias("_n"))
-    # one row per (partition, group): at most n x groups rows, a proven bound for the broadcast
+    # one row per (partition, group): its size and where the group starts inside the partition
+    counts = tagged.groupBy(_PART, *group_cols).agg(F.count(F.lit(1)).alias("_n"), F.min(_POS).alias("_first"))
+    # at most (#partitions x #groups) rows: a proven bound for the window and the broadcast
     before = Window.partitionBy(*group_cols).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
-        _PART, *group_cols, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias(_OFFSET)
+        _PART, *group_cols, "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias(_OFFSET)
     )
-    if group_cols:
-        # position inside the partition counts rows of earlier groups too; subtract them
-        first_pos = tagged.groupBy(_PART, *group_cols).agg(F.min(_POS).alias("_first"))
-        offsets = offsets.join(first_pos, [_PART, *group_cols])
-        pos = F.col(_POS) - F.col("_first")
-    else:
-        offsets = offsets.withColumn("_first", F.lit(0).cast("long"))
-        pos = F.col(_POS)
+    # position inside the partition counts rows of earlier groups too; subtract them
+    pos = F.col(_POS) - F.col("_first")
     keyed = tagged.join(F.broadcast(offsets), [_PART, *group_cols]).withColumn(
         key_col, (F.col(_OFFSET) + pos + 1).cast("int")
     )

@@ -5,13 +5,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# (plan hash, input files, bound) -> within bound. Only plans over files are remembered: a
+# rewritten table has new part files, so its key changes and it is counted again.
+_CHECKED: dict[tuple[int, tuple[str, ...], int], bool] = {}
+
+
+def within_rows(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    Runs ``limit(max_rows + 1).count()``, which stops after ``max_rows + 1`` rows, so it is
+    cheap for the small, materialised tables it is meant for.
+    """
+    files = tuple(sorted(df.inputFiles()))
+    key = (df.semanticHash(), files, max_rows) if files else None
+    if key is not None and key in _CHECKED:
+        return _CHECKED[key]
+    ok = df.limit(max_rows + 1).count() <= max_rows
+    if key is not None:
+        _CHECKED[key] = ok
+    return ok
+
 
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """Return ``broadcast(df)`` when ``df`` provably has at most ``max_rows`` rows, else ``df``.
 
-    The check runs ``limit(max_rows + 1).count()``: it stops after ``max_rows + 1`` rows, so it is
-    cheap for the small, materialised tables it is meant for. Above the bound the join is left to
-    the planner (sort-merge, or AQE's runtime broadcast when the real size turns out small).
+    Above the bound the join is left to the planner: a sort-merge join, or AQE's runtime
+    broadcast when the *measured* shuffle size of a side turns out small.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if within_rows(df, max_rows) else df

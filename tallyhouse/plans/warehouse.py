@@ -64,6 +64,11 @@ class Warehouse:
         self.timings[stage] = round(time.perf_counter() - t0, 3)
         self.built.add(stage)
 
+    def _write_timed(self, name: str, make: Callable[[], DataFrame], partition_by: tuple[str, ...] = ()) -> None:
+        t0 = time.perf_counter()
+        self.write(name, make(), partition_by)
+        self.timings[f"table_{name}"] = round(time.perf_counter() - t0, 3)
+
     # -- stages --------------------------------------------------------------------------------
     def load_staging(self, retail_sales: DataFrame) -> "Warehouse":
         """Land the staging table."""
@@ -75,9 +80,11 @@ class Warehouse:
 
         def run():
             rs = self.table("retail_sales")
+            t0 = time.perf_counter()
             for name, df in normalize.load_lookups(rs).items():
                 self.write(name, df)
-            self.write("customer", normalize.load_customer(rs))
+            self.timings["table_lookups"] = round(time.perf_counter() - t0, 3)
+            self._write_timed("customer", lambda: normalize.load_customer(rs))
             lookups = {n: self.table(n) for n in normalize.LOOKUPS}
             staged = normalize.stage_sales_details(rs, self.table("customer"), lookups)
             staged = row_key(staged, "sales_id").withColumn(
@@ -85,7 +92,7 @@ class Warehouse:
             )
             cols = [f.name for f in SALES_DETAILS.fields] + [REASON, "load_status"]
             staged = staged.select(*cols).sortWithinPartitions("load_status", "invoice_date")
-            self.write(SALES_STAGED, staged, partition_by=("load_status",))
+            self._write_timed(SALES_STAGED, lambda: staged, partition_by=("load_status",))
 
         self._timed("oltp", run)
         return self
@@ -100,11 +107,14 @@ class Warehouse:
 
         def run():
             sd = self.table("sales_details")
-            self.write("dim_date", star.build_dim_date(sd))
-            self.write("dim_customer", star.build_dim_customer(sd, self.table("customer")))
-            self.write("dim_product_category", star.build_dim_product_category(sd, self.table("product_category")))
-            self.write("dim_region", star.build_dim_region(sd, self.table("region")))
-            self.write("dim_payment_method", star.build_dim_payment_method(sd, self.table("payment_method")))
+            self._write_timed("dim_date", lambda: star.build_dim_date(sd))
+            self._write_timed("dim_customer", lambda: star.build_dim_customer(sd, self.table("customer")))
+            self._write_timed(
+                "dim_product_category", lambda: star.build_dim_product_category(sd, self.table("product_category"))
+            )
+            self._write_timed("dim_region", lambda: star.build_dim_region(sd, self.table("region")))
+            self._write_timed("dim_payment_method", lambda: star.build_dim_payment_method(sd, self.table("payment_method")))
+            t0 = time.perf_counter()
             fact = star.build_fact_sales(
                 sd,
                 self.table("dim_date"),
@@ -114,6 +124,7 @@ class Warehouse:
                 self.table("dim_payment_method"),
             )
             self.write("fact_sales", fact.sortWithinPartitions("date_key"))
+            self.timings["table_fact_sales"] = round(time.perf_counter() - t0, 3)
 
         self._timed("star", run)
         return self
