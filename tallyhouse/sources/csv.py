@@ -1,7 +1,8 @@
 """The staging CSV loads (header row, comma separated, explicit schema).
 
 Malformed records are not silently dropped: the reader runs PERMISSIVE with a corrupt-record
-column, and :func:`split_corrupt` separates them into a quarantine DataFrame.
+column, the parsed rows are landed once as Parquet, and :func:`split_corrupt` separates the
+malformed ones into a quarantine DataFrame.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tallyhouse.schemas import FAKE_CUSTOMER_ADDRESS, FAKE_CUSTOMER_NAMES, RETAIL_SALES
+from tallyhouse.session import scratch_path
 
 CORRUPT = "_corrupt_record"
 
@@ -39,28 +41,37 @@ def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return _reader(spark, schema).csv(path)
 
 
-def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(clean rows without the corrupt column, quarantined raw lines)."""
-    # Spark forbids queries on the raw file that reference only the corrupt column; caching the
-    # parsed rows is the documented way around it, but a projection keeping all columns is enough.
-    good = df.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    bad = df.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("raw_line"))
+def split_corrupt(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(clean rows without the corrupt column, quarantined rows with their raw line).
+
+    ``parsed`` must be a *saved* copy of the parsed file: Spark rejects queries on a raw CSV that
+    read only the corrupt-record column (as a ``count`` does after column pruning).
+    """
+    good = parsed.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    bad = parsed.where(F.col(CORRUPT).isNotNull()).withColumnRenamed(CORRUPT, "raw_line")
     return good, bad
 
 
-def load_retail_sales(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+def land_csv(spark: SparkSession, path: str, schema: StructType, staging_path: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Parse a CSV once, write the parsed rows (corrupt column included) and split them."""
+    target = staging_path or scratch_path(spark, "landed_csv")
+    read_csv(spark, path, schema).write.mode("overwrite").parquet(target)
+    return split_corrupt(spark.read.parquet(target))
+
+
+def load_retail_sales(spark: SparkSession, path: str, staging_path: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Sales CSV -> (retail_sales, quarantined lines)."""
-    return split_corrupt(read_csv(spark, path, RETAIL_SALES))
+    return land_csv(spark, path, RETAIL_SALES, staging_path)
 
 
-def load_customer_names(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+def load_customer_names(spark: SparkSession, path: str, staging_path: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Names CSV (header ``name``) -> ``fake_customer_names(customer_name)``."""
-    return split_corrupt(read_csv(spark, path, FAKE_CUSTOMER_NAMES))
+    return land_csv(spark, path, FAKE_CUSTOMER_NAMES, staging_path)
 
 
-def load_customer_addresses(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+def load_customer_addresses(spark: SparkSession, path: str, staging_path: str | None = None) -> tuple[DataFrame, DataFrame]:
     """S3: address CSV -> ``fake_customer_address(customer_address)``."""
-    return split_corrupt(read_csv(spark, path, FAKE_CUSTOMER_ADDRESS))
+    return land_csv(spark, path, FAKE_CUSTOMER_ADDRESS, staging_path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
