@@ -39,14 +39,16 @@ def seed_customer_address(customer: DataFrame, address_count: int, as_of: _dt.da
 
 def latest_changes(changes: DataFrame) -> DataFrame:
     """One change per customer: the latest by (change_date, seq). Changes are
-    ``(customer_id, address_id, change_date[, seq])``; ``seq`` orders moves made on the same day."""
-    seq = F.col("seq") if "seq" in changes.columns else F.lit(0)
-    w = Window.partitionBy("customer_id").orderBy(F.col("change_date").desc(), seq.desc())
-    return (
-        changes.withColumn("_rn", F.row_number().over(w))
-        .where(F.col("_rn") == 1)
-        .select("customer_id", "address_id", "change_date")
+    ``(customer_id, address_id, change_date[, seq])``; ``seq`` orders moves made on the same day.
+
+    ``max`` over a struct picks the latest with map-side combine, so a customer with a huge
+    number of changes never has them gathered in one task.
+    """
+    seq = F.col("seq").cast("long") if "seq" in changes.columns else F.lit(0).cast("long")
+    latest = changes.groupBy("customer_id").agg(
+        F.max(F.struct(F.col("change_date"), seq.alias("seq"), F.col("address_id"))).alias("_m")
     )
+    return latest.select("customer_id", F.col("_m.address_id").alias("address_id"), F.col("_m.change_date").alias("change_date"))
 
 
 def apply_scd2(history: DataFrame, changes: DataFrame, customer: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:

@@ -209,6 +209,7 @@ TABLES: dict[str, StructType] = {
     "dim_payment_method": DIM_PAYMENT_METHOD,
     "dim_customer": DIM_CUSTOMER,
     "fact_sales": FACT_SALES,
+    "sales_submissions": SALE_SUBMISSION,
 }
 
 
