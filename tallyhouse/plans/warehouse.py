@@ -129,5 +129,23 @@ class Warehouse:
         self._timed("star", run)
         return self
 
+    def build_bucketed_sales(self, buckets: int) -> str:
+        """``sales_details`` as a catalog table bucketed by customer_id (for shuffle-free
+        customer-keyed cumulative steps). Returns the qualified table name."""
+        db = store.ensure_database(self.spark, self.database, f"{self.root}/catalog")
+        name = f"{db}.sales_details_by_customer"
+        if not store.table_exists(self.spark, name):
+            self._timed(
+                "bucketed_sales",
+                lambda: store.save_bucketed(
+                    self.table("sales_details"), name, f"{self.root}/catalog/sales_details_by_customer", ("customer_id",), buckets
+                ),
+            )
+        return name
+
+    @property
+    def database(self) -> str:
+        return "th_" + self.root.rstrip("/").rsplit("-", 1)[-1]
+
     def sales_details(self) -> DataFrame:
         return conform(self.table("sales_details"), SALES_DETAILS)

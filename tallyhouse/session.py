@@ -26,6 +26,9 @@ def build_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         # row-count check (plans.joins.bounded_broadcast) or by AQE from *measured* shuffle sizes.
         .config("spark.sql.autoBroadcastJoinThreshold", "-1")
         .config("spark.sql.adaptive.autoBroadcastJoinThreshold", "32MB")
+        # a join on (customer_id, category_id) between tables bucketed by customer_id alone is
+        # already co-partitioned; without this Spark would shuffle both sides again
+        .config("spark.sql.requireAllClusterKeysForCoPartition", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
         .config("spark.driver.memory", os.environ.get("TALLYHOUSE_DRIVER_MEMORY", "8g"))
