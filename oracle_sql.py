@@ -214,6 +214,8 @@ def queries() -> dict[str, str]:
         "payment_method, customer_age, customer_gender, customer_location, total_amount FROM rs"
     )
     q["staging_csv_roundtrip"] = q["retail_sales"]
+    q["customer_names_csv"] = "SELECT c_name AS customer_name FROM customer"
+    q["customer_address_csv"] = _with("SELECT street_number, city, zip_code FROM parsed_addr")
     q["payment_method_lookup"] = _with("SELECT method_id, payment_method, is_active FROM pm_lk")
     q["region_lookup"] = _with("SELECT region_id, region_name FROM rg_lk")
     q["product_category_lookup"] = _with("SELECT category_id, category FROM pc_lk")
@@ -379,6 +381,15 @@ FROM run LEFT JOIN pc_lk pc ON run.category_id = pc.category_id
             where="WHERE current_year = (SELECT y FROM max_year)",
         )
     )
+    q["cum_customer_revenue_chain"] = q["cum_customer_revenue"]
+    q["cum_customer_sales_exploded"] = _with(
+        "SELECT sp.customer_id, c.customer_no, sp.current_year, "
+        "CAST(row_number() OVER (PARTITION BY sp.customer_id, sp.current_year ORDER BY s.y) - 1 AS INTEGER) AS pos, "
+        "s.y AS sales_year, CAST(s.disc AS FLOAT) AS total_discount, CAST(s.amt AS FLOAT) AS total_amount_spent, "
+        "CAST(s.qty AS INTEGER) AS total_qty_purchased "
+        "FROM cy_spine sp JOIN cy_stats s ON s.customer_id = sp.customer_id AND s.y <= sp.current_year "
+        "JOIN cust_lk c ON c.customer_id = sp.customer_id"
+    )
     q["cum_region_sales_for_category"] = q["cum_region_product_sales"].rstrip() + f"\nWHERE pc.category = '{LOOKUP_CATEGORY}'"
     q["cum_customer_sales_flat"] = _with(
         "SELECT c.customer_no, s.y AS sales_year, CAST(s.disc AS FLOAT) AS total_discount, "

@@ -224,6 +224,11 @@ def last_period(sales_details: DataFrame, grain: str):
     return sales_details.agg(F.max(period_expr(grain)).alias("p")).first()["p"]
 
 
+def first_period(sales_details: DataFrame, grain: str):
+    """The first period with sales (one scalar)."""
+    return sales_details.agg(F.min(period_expr(grain)).alias("p")).first()["p"]
+
+
 def _expand(grain: str, start: Column, next_active: Column, end) -> Column:
     """Periods from ``start`` until the period before ``next_active`` (or ``end``)."""
     if grain == "day":
