@@ -30,6 +30,19 @@ from tallyhouse.session import scratch_path
 from tallyhouse.sources import tables as store
 
 SALES_STAGED = "sales_staged"
+
+
+def bucket_skew(df: DataFrame, col: str, buckets: int) -> float:
+    """Largest bucket's row count over the mean, for ``bucketBy(buckets, col)``.
+
+    Uses Spark's bucket id (Murmur3 hash of the column, modulo the bucket count); the result has
+    one row per bucket.
+    """
+    sizes = df.groupBy(F.pmod(F.hash(F.col(col)), F.lit(buckets)).alias("b")).count()
+    row = sizes.agg(F.max("count").alias("mx"), F.sum("count").alias("total")).first()
+    if not row or not row["total"]:
+        return 0.0
+    return float(row["mx"]) / (float(row["total"]) / buckets)
 REJECTED = "sales_rejected"
 
 
@@ -148,18 +161,28 @@ class Warehouse:
         self._timed("star", run)
         return self
 
-    def build_bucketed_sales(self, buckets: int) -> str:
-        """``sales_details`` as a catalog table bucketed by customer_id (for shuffle-free
-        customer-keyed cumulative steps). Returns the qualified table name."""
+    def build_bucketed_sales(self, buckets: int, max_skew: float = 2.0) -> str:
+        """``sales_details`` as a catalog table bucketed by customer_id, for shuffle-free
+        customer-keyed cumulative steps. Returns the qualified table name.
+
+        A bucket is read by a single task, so a customer holding a large share of all sales would
+        make one task read that share. The bucket sizes are measured first (one aggregate, one
+        row per bucket); if the largest is over ``max_skew`` times the mean, the plain layout is
+        registered instead and steps fall back to partial aggregation + shuffle, which spreads a
+        hot customer over every scan task.
+        """
         db = store.ensure_database(self.spark, self.database, f"{self.root}/catalog")
         name = f"{db}.sales_details_by_customer"
-        if not store.table_exists(self.spark, name):
-            self._timed(
-                "bucketed_sales",
-                lambda: store.save_bucketed(
-                    self.table("sales_details"), name, f"{self.root}/catalog/sales_details_by_customer", ("customer_id",), buckets
-                ),
-            )
+        if store.table_exists(self.spark, name):
+            return name
+        sd = self.table("sales_details")
+        skew = bucket_skew(sd, "customer_id", buckets)
+        self.timings["bucket_skew"] = round(skew, 3)
+        path = f"{self.root}/catalog/sales_details_by_customer"
+        if skew <= max_skew:
+            self._timed("bucketed_sales", lambda: store.save_bucketed(sd, name, path, ("customer_id",), buckets))
+        else:
+            self._timed("bucketed_sales", lambda: sd.write.mode("overwrite").option("path", path).saveAsTable(name))
         return name
 
     @property

@@ -156,3 +156,12 @@ def test_bucketed_chain_has_no_shuffle_and_equals_closed_form(spark, wh):
         plan = step._jdf.queryExecution().executedPlan().toString()
         assert "Exchange" not in plan, plan
         assert "PartitionFilters: [isnotnull(current_year" in plan
+
+
+def test_bucket_skew_guard(spark):
+    from tallyhouse.plans.warehouse import bucket_skew
+
+    even = spark.range(0, 8000).select(F.col("id").cast("int").alias("customer_id"))
+    assert bucket_skew(even, "customer_id", 8) < 1.5
+    hot = even.unionByName(spark.range(0, 4000).select(F.lit(7).alias("customer_id")))  # one id: a third of the rows
+    assert bucket_skew(hot, "customer_id", 8) > 2.5
