@@ -23,6 +23,8 @@ from tallyhouse.schemas import (
 DATE_DIM_BROADCAST_ROWS = 1_000_000
 # Category, region and payment-method dimensions are tiny lookups.
 SMALL_DIM_BROADCAST_ROWS = 100_000
+# The fact needs only the customer dimension's int key set; 2M keys are ~16 MB to broadcast.
+CUSTOMER_KEYS_BROADCAST_ROWS = 2_000_000
 
 
 def date_attributes(dates: DataFrame, date_col: str = "full_date") -> DataFrame:
@@ -99,14 +101,14 @@ def build_fact_sales(
     """Sales joined (inner) to the five dimensions; one fact row per sales_details row.
 
     The small dimensions are broadcast after a size check. The customer dimension contributes
-    only its key, which equals the 3NF id, so it is a semi join; it shuffles only when the
-    dimension is too large to broadcast.
+    only its key, which equals the 3NF id, so it is a semi join against the key set: broadcast
+    up to 2M customers, a sort-merge join (shuffling the sales by customer) beyond that.
     """
     dd = bounded_broadcast(dim_date.select("date_key", "full_date"), DATE_DIM_BROADCAST_ROWS)
     dc = bounded_broadcast(dim_product_category.select("category_key"), SMALL_DIM_BROADCAST_ROWS)
     dr = bounded_broadcast(dim_region.select("region_key"), SMALL_DIM_BROADCAST_ROWS)
     dp = bounded_broadcast(dim_payment_method.select("payment_method_key"), SMALL_DIM_BROADCAST_ROWS)
-    cust_keys = dim_customer.select("customer_key")
+    cust_keys = bounded_broadcast(dim_customer.select("customer_key"), CUSTOMER_KEYS_BROADCAST_ROWS)
     s = sales_details
     joined = (
         s.join(dc, s["category_id"] == dc["category_key"])
