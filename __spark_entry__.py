@@ -122,6 +122,15 @@ def _distinct(col):
     return lambda spark, sf: explore.profile_distinct(_wh(spark, sf).table("retail_sales"), col)
 
 
+def q_customer_preview(spark, sf):
+    return explore.preview(_wh(spark, sf).table("customer"), ["customer_id"])
+
+
+def q_retail_sales_preview(spark, sf):
+    rs = _wh(spark, sf).table("retail_sales")
+    return explore.preview(rs, ["transaction_id", *[c for c in rs.columns if c != "transaction_id"]])
+
+
 def q_numeric_profile(spark, sf):
     return explore.profile_numeric(_wh(spark, sf).table("retail_sales"))
 
@@ -204,8 +213,10 @@ def q_payment_mix_by_region(spark, sf):
 
 
 def q_christmas_sales_by_payment_method(spark, sf):
+    """V1 as a named view, read back through the catalog."""
     wh = _wh(spark, sf)
-    return questions.christmas_sales_by_payment_method(wh.table("sales_details"), wh.table("region"))
+    view = questions.christmas_sales_by_payment_method(wh.table("sales_details"), wh.table("region"))
+    return store.create_view(view, "v_christmas_day_sales_by_payment_methods")
 
 
 def q_discount_prices(spark, sf):
@@ -351,6 +362,8 @@ def queries() -> dict[str, Query]:
     q.update(
         {
             "numeric_profile": q_numeric_profile,
+            "customer_preview": q_customer_preview,
+            "retail_sales_preview": q_retail_sales_preview,
             "sales_count_by_customer": q_sales_count_by_customer,
             "sales_by_region": q_sales_by_region,
             "invoice_date_range": q_invoice_date_range,

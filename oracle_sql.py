@@ -251,6 +251,17 @@ def queries() -> dict[str, str]:
         "MIN(total_amount) AS min_total_amount, MAX(total_amount) AS max_total_amount, "
         f"{_avg4('SUM(total_amount)', 'COUNT(total_amount)', 2)} AS avg_total_amount FROM rs"
     )
+    q["customer_preview"] = _with(
+        "SELECT customer_id, customer_no, CAST(NULL AS VARCHAR) AS first_name, CAST(NULL AS VARCHAR) AS last_name, "
+        "gender, CAST(NULL AS VARCHAR) AS email, CAST(NULL AS DATE) AS date_of_birth, "
+        "CAST(NULL AS VARCHAR) AS phone_number FROM cust_lk ORDER BY customer_id LIMIT 100"
+    )
+    q["retail_sales_preview"] = _with(
+        "SELECT transaction_id, \"timestamp\", customer_id, product_id, product_category, quantity, price, discount, "
+        "payment_method, customer_age, customer_gender, customer_location, total_amount FROM rs "
+        "ORDER BY transaction_id, \"timestamp\", customer_id, product_id, product_category, quantity, price, discount, "
+        "payment_method, customer_age, customer_gender, customer_location, total_amount LIMIT 100"
+    )
     q["sales_count_by_customer"] = _with("SELECT customer_id, COUNT(customer_id) AS num_recs FROM sd GROUP BY customer_id")
     q["sales_by_region"] = _with(
         "SELECT r.region_name, CAST(ROUND(SUM(s.amount), 2) AS DECIMAL(18,2)) AS total_amount "

@@ -14,6 +14,12 @@ from tallyhouse.schemas import TOTAL
 NUMERIC_PROFILE = {"quantity": 0, "price": 2, "total_amount": 2}
 
 
+def preview(df: DataFrame, order_cols: list[str], n: int = 100) -> DataFrame:
+    """The sanity-check ``SELECT * ... LIMIT n``, made deterministic by ordering on the key
+    (a top-n: each task keeps its n smallest rows, the driver merges them)."""
+    return df.orderBy(*[F.col(c).asc_nulls_last() for c in order_cols]).limit(n)
+
+
 def profile_distinct(retail_sales: DataFrame, column: str) -> DataFrame:
     """SELECT DISTINCT column ORDER BY column (NULL last)."""
     return retail_sales.select(column).distinct().orderBy(F.col(column).asc_nulls_last())
