@@ -7,6 +7,7 @@ Every input here is derived by Spark from the given tables, so its size grows wi
 from __future__ import annotations
 
 import datetime as _dt
+import hashlib
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,24 +18,62 @@ from tallyhouse.operators import normalize, scd2
 from tallyhouse.operators.quality import REASON
 from tallyhouse.plans.warehouse import Warehouse
 from tallyhouse.schemas import SALE_SUBMISSION, conform
+from tallyhouse.session import shared_dir
 from tallyhouse.sources import tpch
 
 _WAREHOUSES: dict[tuple[str, str], Warehouse] = {}
+_MANIFEST = "_manifest"
 
 
-def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """Staging, 3NF and star tables for ``sf_dir``, written once per Spark application."""
+def _code_version() -> str:
+    """Hash of the package source: a changed build gets a new warehouse folder."""
+    h = hashlib.sha1()
+    pkg = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    for base, _dirs, files in sorted(os.walk(pkg)):
+        for f in sorted(files):
+            if f.endswith(".py"):
+                with open(os.path.join(base, f), "rb") as fh:
+                    h.update(fh.read())
+    return h.hexdigest()[:12]
+
+
+def _is_complete(spark: SparkSession, root: str) -> bool:
+    try:
+        return spark.read.parquet(f"{root}/{_MANIFEST}").count() == 1
+    except Exception:  # noqa: BLE001 - a missing or partial manifest means: build again
+        return False
+
+
+def warehouse(spark: SparkSession, sf_dir: str, reuse: bool = True) -> Warehouse:
+    """Staging, 3NF and star tables for ``sf_dir``.
+
+    Built once per Spark application. With ``reuse``, a complete build of the same data by the
+    same code (found through its manifest in the shared checkpoint folder) is reused by later
+    applications too; the manifest is written last, so a half-written build is never reused.
+    """
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
     wh = _WAREHOUSES.get(key)
-    if wh is None:
-        wh = Warehouse.create(spark)
+    if wh is not None:
+        return wh
+    root = None
+    if reuse:
+        tag = hashlib.sha1(f"{os.path.abspath(sf_dir)}|{_code_version()}".encode()).hexdigest()[:16]
+        root = f"{shared_dir(spark)}/tallyhouse/warehouse-{tag}"
+    wh = Warehouse.create(spark, root)
+    if root is not None and _is_complete(spark, root):
+        wh.built.update({"staging", "oltp", "star"})
+    else:
         wh.load_staging(tpch.retail_sales(spark, sf_dir)).build_oltp().build_star()
-        _WAREHOUSES[key] = wh
+        if root is not None:
+            spark.createDataFrame([(os.path.abspath(sf_dir),)], "sf_dir string").write.mode("overwrite").parquet(
+                f"{root}/{_MANIFEST}"
+            )
+    _WAREHOUSES[key] = wh
     return wh
 
 
-def with_addresses(spark: SparkSession, sf_dir: str) -> Warehouse:
-    wh = warehouse(spark, sf_dir)
+def with_addresses(spark: SparkSession, sf_dir: str, reuse: bool = True) -> Warehouse:
+    wh = warehouse(spark, sf_dir, reuse)
     if "address" not in wh.built:
         wh.build_addresses(tpch.customer_addresses(spark, sf_dir))
     return wh

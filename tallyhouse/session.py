@@ -62,6 +62,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The configured shared folder itself (``setCheckpointDir`` adds a per-application subfolder)."""
+    ensure_checkpoint_dir(spark)
+    configured = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF, None)
+    return (configured or ensure_checkpoint_dir(spark)).rstrip("/")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder name under the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
