@@ -270,6 +270,57 @@ def backfill(
     return conform(expanded, spec.schema)
 
 
+def refresh_from(
+    spark: SparkSession,
+    sales_details: DataFrame,
+    spec: CumulativeSpec,
+    path: str,
+    start,
+    names: Callable[[DataFrame], DataFrame] | None = None,
+    end=None,
+) -> DataFrame:
+    """Late data: recompute periods ``start..end`` of a stored cumulative table and replace them.
+
+    ``start`` is the oldest period touched by late sales. The stored partition before it holds
+    every key's totals so far; they seed running sums over the sales of ``start..end`` only, so the
+    cost follows the refreshed periods, not all of history. Dynamic overwrite replaces exactly
+    the refreshed partitions, so a refresh can be rerun.
+    """
+    end = end if end is not None else last_period(sales_details, spec.grain)
+    prev = previous_period(spec.grain, start)
+    base = store.read_period(spark, path, spec.period_col, prev, spec.schema).select(
+        *spec.keys, _period_lit(spec.grain, prev).alias("_p"), *[out for out, _ in spec.measures]
+    )
+    recent = (
+        sales_details.where(up_to(spec.grain, end) & ~up_to(spec.grain, prev))
+        .groupBy(*spec.keys, period_expr(spec.grain).alias("_p"))
+        .agg(*[F.sum(src).alias(out) for out, src in spec.measures])
+    )
+    w = Window.partitionBy(*spec.keys).orderBy("_p")
+    running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    run = base.unionByName(recent, allowMissingColumns=False).select(
+        *spec.keys,
+        "_p",
+        F.lead("_p").over(w).alias("_next"),
+        *[F.sum(out).over(running).alias(out) for out, _ in spec.measures],
+    )
+    first = F.greatest(F.col("_p"), _period_lit(spec.grain, start))
+    if spec.grain == "day":
+        stop = F.coalesce(F.date_sub(F.col("_next"), 1), F.lit(end).cast("date"))
+        periods = F.when(first <= stop, F.sequence(first, stop, F.expr("INTERVAL 1 DAY")))
+    else:
+        stop = F.coalesce(F.col("_next") - 1, F.lit(int(end)))
+        periods = F.when(first <= stop, F.sequence(first, stop))
+    expanded = run.select(
+        *spec.keys, F.explode(periods).alias(spec.period_col), *[out for out, _ in spec.measures]
+    )
+    if names is not None:
+        expanded = names(expanded)
+    refreshed = conform(expanded, spec.schema)
+    store.write_period(refreshed, path, spec.period_col)
+    return store.read_table(spark, path, spec.schema)
+
+
 # -- C5: yearly statistics as an array of structs ----------------------------------------------
 def _stats_struct(year: Column) -> Column:
     return F.struct(

@@ -165,3 +165,24 @@ def test_bucket_skew_guard(spark):
     assert bucket_skew(even, "customer_id", 8) < 1.5
     hot = even.unionByName(spark.range(0, 4000).select(F.lit(7).alias("customer_id")))  # one id: a third of the rows
     assert bucket_skew(hot, "customer_id", 8) > 2.5
+
+
+def test_late_sale_refresh_equals_full_backfill(spark, skip_sales):
+    path = scratch_path(spark, "late_refresh")
+    cum.run_chain(spark, skip_sales, cum.CUSTOMER_REVENUE, [2023, 2024, 2025], path)
+    late = spark.createDataFrame(
+        [sd_row(8, 2, dt.date(2024, 8, 1), "100.00"), sd_row(9, 5, dt.date(2024, 9, 1), "1.00")], SALES_DETAILS
+    )
+    sales = skip_sales.unionByName(late)
+    refreshed = rows(cum.refresh_from(spark, sales, cum.CUSTOMER_REVENUE, path, 2024))
+    assert refreshed == rows(cum.backfill(sales, cum.CUSTOMER_REVENUE))
+    # the untouched earlier period is as it was; a rerun changes nothing
+    assert rows(cum.refresh_from(spark, sales, cum.CUSTOMER_REVENUE, path, 2024)) == refreshed
+    days = spark.createDataFrame(
+        [sd_row(1, 1, dt.date(2023, 1, 1), "1.00"), sd_row(2, 1, dt.date(2023, 1, 4), "2.00")], SALES_DETAILS
+    )
+    dpath = scratch_path(spark, "late_refresh_daily")
+    cum.run_chain(spark, days, cum.PRODUCT_SALES, [dt.date(2023, 1, i) for i in range(1, 5)], dpath)
+    late_days = days.unionByName(spark.createDataFrame([sd_row(3, 1, dt.date(2023, 1, 2), "5.00", category=2)], SALES_DETAILS))
+    got = rows(cum.refresh_from(spark, late_days, cum.PRODUCT_SALES, dpath, dt.date(2023, 1, 2)))
+    assert got == rows(cum.backfill(late_days, cum.PRODUCT_SALES))
