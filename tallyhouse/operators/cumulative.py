@@ -331,9 +331,14 @@ def _stats_struct(year: Column) -> Column:
     ).cast(SALES_STATS)
 
 
+# customer numbers are broadcast for up to 1M customers (~30 MB); beyond, the join shuffles
+CUSTOMER_BROADCAST_ROWS = 1_000_000
+
+
 def _customer_numbers(df: DataFrame, customer: DataFrame) -> DataFrame:
-    # customer_id is the customer table's unique key: a plain equi-join, shuffled only when large
-    return df.join(customer.select("customer_id", "customer_no"), "customer_id", "left")
+    # customer_id is the customer table's unique key, so the join cannot fan out
+    numbers = bounded_broadcast(customer.select("customer_id", "customer_no"), CUSTOMER_BROADCAST_ROWS)
+    return df.join(numbers, "customer_id", "left")
 
 
 def customer_sales_step(sales_details: DataFrame, yesterday: DataFrame, customer: DataFrame, year: int) -> DataFrame:

@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.exprs import exact_avg
+from tallyhouse.plans.joins import bounded_broadcast
 from tallyhouse.schemas import TOTAL
 
+LOOKUP_BROADCAST_ROWS = 100_000
 # staging columns profiled by E2, with their number of decimals
 NUMERIC_PROFILE = {"quantity": 0, "price": 2, "total_amount": 2}
 
@@ -53,11 +55,12 @@ def sales_by_region(sales_details: DataFrame, region: DataFrame) -> DataFrame:
     """Total amount per region name.
 
     Aggregated on region_id first and joined to the lookup afterwards: the id determines the
-    name, so the join sees one row per region instead of one per sale (both sides are then small
-    and the planner broadcasts one of them from its runtime size).
+    name, so the join sees one row per region instead of one per sale; the lookup is broadcast
+    after a size check.
     """
     per_id = sales_details.groupBy("region_id").agg(F.sum("amount").alias("_total"))
-    joined = per_id.join(region.select("region_id", "region_name"), "region_id", "left")
+    names = bounded_broadcast(region.select("region_id", "region_name"), LOOKUP_BROADCAST_ROWS)
+    joined = per_id.join(names, "region_id", "left")
     return (
         joined.groupBy("region_name")
         .agg(F.round(F.sum("_total"), 2).cast(TOTAL).alias("total_amount"))

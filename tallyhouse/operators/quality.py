@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyhouse.plans.joins import bounded_broadcast
+
 REASON = "reject_reason"
 
 
@@ -29,14 +31,19 @@ def primary_key_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+# referenced key sets up to this size are broadcast (2M int keys are ~16 MB)
+FK_BROADCAST_ROWS = 2_000_000
+
+
 def foreign_key_orphans(
-    df: DataFrame, cols: Sequence[str], ref: DataFrame, ref_cols: Sequence[str]
+    df: DataFrame, cols: Sequence[str], ref: DataFrame, ref_cols: Sequence[str], broadcast_rows: int = FK_BROADCAST_ROWS
 ) -> DataFrame:
     """K5: rows whose non-NULL foreign key has no match in ``ref`` (an SQL FK ignores NULL keys).
 
-    The referenced keys are de-duplicated first, so the anti join's build side is one row per key.
+    The referenced keys are de-duplicated first, so the anti join's build side is one row per
+    key; it is broadcast after a size check, else the anti join shuffles both sides.
     """
-    keys = ref.select(*[F.col(r).alias(f"_ref_{i}") for i, r in enumerate(ref_cols)]).distinct()
+    keys = bounded_broadcast(ref.select(*[F.col(r).alias(f"_ref_{i}") for i, r in enumerate(ref_cols)]).distinct(), broadcast_rows)
     cond = None
     for i, c in enumerate(cols):
         e = F.col(c) == F.col(f"_ref_{i}")
