@@ -52,6 +52,7 @@ class Warehouse:
     root: str
     timings: dict[str, float] = field(default_factory=dict)
     built: set[str] = field(default_factory=set)
+    _frames: dict[str, DataFrame] = field(default_factory=dict, repr=False)
 
     @classmethod
     def create(cls, spark: SparkSession, root: str | None = None) -> "Warehouse":
@@ -65,12 +66,19 @@ class Warehouse:
         return f"{self.root}/{name}"
 
     def table(self, name: str) -> DataFrame:
-        schema = TABLES.get(name)
-        df = store.read_table(self.spark, self.path(name), schema if name != REJECTED else None)
-        return df
+        """A written table. Tables do not change once written, so one DataFrame (and one file
+        listing) serves every query; rewriting a table drops it."""
+        if name not in self._frames:
+            schema = TABLES.get(name)
+            self._frames[name] = store.read_table(self.spark, self.path(name), schema if name != REJECTED else None)
+        return self._frames[name]
 
     def write(self, name: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> None:
         store.write_table(df, self.path(name), partition_by)
+        self._frames.pop(name, None)
+        if name == SALES_STAGED:
+            self._frames.pop("sales_details", None)
+            self._frames.pop(REJECTED, None)
 
     def _timed(self, stage: str, fn: Callable[[], None]) -> None:
         t0 = time.perf_counter()

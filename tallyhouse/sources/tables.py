@@ -32,16 +32,18 @@ def append_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """Read a written table; a table that does not exist yet reads as empty with ``schema``."""
+    """Read a written table; a table that does not exist yet reads as empty with ``schema``.
+
+    With a schema the footers are not read to infer one (the tables are written conformed).
+    """
     try:
-        df = spark.read.parquet(path)
+        if schema is None:
+            return spark.read.parquet(path)
+        return spark.read.schema(schema).parquet(path)
     except AnalysisException:
         if schema is None:
             raise
         return empty(spark, schema)
-    if schema is not None:
-        df = df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
-    return df
 
 
 def write_period(df: DataFrame, path: str, period_col: str) -> None:
