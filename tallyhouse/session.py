@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 import uuid
@@ -40,6 +41,45 @@ def build_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
     return spark
 
 
+MB = 1 << 20
+
+
+def cluster_settings(input_bytes: int, executor_cores: int) -> dict[str, str]:
+    """Settings for a cluster run reading ``input_bytes`` with ``executor_cores`` cores in total.
+
+    * scan splits of 256 MB; the initial shuffle width follows the input (one partition per
+      256 MB, at least two waves of tasks, at most 100,000) and AQE merges partitions down to
+      128 MB after each shuffle, so the post-aggregation shuffles stay narrow;
+    * skewed sort-merge-join partitions (over 512 MB and 5x the median) are split by AQE;
+    * broadcast only from measured sizes (AQE, 32 MB) or explicit row-count checks, never
+      from static estimates;
+    * co-partitioned joins on a prefix of the bucket keys, dynamic partition overwrite.
+    """
+    width = min(100_000, max(2 * executor_cores, math.ceil(input_bytes / (256 * MB))))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(256 * MB),
+        "spark.sql.shuffle.partitions": str(width),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * MB),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * MB),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
+        "spark.sql.requireAllClusterKeysForCoPartition": "false",
+        "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        "spark.sql.session.timeZone": "UTC",
+    }
+
+
+def bucket_count(table_bytes: int, target_bytes: int = 1024 * MB) -> int:
+    """Buckets for a customer-bucketed table: about ``target_bytes`` per bucket, a power of two
+    between 8 and 8192 (both sides of a bucketed join must use the same count)."""
+    want = max(1, math.ceil(table_bytes / target_bytes))
+    return int(min(8192, max(8, 2 ** math.ceil(math.log2(want)))))
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, registering it with the SparkContext.
 

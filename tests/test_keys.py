@@ -33,3 +33,14 @@ def test_dense_key_null_last_and_groups(spark):
 def test_row_key_unique(spark):
     df = row_key(spark.range(0, 1000).repartition(4), "k")
     assert df.select("k").distinct().count() == 1000
+
+
+def test_cluster_settings_scale_with_input():
+    from tallyhouse.session import bucket_count, cluster_settings
+
+    small = cluster_settings(10 << 30, 64)
+    big = cluster_settings(100 << 40, 8000)
+    assert int(small["spark.sql.shuffle.partitions"]) == 128  # two waves of 64 cores
+    assert int(big["spark.sql.shuffle.partitions"]) == 100_000  # capped; AQE merges after shuffles
+    assert big["spark.sql.autoBroadcastJoinThreshold"] == "-1"
+    assert bucket_count(1 << 30) == 8 and bucket_count(10 << 40) == 8192 and bucket_count(100 << 30) == 128
