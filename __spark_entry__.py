@@ -178,6 +178,8 @@ def q_quality_report(spark, sf):
         ("check:sales_details(quantity>0)", quality.check_violations(sd, F.col("quantity") > 0)),
         ("not_null:sales_details", quality.not_null_violations(sd, list(normalize.SALES_NOT_NULL))),
         ("not_null:payment_method", quality.not_null_violations(wh.table("payment_method"), ["payment_method"])),
+        # A customer number held by two customer rows (two gender codes) doubles its sales
+        ("dup:customer(customer_no)", quality.primary_key_violations(cust.where(F.col("customer_no").isNotNull()), ["customer_no"])),
     ]
     counts = [df.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(name).alias("check_name"), "violations") for name, df in checks]
     out = counts[0]

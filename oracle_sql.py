@@ -296,6 +296,8 @@ SELECT check_name, CAST(violations AS BIGINT) AS violations FROM (
   UNION ALL SELECT 'not_null:sales_details', (SELECT COUNT(*) FROM sd WHERE customer_id IS NULL OR category_id IS NULL
          OR quantity IS NULL OR amount IS NULL OR payment_method_id IS NULL OR invoice_date IS NULL OR region_id IS NULL)
   UNION ALL SELECT 'not_null:payment_method', (SELECT COUNT(*) FROM pm_lk WHERE payment_method IS NULL)
+  UNION ALL SELECT 'dup:customer(customer_no)',
+         (SELECT COUNT(*) FROM (SELECT customer_no FROM cust_lk WHERE customer_no IS NOT NULL GROUP BY 1 HAVING COUNT(*) > 1))
 )"""
     )
     # star

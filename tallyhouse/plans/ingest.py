@@ -61,9 +61,18 @@ def validate_sales(batch: DataFrame, refs: dict[str, DataFrame]) -> DataFrame:
     return tagged.select(*[f.name for f in SALE_SUBMISSION.fields], REASON)
 
 
-def ingest_sales(batch: DataFrame, refs: dict[str, DataFrame], as_of: _dt.date) -> tuple[DataFrame, DataFrame]:
-    """(accepted rows in the ``sales_details`` layout stamped with ``as_of``, rejected rows)."""
+def ingest_sales(
+    batch: DataFrame, refs: dict[str, DataFrame], as_of: _dt.date, all_or_nothing: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """(accepted rows in the ``sales_details`` layout stamped with ``as_of``, rejected rows).
+
+    With ``all_or_nothing`` the batch behaves like one transaction: if any row is rejected, no
+    row is accepted and the valid rows are rejected as ``batch_rolled_back``.
+    """
     tagged = validate_sales(batch, refs)
+    if all_or_nothing and tagged.where(F.col(REASON).isNotNull()).limit(1).count() > 0:
+        rolled = tagged.withColumn(REASON, F.coalesce(F.col(REASON), F.lit("batch_rolled_back")))
+        return conform(rolled.limit(0).withColumn("sales_id", F.lit(0).cast("long")), SALES_DETAILS), rolled
     accepted = tagged.where(F.col(REASON).isNull()).withColumn("invoice_date", F.lit(as_of).cast("date"))
     return conform(row_key(accepted, "sales_id"), SALES_DETAILS), tagged.where(F.col(REASON).isNotNull())
 

@@ -90,6 +90,16 @@ def test_validated_insert(spark, refs):
     assert accepted.count() + rejected.count() == batch.count()
 
 
+def test_all_or_nothing_batch(spark, refs):
+    good = spark.createDataFrame([sub(), sub(qty=2)], SALE_SUBMISSION)
+    acc, rej = ingest.ingest_sales(good, refs, dt.date(2025, 2, 8), all_or_nothing=True)
+    assert acc.count() == 2 and rej.count() == 0
+    mixed = spark.createDataFrame([sub(), sub(amount="482.20")], SALE_SUBMISSION)
+    acc, rej = ingest.ingest_sales(mixed, refs, dt.date(2025, 2, 8), all_or_nothing=True)
+    assert acc.count() == 0
+    assert sorted(r[REASON] for r in rej.collect()) == ["amount_mismatch", "batch_rolled_back"]
+
+
 def test_missing_dates(spark):
     d = dt.date
     old = spark.createDataFrame([(1, d(2025, 1, 1)), (2, d(2025, 1, 2))], "date_key int, full_date date")
