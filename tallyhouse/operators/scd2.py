@@ -17,8 +17,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.operators.quality import REASON
+from tallyhouse.plans.joins import present_keys, within_rows
 from tallyhouse.schemas import CUSTOMER_ADDRESS, conform
 
+# A batch of up to this many (de-duplicated) changes is broadcast: the dimension is not shuffled.
+CHANGE_BROADCAST_ROWS = 1_000_000
+
 
 def assign_address(customer_id, address_count: int, multiplier: int):
     """Deterministic stand-in for the reference's random assignment: (id * multiplier) mod n + 1."""
@@ -59,17 +63,29 @@ def apply_scd2(history: DataFrame, changes: DataFrame, customer: DataFrame | Non
     * a move dated on or before the current row's start replaces that row's address in place;
     * a change for a customer without any current row opens one;
     * a change for a customer unknown to ``customer`` (when given) is rejected.
+
+    Change batches are usually small next to the dimension. When the de-duplicated batch is
+    within ``CHANGE_BROADCAST_ROWS`` (checked), it is broadcast: untouched current rows pass
+    through a broadcast anti join and only the touched ones meet the changes, so the dimension is
+    never shuffled. Larger batches use one full outer join on customer_id.
     """
     ch = latest_changes(changes)
+    small = within_rows(ch, CHANGE_BROADCAST_ROWS)
     rejected = ch.limit(0).withColumn(REASON, F.lit(None).cast("string"))
     if customer is not None:
-        known = customer.select("customer_id")
+        known = present_keys(ch.select("customer_id"), customer, "customer_id", CHANGE_BROADCAST_ROWS)
+        known = F.broadcast(known) if small else known
         rejected = ch.join(known, "customer_id", "left_anti").withColumn(REASON, F.lit("fk:customer_id"))
         ch = ch.join(known, "customer_id", "left_semi")
     closed = history.where(~F.col("is_current"))
     current = history.where(F.col("is_current")).select(
         "customer_id", F.col("address_id").alias("_cur_addr"), F.col("start_date").alias("_cur_start")
     )
+    untouched = None
+    if small:
+        changed_ids = F.broadcast(ch.select("customer_id"))
+        untouched = current.join(changed_ids, "customer_id", "left_anti")
+        current = current.join(changed_ids, "customer_id", "left_semi")
     j = current.join(
         ch.select("customer_id", F.col("address_id").alias("_new_addr"), F.col("change_date").alias("_d")),
         "customer_id",
@@ -99,7 +115,17 @@ def apply_scd2(history: DataFrame, changes: DataFrame, customer: DataFrame | Non
         .otherwise(F.array(row(F.col("_cur_addr"), F.col("_cur_start"), null_date, F.lit(True))))
     )
     touched = j.select("customer_id", F.inline(versions))
-    return conform(closed, CUSTOMER_ADDRESS).unionByName(conform(touched, CUSTOMER_ADDRESS)), rejected
+    out = conform(closed, CUSTOMER_ADDRESS).unionByName(conform(touched, CUSTOMER_ADDRESS))
+    if untouched is not None:
+        kept = untouched.select(
+            "customer_id",
+            F.col("_cur_addr").alias("address_id"),
+            F.col("_cur_start").alias("start_date"),
+            F.lit(None).cast("date").alias("end_date"),
+            F.lit(True).alias("is_current"),
+        )
+        out = out.unionByName(conform(kept, CUSTOMER_ADDRESS))
+    return out, rejected
 
 
 def scd2_violations(history: DataFrame) -> DataFrame:

@@ -97,26 +97,32 @@ def build_fact_sales(
     dim_product_category: DataFrame,
     dim_region: DataFrame,
     dim_payment_method: DataFrame,
+    customer_dim_covers_sales: bool = False,
 ) -> DataFrame:
     """Sales joined (inner) to the five dimensions; one fact row per sales_details row.
 
     The small dimensions are broadcast after a size check. The customer dimension contributes
     only its key, which equals the 3NF id, so it is a semi join against the key set: broadcast
     up to 2M customers, a sort-merge join (shuffling the sales by customer) beyond that.
+
+    ``customer_dim_covers_sales``: the caller asserts ``dim_customer`` was built (W2) from this
+    very ``sales_details``, whose customer_id is NOT NULL. The inner join then cannot drop a row,
+    so it is left out, and the fact build never shuffles the sales.
     """
     dd = bounded_broadcast(dim_date.select("date_key", "full_date"), DATE_DIM_BROADCAST_ROWS)
     dc = bounded_broadcast(dim_product_category.select("category_key"), SMALL_DIM_BROADCAST_ROWS)
     dr = bounded_broadcast(dim_region.select("region_key"), SMALL_DIM_BROADCAST_ROWS)
     dp = bounded_broadcast(dim_payment_method.select("payment_method_key"), SMALL_DIM_BROADCAST_ROWS)
-    cust_keys = bounded_broadcast(dim_customer.select("customer_key"), CUSTOMER_KEYS_BROADCAST_ROWS)
     s = sales_details
     joined = (
         s.join(dc, s["category_id"] == dc["category_key"])
         .join(dr, s["region_id"] == dr["region_key"])
         .join(dp, s["payment_method_id"] == dp["payment_method_key"])
         .join(dd, s["invoice_date"] == dd["full_date"])
-        .join(cust_keys, s["customer_id"] == cust_keys["customer_key"], "left_semi")
     )
+    if not customer_dim_covers_sales:
+        cust_keys = bounded_broadcast(dim_customer.select("customer_key"), CUSTOMER_KEYS_BROADCAST_ROWS)
+        joined = joined.join(cust_keys, s["customer_id"] == cust_keys["customer_key"], "left_semi")
     fact = joined.select(
         F.col("date_key"),
         s["customer_id"].alias("customer_key"),

@@ -17,13 +17,12 @@ from tallyhouse.functions.exprs import discount_price
 from tallyhouse.operators.keys import dense_key, row_key
 from tallyhouse.operators.quality import REASON, first_failure, not_null_rules
 from tallyhouse.operators.star import date_attributes
-from tallyhouse.plans.joins import bounded_broadcast
+from tallyhouse.plans.joins import present_keys, within_rows
 from tallyhouse.schemas import DIM_DATE, SALE_SUBMISSION, SALES_DETAILS, conform
 
 SUBMISSION_NOT_NULL = ("customer_id", "category_id", "quantity", "amount", "payment_method_id", "region_id")
-# lookups are tiny; the customer table is joined by shuffle when it is large
+# reference key sets up to this size are broadcast whole (the lookups; small customer tables)
 LOOKUP_BROADCAST_ROWS = 100_000
-CUSTOMER_BROADCAST_ROWS = 1_000_000
 
 # foreign key column -> (referenced table name, referenced column)
 FOREIGN_KEYS = {
@@ -34,13 +33,31 @@ FOREIGN_KEYS = {
 }
 
 
+# a batch with up to this many distinct values of a key is checked by semi-join reduction
+BATCH_KEYS_BROADCAST_ROWS = 1_000_000
+
+
 def _with_fk_flags(batch: DataFrame, refs: dict[str, DataFrame]) -> DataFrame:
-    """Add a boolean ``_has_<col>`` per foreign key (left join to the de-duplicated key set)."""
+    """Add a boolean ``_has_<col>`` per foreign key.
+
+    Small reference tables (the lookups) are broadcast whole after a size check. For a large one
+    (customers) the batch's distinct keys are broadcast into a scan of it instead (semi-join
+    reduction): the reference table is read once and never shuffled, and the keys found, at
+    most as many as the batch has, are joined back by broadcast.
+    """
     out = batch
     for col, (table, ref_col) in FOREIGN_KEYS.items():
-        keys = refs[table].select(F.col(ref_col).alias(f"_fk_{col}")).distinct().withColumn(f"_has_{col}", F.lit(True))
-        bound = CUSTOMER_BROADCAST_ROWS if table == "customer" else LOOKUP_BROADCAST_ROWS
-        out = out.join(bounded_broadcast(keys, bound), F.col(col) == F.col(f"_fk_{col}"), "left").drop(f"_fk_{col}")
+        ref = refs[table]
+        whole = ref.select(F.col(ref_col).alias(f"_fk_{col}")).distinct()
+        if within_rows(whole, LOOKUP_BROADCAST_ROWS):
+            found = F.broadcast(whole)
+        else:
+            batch_keys = batch.select(F.col(col).alias(ref_col)).where(F.col(ref_col).isNotNull()).distinct()
+            found = present_keys(batch_keys, ref, ref_col, BATCH_KEYS_BROADCAST_ROWS).withColumnRenamed(ref_col, f"_fk_{col}")
+            if within_rows(batch_keys, BATCH_KEYS_BROADCAST_ROWS):
+                found = F.broadcast(found)  # no more rows than the batch's distinct keys
+        flags = found.withColumn(f"_has_{col}", F.lit(True))
+        out = out.join(flags, F.col(col) == F.col(f"_fk_{col}"), "left").drop(f"_fk_{col}")
     return out
 
 

@@ -162,6 +162,7 @@ class Warehouse:
                 self.table("dim_product_category"),
                 self.table("dim_region"),
                 self.table("dim_payment_method"),
+                customer_dim_covers_sales=True,  # dim_customer was just built from this sales_details
             )
             self.write("fact_sales", fact.sortWithinPartitions("date_key"))
             self.timings["table_fact_sales"] = round(time.perf_counter() - t0, 3)

@@ -136,3 +136,25 @@ def test_stream_equals_batch(spark, refs):
     assert store.read_table(spark, targets.rejected_path).count() == batch_rejected.count() == 2
     dates = rows(store.read_table(spark, targets.dim_date_path, DIM_DATE), "date_key", "full_date")
     assert dates == [(1, dt.date(2025, 1, 1)), (2, as_of)]  # the new day loaded once
+
+
+def test_both_join_strategies_agree(spark, refs, monkeypatch):
+    """The broadcast and the shuffle paths of SCD2 and of the FK checks give the same rows."""
+    customer = spark.createDataFrame([(i,) for i in range(1, 6)], "customer_id int")
+    history = scd2.seed_customer_address(customer.where("customer_id < 5"), 10, D0, multiplier=1)
+    changes = spark.createDataFrame(
+        [(1, 2, dt.date(2025, 2, 1)), (2, 8, dt.date(2025, 2, 1)), (5, 3, dt.date(2025, 2, 1)), (77, 1, dt.date(2025, 2, 1))],
+        "customer_id int, address_id int, change_date date",
+    )
+    batch = spark.createDataFrame([sub(), sub(customer=4), sub(qty=0), sub(amount="1.00")], SALE_SUBMISSION)
+    h_small, r_small = scd2.apply_scd2(history, changes, customer)
+    a_small, j_small = ingest.ingest_sales(batch, refs, D0)
+    small = (rows(h_small), rows(r_small), rows(a_small.drop("sales_id")), rows(j_small))
+    monkeypatch.setattr(scd2, "CHANGE_BROADCAST_ROWS", 0)
+    monkeypatch.setattr(ingest, "LOOKUP_BROADCAST_ROWS", 0)
+    h_big, r_big = scd2.apply_scd2(history, changes, customer)
+    a_big, j_big = ingest.ingest_sales(batch, refs, D0)
+    assert (rows(h_big), rows(r_big), rows(a_big.drop("sales_id")), rows(j_big)) == small
+    monkeypatch.setattr(ingest, "BATCH_KEYS_BROADCAST_ROWS", 0)
+    a_sh, j_sh = ingest.ingest_sales(batch, refs, D0)
+    assert (rows(a_sh.drop("sales_id")), rows(j_sh)) == small[2:]
