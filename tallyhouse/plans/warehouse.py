@@ -118,8 +118,8 @@ class Warehouse:
             rs = self.table("retail_sales")
 
             def lookups():
-                for name, df in normalize.load_lookups(rs).items():
-                    self.write(name, df)
+                keyed = normalize.load_lookups(rs)  # one scan, one keying (checkpointed) for all three
+                self._write_together([(n, (lambda n=n, df=df: self.write(n, df))) for n, df in keyed.items()])
 
             self._write_together(
                 [("lookups", lookups), ("customer", lambda: self.write("customer", normalize.load_customer(rs)))]
