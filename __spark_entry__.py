@@ -160,31 +160,39 @@ def q_duplicate_transaction_ids(spark, sf):
 
 
 def q_quality_report(spark, sf):
+    """K4-K7 over the 3NF tables: one scan per table for its NOT NULL / CHECK / FK counts."""
     wh = _wh(spark, sf)
     sd, cust = wh.table("sales_details"), wh.table("customer")
-    checks: list[tuple[str, DataFrame]] = [
-        ("pk:customer(customer_id)", quality.primary_key_violations(cust, ["customer_id"])),
-        ("pk:retail_sales(transaction_id)", quality.primary_key_violations(wh.table("retail_sales"), ["transaction_id"])),
-        ("fk:sales_details(customer_id)->customer", quality.foreign_key_orphans(sd, ["customer_id"], cust, ["customer_id"])),
-        (
-            "fk:sales_details(category_id)->product_category",
-            quality.foreign_key_orphans(sd, ["category_id"], wh.table("product_category"), ["category_id"]),
-        ),
-        (
-            "fk:sales_details(payment_method_id)->payment_method",
-            quality.foreign_key_orphans(sd, ["payment_method_id"], wh.table("payment_method"), ["method_id"]),
-        ),
-        ("fk:sales_details(region_id)->region", quality.foreign_key_orphans(sd, ["region_id"], wh.table("region"), ["region_id"])),
-        ("check:sales_details(quantity>0)", quality.check_violations(sd, F.col("quantity") > 0)),
-        ("not_null:sales_details", quality.not_null_violations(sd, list(normalize.SALES_NOT_NULL))),
-        ("not_null:payment_method", quality.not_null_violations(wh.table("payment_method"), ["payment_method"])),
+
+    def count(name, violations):
+        return violations.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(name).alias("check_name"), "violations")
+
+    sales_checks = quality.constraint_report(
+        sd,
+        "sales_details",
+        not_null=normalize.SALES_NOT_NULL,
+        checks=[("check:sales_details(quantity>0)", F.col("quantity") > 0)],
+        foreign_keys=[
+            ("fk:sales_details(customer_id)->customer", "customer_id", cust, "customer_id"),
+            ("fk:sales_details(category_id)->product_category", "category_id", wh.table("product_category"), "category_id"),
+            ("fk:sales_details(payment_method_id)->payment_method", "payment_method_id", wh.table("payment_method"), "method_id"),
+            ("fk:sales_details(region_id)->region", "region_id", wh.table("region"), "region_id"),
+        ],
+    )
+    parts = [
+        count("pk:customer(customer_id)", quality.primary_key_violations(cust, ["customer_id"])),
+        count("pk:retail_sales(transaction_id)", quality.primary_key_violations(wh.table("retail_sales"), ["transaction_id"])),
+        sales_checks,
+        quality.constraint_report(wh.table("payment_method"), "payment_method", not_null=["payment_method"]),
         # A customer number held by two customer rows (two gender codes) doubles its sales
-        ("dup:customer(customer_no)", quality.primary_key_violations(cust.where(F.col("customer_no").isNotNull()), ["customer_no"])),
+        count(
+            "dup:customer(customer_no)",
+            quality.primary_key_violations(cust.where(F.col("customer_no").isNotNull()), ["customer_no"]),
+        ),
     ]
-    counts = [df.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(name).alias("check_name"), "violations") for name, df in checks]
-    out = counts[0]
-    for c in counts[1:]:
-        out = out.unionByName(c)
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
     return out
 
 

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.plans.joins import bounded_broadcast
+from tallyhouse.plans.joins import bounded_broadcast, within_rows
 
 REASON = "reject_reason"
 
@@ -55,6 +55,56 @@ def foreign_key_orphans(
     return df.where(present).join(keys, cond, "left_anti")
 
 
+def constraint_report(
+    df: DataFrame,
+    table: str,
+    not_null: Sequence[str] = (),
+    checks: Sequence[tuple[str, Column]] = (),
+    foreign_keys: Sequence[tuple[str, str, DataFrame, str]] = (),
+    broadcast_rows: int = FK_BROADCAST_ROWS,
+) -> DataFrame:
+    """K5-K7 for one table in a single scan: rows ``(check_name, violations)``.
+
+    NOT NULL (rows with any NULL in ``not_null``) and CHECK predicates are conditional counts.
+    A foreign key ``(label, col, ref, ref_col)`` whose referenced key set fits ``broadcast_rows``
+    is a broadcast flag join on the same pass. A larger one is checked on per-key row counts
+    (partial aggregation), anti-joined with the referenced keys, so only distinct keys move.
+    """
+    counted: list[tuple[str, Column]] = []  # (check name, condition of a violating row)
+    if not_null:
+        any_null = None
+        for c in not_null:
+            e = F.col(c).isNull()
+            any_null = e if any_null is None else any_null | e
+        counted.append((f"not_null:{table}", any_null))
+    for name, pred in checks:
+        counted.append((name, ~F.coalesce(pred, F.lit(True))))
+    flagged = df
+    large: list[tuple[str, str, DataFrame, str]] = []
+    for i, (label, col, ref, ref_col) in enumerate(foreign_keys):
+        keys = ref.select(F.col(ref_col).alias(f"_fk{i}")).distinct()
+        if within_rows(keys, broadcast_rows):
+            flagged = flagged.join(F.broadcast(keys.withColumn(f"_has{i}", F.lit(True))), F.col(col) == F.col(f"_fk{i}"), "left")
+            counted.append((label, F.col(col).isNotNull() & F.col(f"_has{i}").isNull()))
+        else:
+            large.append((label, col, ref, ref_col))
+    parts = []
+    if counted:
+        names = [f"_c{i}" for i in range(len(counted))]
+        wide = flagged.agg(*[F.sum(F.when(cond, 1).otherwise(0)).alias(n) for n, (_, cond) in zip(names, counted)])
+        wide = wide.select(*[F.coalesce(F.col(n), F.lit(0)).cast("long").alias(label) for n, (label, _) in zip(names, counted)])
+        parts.append(wide.unpivot([], [label for label, _ in counted], "check_name", "violations"))
+    for label, col, ref, ref_col in large:
+        per_key = df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
+        orphans = per_key.join(ref.select(F.col(ref_col).alias("_k")).distinct(), "_k", "left_anti")
+        parts.append(orphans.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("violations")).select(
+            F.lit(label).alias("check_name"), "violations"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def check_violations(df: DataFrame, predicate: Column) -> DataFrame:
     """K6: rows where a CHECK predicate is *false*; NULL passes a CHECK constraint."""
     return df.where(~F.coalesce(predicate, F.lit(True)))

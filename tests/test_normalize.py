@@ -150,3 +150,18 @@ def test_fixture_invariants(spark, wh):
     assert sd.agg(F.sum("amount")).first()[0] == rs.agg(F.sum("total_amount")).first()[0]
     first, last = explore.invoice_date_range(sd).first()
     assert first <= last and first >= dt.date(1990, 1, 1)
+
+
+def test_constraint_report_one_pass_both_fk_paths(spark):
+    df = spark.createDataFrame([(1, 5), (1, 0), (None, None), (2, -1), (9, 3)], "k int, q int")
+    ref = spark.createDataFrame([(1,), (2,)], "id int")
+    for bound in (10, 0):  # broadcast flags / per-key counts anti-joined
+        got = dict(
+            (r["check_name"], r["violations"])
+            for r in quality.constraint_report(
+                df, "t", ["k", "q"], [("check:q>0", F.col("q") > 0)], [("fk:k", "k", ref, "id")], broadcast_rows=bound
+            ).collect()
+        )
+        assert got == {"not_null:t": 1, "check:q>0": 2, "fk:k": 1}
+    plan = quality.constraint_report(df, "t", ["k"], [], [("fk:k", "k", ref, "id")])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan ExistingRDD") + plan.count("LocalTableScan") <= 3  # the table is read once
