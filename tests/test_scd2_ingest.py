@@ -158,3 +158,18 @@ def test_both_join_strategies_agree(spark, refs, monkeypatch):
     monkeypatch.setattr(ingest, "BATCH_KEYS_BROADCAST_ROWS", 0)
     a_sh, j_sh = ingest.ingest_sales(batch, refs, D0)
     assert (rows(a_sh.drop("sales_id")), rows(j_sh)) == small[2:]
+
+
+def test_replayed_batch_is_exactly_once(spark, refs):
+    root = scratch_path(spark, "replay")
+    targets = sales_stream.SalesStreamTargets(f"{root}/sales", f"{root}/rej", f"{root}/dim_date", f"{root}/_ckpt")
+    dim = spark.createDataFrame([(1, dt.date(2025, 1, 1))], "date_key int, full_date date")
+    store.write_table(dim.select(*[(F.col(f.name) if f.name in dim.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in DIM_DATE.fields]), targets.dim_date_path)
+    batch = spark.createDataFrame([sub(), sub(qty=2), sub(amount="1.00")], SALE_SUBMISSION)
+    as_of = dt.date(2025, 3, 3)
+    for _ in range(2):  # the same micro-batch id delivered twice
+        sales_stream.process_batch(batch, 7, refs, targets, as_of)
+    assert sales_stream.streamed_sales(spark, targets).count() == 2
+    assert store.read_table(spark, targets.rejected_path).count() == 1
+    dates = rows(store.read_table(spark, targets.dim_date_path, DIM_DATE), "date_key", "full_date")
+    assert dates == [(1, dt.date(2025, 1, 1)), (2, as_of)]
