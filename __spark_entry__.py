@@ -270,6 +270,15 @@ def q_cum_customer_revenue_chain(spark, sf):
     return cum.run_bucketed_chain(spark, sales_table, cum.CUSTOMER_REVENUE, years, table, path, BUCKETS)
 
 
+def q_cum_customer_product_engage_as_of(spark, sf):
+    """C9 sparse: running totals kept only at active years, read as of the last year."""
+    wh = _wh(spark, sf)
+    sd = wh.table("sales_details")
+    spec = cum.CUSTOMER_PRODUCT_ENGAGE
+    sparse = cum.backfill_sparse(sd, spec)
+    return cum.as_of(sparse, spec, cum.last_period(sd, "year"), _names(wh))
+
+
 def q_cum_region_sales_for_category(spark, sf):
     wh = _wh(spark, sf)
     table = cum.backfill(wh.table("sales_details"), cum.REGION_PRODUCT_SALES, _names(wh))
@@ -399,6 +408,7 @@ def queries() -> dict[str, Query]:
             "cum_customer_revenue": _backfill("cum_customer_revenue"),
             "cum_customer_revenue_step": q_cum_customer_revenue_step,
             "cum_customer_revenue_chain": q_cum_customer_revenue_chain,
+            "cum_customer_product_engage_as_of": q_cum_customer_product_engage_as_of,
             "cum_region_sales_for_category": q_cum_region_sales_for_category,
             "cum_customer_sales": q_cum_customer_sales,
             "cum_customer_sales_unnested": q_cum_customer_sales_unnested,

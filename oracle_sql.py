@@ -395,6 +395,16 @@ FROM run LEFT JOIN pc_lk pc ON run.category_id = pc.category_id
         )
     )
     q["cum_customer_revenue_chain"] = q["cum_customer_revenue"]
+    q["cum_customer_product_engage_as_of"] = _with(
+        _cum_yearly(
+            ["customer_id", "category_id"],
+            {"q": "quantity", "s": "amount"},
+            "LEFT JOIN pc_lk pc ON run.category_id = pc.category_id",
+            "run.customer_id, run.category_id, pc.category AS product_category, CAST(q AS INTEGER) AS cum_purchase_count, "
+            "CAST(s AS DECIMAL(18,2)) AS cumulative_sales, current_year",
+            where="WHERE current_year = (SELECT y FROM max_year)",
+        )
+    )
     q["cum_customer_sales_exploded"] = _with(
         "SELECT sp.customer_id, c.customer_no, sp.current_year, "
         "CAST(row_number() OVER (PARTITION BY sp.customer_id, sp.current_year ORDER BY s.y) - 1 AS INTEGER) AS pos, "

@@ -270,6 +270,36 @@ def backfill(
     return conform(expanded, spec.schema)
 
 
+def backfill_sparse(sales_details: DataFrame, spec: CumulativeSpec) -> DataFrame:
+    """C9, sparse: running totals only at each key's *active* periods.
+
+    The dense table has a row per key for every period after its first sale (keys x periods);
+    for fine periods (days) over many keys (customers) that explodes. This form keeps one row per
+    key and active period, the same running totals, and :func:`as_of` reads any period from it.
+    """
+    per = sales_details.groupBy(*spec.keys, period_expr(spec.grain).alias(spec.period_col)).agg(
+        *[F.sum(src).alias(out) for out, src in spec.measures]
+    )
+    running = Window.partitionBy(*spec.keys).orderBy(spec.period_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = per.select(*spec.keys, spec.period_col, *[F.sum(out).over(running).alias(out) for out, _ in spec.measures])
+    return conform(out, spec.schema)
+
+
+def as_of(sparse: DataFrame, spec: CumulativeSpec, period, names: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """The dense table's rows for ``period``, read from the sparse form: per key, the latest
+    active row at or before ``period`` (``max_by``, one aggregation with map-side combine)."""
+    lit = _period_lit(spec.grain, period)
+    latest = (
+        sparse.where(F.col(spec.period_col) <= lit)
+        .groupBy(*spec.keys)
+        .agg(F.max_by(F.struct(*[out for out, _ in spec.measures]), F.col(spec.period_col)).alias("_m"))
+    )
+    out = latest.select(*spec.keys, *[F.col(f"_m.{out}").alias(out) for out, _ in spec.measures], lit.alias(spec.period_col))
+    if names is not None:
+        out = names(out)
+    return conform(out, spec.schema)
+
+
 def refresh_from(
     spark: SparkSession,
     sales_details: DataFrame,

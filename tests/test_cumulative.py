@@ -186,3 +186,20 @@ def test_late_sale_refresh_equals_full_backfill(spark, skip_sales):
     late_days = days.unionByName(spark.createDataFrame([sd_row(3, 1, dt.date(2023, 1, 2), "5.00", category=2)], SALES_DETAILS))
     got = rows(cum.refresh_from(spark, late_days, cum.PRODUCT_SALES, dpath, dt.date(2023, 1, 2)))
     assert got == rows(cum.backfill(late_days, cum.PRODUCT_SALES))
+
+
+def test_sparse_form_reads_like_dense(spark, wh, skip_sales):
+    for sales, spec in ((skip_sales, cum.CUSTOMER_REVENUE), (wh.table("sales_details"), cum.CUSTOMER_PRODUCT_ENGAGE)):
+        dense = cum.backfill(sales, spec)
+        sparse = cum.backfill_sparse(sales, spec)
+        assert sparse.count() <= dense.count()
+        for period in [r[0] for r in dense.select(spec.period_col).distinct().collect()]:
+            assert rows(cum.as_of(sparse, spec, period)) == rows(dense.where(F.col(spec.period_col) == period))
+    days = spark.createDataFrame(
+        [sd_row(1, 1, dt.date(2023, 1, 1), "1.00"), sd_row(2, 1, dt.date(2023, 1, 9), "2.00"), sd_row(3, 1, dt.date(2023, 1, 3), "4.00", category=2)],
+        SALES_DETAILS,
+    )
+    dense = cum.backfill(days, cum.PRODUCT_SALES)
+    sparse = cum.backfill_sparse(days, cum.PRODUCT_SALES)
+    assert sparse.count() == 3 and dense.count() == 16
+    assert rows(cum.as_of(sparse, cum.PRODUCT_SALES, dt.date(2023, 1, 5))) == rows(dense.where(F.col("present_date") == dt.date(2023, 1, 5)))
