@@ -8,7 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from tools.oracle_check import TABLES, digest
+from tools.oracle_check import TABLES, digest, type_diff
 
 from conftest import SF_SMALL
 
@@ -41,6 +41,7 @@ def test_query_matches_oracle(spark, con, name):
     want_cols = [d[0] for d in cur.description]
     want_rows = cur.fetchall()
     assert sorted(df.columns) == sorted(want_cols)
+    assert type_diff(df.dtypes, [(r[0], r[1]) for r in con.execute(f"DESCRIBE {ORACLE[name]}").fetchall()]) == {}
     assert len(got_rows) == len(want_rows)
     assert digest(df.columns, got_rows)[0] == digest(want_cols, want_rows)[0]
 
