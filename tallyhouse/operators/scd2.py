@@ -73,7 +73,7 @@ def apply_scd2(history: DataFrame, changes: DataFrame, customer: DataFrame | Non
     small = within_rows(ch, CHANGE_BROADCAST_ROWS)
     rejected = ch.limit(0).withColumn(REASON, F.lit(None).cast("string"))
     if customer is not None:
-        known = present_keys(ch.select("customer_id"), customer, "customer_id", CHANGE_BROADCAST_ROWS)
+        known = present_keys(ch.select("customer_id"), customer, "customer_id", CHANGE_BROADCAST_ROWS, small=small)
         known = F.broadcast(known) if small else known
         rejected = ch.join(known, "customer_id", "left_anti").withColumn(REASON, F.lit("fk:customer_id"))
         ch = ch.join(known, "customer_id", "left_semi")

@@ -35,14 +35,14 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if within_rows(df, max_rows) else df
 
 
-def present_keys(keys: DataFrame, ref: DataFrame, key_col: str, max_rows: int) -> DataFrame:
+def present_keys(keys: DataFrame, ref: DataFrame, key_col: str, max_rows: int, small: bool | None = None) -> DataFrame:
     """Semi-join reduction: the rows of ``keys`` (one column ``key_col``, distinct) found in ``ref``.
 
     When ``keys`` is small (checked), it is broadcast into a scan of ``ref``: the large side is
     read once and never shuffled, and the result has at most as many rows as ``keys``.
-    Otherwise both sides are joined by shuffle.
+    Otherwise both sides are joined by shuffle. ``small`` passes a size check already made.
     """
     ref_keys = ref.select(key_col)
-    if within_rows(keys, max_rows):
+    if small if small is not None else within_rows(keys, max_rows):
         return ref_keys.join(F.broadcast(keys), key_col, "left_semi").distinct()
     return keys.join(ref_keys.distinct(), key_col, "left_semi")

@@ -9,6 +9,7 @@ from __future__ import annotations
 import datetime as _dt
 import hashlib
 import os
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,9 +62,13 @@ def warehouse(spark: SparkSession, sf_dir: str, reuse: bool = True) -> Warehouse
         root = f"{shared_dir(spark)}/tallyhouse/warehouse-{tag}"
     wh = Warehouse.create(spark, root)
     if root is not None and _is_complete(spark, root):
-        wh.built.update({"staging", "oltp", "star"})
+        wh.built.update({"staging", "oltp", "star", "address"})
     else:
-        wh.load_staging(tpch.retail_sales(spark, sf_dir)).build_oltp().build_star()
+        # the address table needs only customer and nation: built alongside the sales layers
+        with ThreadPoolExecutor(max_workers=1) as pool:
+            addresses = pool.submit(lambda: wh.build_addresses(tpch.customer_addresses(spark, sf_dir)))
+            wh.load_staging(tpch.retail_sales(spark, sf_dir)).build_oltp().build_star()
+            addresses.result()
         if root is not None:
             spark.createDataFrame([(os.path.abspath(sf_dir),)], "sf_dir string").write.mode("overwrite").parquet(
                 f"{root}/{_MANIFEST}"
