@@ -98,7 +98,13 @@ def stage_sales_details(
     pay = bounded_broadcast(lookups["payment_method"].select("method_id", "payment_method"), LOOKUP_BROADCAST_ROWS)
     cat = bounded_broadcast(lookups["product_category"].select("category_id", "category"), LOOKUP_BROADCAST_ROWS)
     reg = bounded_broadcast(lookups["region"].select("region_id", "region_name"), LOOKUP_BROADCAST_ROWS)
-    rs = retail_sales.withColumn("_join_no", customer_no_for_join("customer_id"))
+    # CONCAT('C-', NULL) = 'C-' matches no customer. Used as a join key, every such row would hash
+    # to the same reducer; they are given distinct keys instead (NUL-prefixed, so they cannot
+    # match a customer number either), which spreads them over all partitions.
+    unmatched = F.concat(F.lit("\u0000"), F.xxhash64(*[F.col(c) for c in retail_sales.columns]).cast("string"))
+    rs = retail_sales.withColumn(
+        "_join_no", F.when(F.col("customer_id").isNull(), unmatched).otherwise(customer_no_for_join("customer_id"))
+    )
     joined = (
         rs.join(cat, rs["product_category"] == cat["category"], "left")
         .join(pay, rs["payment_method"] == pay["payment_method"], "left")

@@ -79,3 +79,13 @@ def test_latest_change_for_a_hot_customer(spark):
     assert latest[1] == (best[1] % 1000, day + dt.timedelta(days=best[0]))
     plan = scd2.latest_changes(changes)._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan and "partial_max" in plan
+
+
+def test_null_customer_ids_do_not_share_a_join_key(spark, skewed):
+    # a third of the rows without a customer id: quarantined, and spread over partitions
+    rs = skewed.withColumn("customer_id", F.when(F.col("customer_id") == 1, F.lit(None)).otherwise(F.col("customer_id")))
+    customer = normalize.load_customer(rs)
+    staged = normalize.stage_sales_details(rs, customer, normalize.load_lookups(rs))
+    assert staged.where(F.col("reject_reason") == "not_null:customer_id").count() == 10_000
+    keys = rs.withColumn("_k", F.concat(F.lit("\u0000"), F.xxhash64(*[F.col(c) for c in rs.columns]).cast("string")))
+    assert keys.where(F.col("customer_id").isNull()).select("_k").distinct().count() > 9_000
