@@ -357,7 +357,7 @@ run AS (SELECT sp.category_id, sp.present_date,
                SUM(a.q) OVER (PARTITION BY sp.category_id ORDER BY sp.present_date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS q,
                SUM(a.s) OVER (PARTITION BY sp.category_id ORDER BY sp.present_date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS s
         FROM sp LEFT JOIN agg a ON a.category_id = sp.category_id AND a.d = sp.present_date)
-SELECT run.category_id, pc.category AS product_category, CAST(q AS INTEGER) AS cumulative_quantity,
+SELECT run.category_id, pc.category AS product_category, CAST(q AS BIGINT) AS cumulative_quantity,
        CAST(s AS DECIMAL(18,2)) AS cumulative_sales, present_date
 FROM run LEFT JOIN pc_lk pc ON run.category_id = pc.category_id
 """
@@ -376,7 +376,7 @@ FROM run LEFT JOIN pc_lk pc ON run.category_id = pc.category_id
             ["customer_id", "category_id"],
             {"q": "quantity", "s": "amount"},
             "LEFT JOIN pc_lk pc ON run.category_id = pc.category_id",
-            "run.customer_id, run.category_id, pc.category AS product_category, CAST(q AS INTEGER) AS cum_purchase_count, "
+            "run.customer_id, run.category_id, pc.category AS product_category, CAST(q AS BIGINT) AS cum_purchase_count, "
             "CAST(s AS DECIMAL(18,2)) AS cumulative_sales, current_year",
         )
     )
@@ -400,7 +400,7 @@ FROM run LEFT JOIN pc_lk pc ON run.category_id = pc.category_id
             ["customer_id", "category_id"],
             {"q": "quantity", "s": "amount"},
             "LEFT JOIN pc_lk pc ON run.category_id = pc.category_id",
-            "run.customer_id, run.category_id, pc.category AS product_category, CAST(q AS INTEGER) AS cum_purchase_count, "
+            "run.customer_id, run.category_id, pc.category AS product_category, CAST(q AS BIGINT) AS cum_purchase_count, "
             "CAST(s AS DECIMAL(18,2)) AS cumulative_sales, current_year",
             where="WHERE current_year = (SELECT y FROM max_year)",
         )
@@ -409,14 +409,14 @@ FROM run LEFT JOIN pc_lk pc ON run.category_id = pc.category_id
         "SELECT sp.customer_id, c.customer_no, sp.current_year, "
         "CAST(row_number() OVER (PARTITION BY sp.customer_id, sp.current_year ORDER BY s.y) - 1 AS INTEGER) AS pos, "
         "s.y AS sales_year, CAST(s.disc AS FLOAT) AS total_discount, CAST(s.amt AS FLOAT) AS total_amount_spent, "
-        "CAST(s.qty AS INTEGER) AS total_qty_purchased "
+        "CAST(s.qty AS BIGINT) AS total_qty_purchased "
         "FROM cy_spine sp JOIN cy_stats s ON s.customer_id = sp.customer_id AND s.y <= sp.current_year "
         "JOIN cust_lk c ON c.customer_id = sp.customer_id"
     )
     q["cum_region_sales_for_category"] = q["cum_region_product_sales"].rstrip() + f"\nWHERE pc.category = '{LOOKUP_CATEGORY}'"
     q["cum_customer_sales_flat"] = _with(
         "SELECT c.customer_no, s.y AS sales_year, CAST(s.disc AS FLOAT) AS total_discount, "
-        "CAST(s.amt AS FLOAT) AS total_amount_spent, CAST(s.qty AS INTEGER) AS total_qty_purchased "
+        "CAST(s.amt AS FLOAT) AS total_amount_spent, CAST(s.qty AS BIGINT) AS total_qty_purchased "
         "FROM cy_stats s JOIN cust_lk c ON s.customer_id = c.customer_id"
     )
     q["customer_transitions"] = _with(

@@ -357,7 +357,7 @@ def _stats_struct(year: Column) -> Column:
         year.cast("int").alias("sales_year"),
         F.sum("discount").cast("float").alias("total_discount"),
         F.sum("amount").cast("float").alias("total_amount_spent"),
-        F.sum("quantity").cast("int").alias("total_qty_purchased"),
+        F.sum("quantity").cast("long").alias("total_qty_purchased"),
     ).cast(SALES_STATS)
 
 

@@ -3,7 +3,9 @@
 Money is exact: ``DecimalType(10,2)`` per row, ``DecimalType(18,2)`` for totals,
 ``DecimalType(4,2)`` for discount rates. ``REAL`` columns of the nested customer statistics are
 ``FloatType``. Row keys of the two sales tables are ``LongType`` (a 4-byte serial runs out
-long before 100 TB of sales).
+long before 100 TB of sales), and so are the three *summed* quantities of the cumulative tables
+(declared INT by the reference): a category's lifetime quantity at 100 TB is ~10^12, and with
+ANSI arithmetic an INT target would fail the load, as the reference's INSERT would.
 """
 
 from __future__ import annotations
@@ -99,7 +101,7 @@ SALES_DETAILS = _s(
 CUM_PRODUCT_SALES = _s(
     ("category_id", IntegerType(), True),
     ("product_category", StringType(), True),
-    ("cumulative_quantity", IntegerType(), True),
+    ("cumulative_quantity", LongType(), True),
     ("cumulative_sales", TOTAL, True),
     ("present_date", DateType(), True),
 )
@@ -115,7 +117,7 @@ CUM_CUSTOMER_PRODUCT_ENGAGE = _s(
     ("customer_id", IntegerType(), True),
     ("category_id", IntegerType(), True),
     ("product_category", StringType(), True),
-    ("cum_purchase_count", IntegerType(), True),
+    ("cum_purchase_count", LongType(), True),
     ("cumulative_sales", TOTAL, True),
     ("current_year", IntegerType(), True),
 )
@@ -128,7 +130,7 @@ SALES_STATS = _s(
     ("sales_year", IntegerType(), True),
     ("total_discount", FloatType(), True),
     ("total_amount_spent", FloatType(), True),
-    ("total_qty_purchased", IntegerType(), True),
+    ("total_qty_purchased", LongType(), True),
 )
 CUM_CUSTOMER_SALES = _s(
     ("customer_id", IntegerType(), True),
