@@ -21,10 +21,10 @@ ADDRESS_MULTIPLIERS = (7919, 104729, 7927, 7919)  # seed, then three change batc
 
 BASE = r"""
 rs AS (
-  SELECT CAST(l.l_orderkey * 8 + l.l_linenumber AS INTEGER) AS transaction_id,
+  SELECT CAST(l.l_orderkey * 8 + l.l_linenumber AS BIGINT) AS transaction_id,
          strftime(o.o_orderdate, '%Y-%m-%d %H:%M:%S') AS "timestamp",
-         CAST(o.o_custkey AS INTEGER) AS customer_id,
-         CAST(l.l_partkey AS INTEGER) AS product_id,
+         CAST(o.o_custkey AS BIGINT) AS customer_id,
+         CAST(l.l_partkey AS BIGINT) AS product_id,
          p.p_type AS product_category,
          CAST(l.l_quantity AS INTEGER) AS quantity,
          CAST(p.p_retailprice AS DECIMAL(10,2)) AS price,

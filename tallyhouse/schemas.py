@@ -35,11 +35,13 @@ def _s(*fields: tuple[str, object, bool]) -> StructType:
 
 
 # --- staging -------------------------------------------------------------------------------
+# The three source ids are BIGINT (INT in the reference): source keys of 100 TB of sales exceed
+# 2^31, and they only feed keys and customer numbers.
 RETAIL_SALES = _s(
-    ("transaction_id", IntegerType(), True),
+    ("transaction_id", LongType(), True),
     ("timestamp", StringType(), True),
-    ("customer_id", IntegerType(), True),
-    ("product_id", IntegerType(), True),
+    ("customer_id", LongType(), True),
+    ("product_id", LongType(), True),
     ("product_category", StringType(), True),
     ("quantity", IntegerType(), True),
     ("price", MONEY, True),

@@ -78,10 +78,10 @@ def retail_sales(spark: SparkSession, sf_dir: str, extra: tuple[str, ...] = ())
         part, F.col("l_partkey") == F.col("p_partkey")
     )
     staged = rows.select(
-        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("int").alias("transaction_id"),
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("long").alias("transaction_id"),
         F.date_format(F.col("o_orderdate"), "yyyy-MM-dd HH:mm:ss").alias("timestamp"),
-        F.col("o_custkey").cast("int").alias("customer_id"),
-        F.col("l_partkey").cast("int").alias("product_id"),
+        F.col("o_custkey").cast("long").alias("customer_id"),
+        F.col("l_partkey").cast("long").alias("product_id"),
         F.col("p_type").alias("product_category"),
         F.col("l_quantity").cast("int").alias("quantity"),
         F.col("p_retailprice").cast(MONEY).alias("price"),
