@@ -375,16 +375,17 @@ def customer_sales_step(sales_details: DataFrame, yesterday: DataFrame, customer
     """C5 step: append this year's statistics to each customer's array.
 
     New customers start a one-element array; customers without sales this year keep their array
-    unchanged (nothing NULL is appended); every row is labelled with the target year.
+    unchanged (nothing NULL is appended); every row is labelled with the target year. The number
+    of a customer depends only on its id, so it is attached after the full join; the join itself
+    stays co-partitioned when both sides are bucketed by customer_id.
     """
     today = (
         sales_details.where(year_range("invoice_date", year))
         .groupBy("customer_id")
         .agg(_stats_struct(F.lit(year)).alias("_stats"))
     )
-    today = _customer_numbers(today, customer).withColumnRenamed("customer_no", "_t_no")
     y = yesterday.select("customer_id", F.col("customer_no").alias("_y_no"), F.col("sales_stats").alias("_y_stats"))
-    j = today.join(y, "customer_id", "full")
+    j = _customer_numbers(today.join(y, "customer_id", "full"), customer)
     stats = (
         F.when(F.col("_y_stats").isNull(), F.array(F.col("_stats")))
         .when(F.col("_stats").isNotNull(), F.concat(F.col("_y_stats"), F.array(F.col("_stats"))))
@@ -392,7 +393,7 @@ def customer_sales_step(sales_details: DataFrame, yesterday: DataFrame, customer
     )
     out = j.select(
         "customer_id",
-        F.coalesce("_t_no", "_y_no").alias("customer_no"),
+        F.coalesce("customer_no", "_y_no").alias("customer_no"),
         stats.alias("sales_stats"),
         F.lit(year).cast("int").alias("current_year"),
     )
@@ -408,6 +409,25 @@ def run_customer_sales_chain(
     return store.read_table(spark, path, CUM_CUSTOMER_SALES)
 
 
+def run_bucketed_customer_sales_chain(
+    spark: SparkSession, sales_table: str, customer: DataFrame, years: Sequence[int], table: str, path: str, buckets: int
+) -> DataFrame:
+    """C5 steps on a catalog table partitioned by year and bucketed by customer_id (see
+    :func:`run_bucketed_chain`)."""
+    sales = spark.table(sales_table)
+    for year in years:
+        if store.table_exists(spark, table):
+            prior = spark.table(table).where(F.col("current_year") == F.lit(year - 1))
+        else:
+            prior = spark.createDataFrame([], CUM_CUSTOMER_SALES)
+        step = customer_sales_step(sales, prior, customer, year)
+        if store.table_exists(spark, table):
+            store.insert_period(step, table)
+        else:
+            store.save_bucketed(step, table, path, ("customer_id",), buckets, partition_by=("current_year",))
+    return spark.table(table)
+
+
 def backfill_customer_sales(sales_details: DataFrame, customer: DataFrame, end: int | None = None) -> DataFrame:
     """C9 for C5: per (customer, year) statistics, the running array over a window by customer."""
     end = end if end is not None else last_period(sales_details, "year")
