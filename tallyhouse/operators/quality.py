@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.plans.joins import bounded_broadcast, within_rows
+from tallyhouse.plans.joins import within_rows
 
 REASON = "reject_reason"
 
@@ -43,7 +43,9 @@ def foreign_key_orphans(
     The referenced keys are de-duplicated first, so the anti join's build side is one row per
     key; it is broadcast after a size check, else the anti join shuffles both sides.
     """
-    keys = bounded_broadcast(ref.select(*[F.col(r).alias(f"_ref_{i}") for i, r in enumerate(ref_cols)]).distinct(), broadcast_rows)
+    keys = ref.select(*[F.col(r).alias(f"_ref_{i}") for i, r in enumerate(ref_cols)]).distinct()
+    # bound on raw rows: an upper bound of the distinct keys, and the count stops early
+    keys = F.broadcast(keys) if within_rows(ref.select(*ref_cols), broadcast_rows) else keys
     cond = None
     for i, c in enumerate(cols):
         e = F.col(c) == F.col(f"_ref_{i}")
@@ -83,7 +85,7 @@ def constraint_report(
     large: list[tuple[str, str, DataFrame, str]] = []
     for i, (label, col, ref, ref_col) in enumerate(foreign_keys):
         keys = ref.select(F.col(ref_col).alias(f"_fk{i}")).distinct()
-        if within_rows(keys, broadcast_rows):
+        if within_rows(ref.select(ref_col), broadcast_rows):  # raw rows bound the distinct keys
             flagged = flagged.join(F.broadcast(keys.withColumn(f"_has{i}", F.lit(True))), F.col(col) == F.col(f"_fk{i}"), "left")
             counted.append((label, F.col(col).isNotNull() & F.col(f"_has{i}").isNull()))
         else:

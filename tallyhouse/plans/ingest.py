@@ -49,7 +49,8 @@ def _with_fk_flags(batch: DataFrame, refs: dict[str, DataFrame]) -> DataFrame:
     for col, (table, ref_col) in FOREIGN_KEYS.items():
         ref = refs[table]
         whole = ref.select(F.col(ref_col).alias(f"_fk_{col}")).distinct()
-        if within_rows(whole, LOOKUP_BROADCAST_ROWS):
+        # bound on raw rows (an upper bound of the distinct keys, and the count stops early)
+        if within_rows(ref.select(ref_col), LOOKUP_BROADCAST_ROWS):
             found = F.broadcast(whole)
         else:
             batch_keys = batch.select(F.col(col).alias(ref_col)).where(F.col(ref_col).isNotNull()).distinct()
