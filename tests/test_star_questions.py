@@ -123,3 +123,25 @@ def test_b1_plan_is_one_scan_and_one_shuffle(wh):
     assert plan.count("Exchange hashpartitioning") == 1
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
     assert rows(b1)  # runs
+
+
+def test_cluster_settings_apply_and_keep_results(spark, wh):
+    from tallyhouse.session import cluster_settings
+
+    def b1():
+        return rows(questions.avg_quarterly_revenue(
+            wh.table("fact_sales"), wh.table("dim_region"), wh.table("dim_product_category"), wh.table("dim_date")))
+
+    before = b1()
+    settings = cluster_settings(1 << 30, 4)
+    saved = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        assert b1() == before
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
