@@ -15,8 +15,16 @@ from tallyhouse.operators.star import DATE_DIM_BROADCAST_ROWS, SMALL_DIM_BROADCA
 from tallyhouse.plans.joins import bounded_broadcast
 from tallyhouse.schemas import TOTAL
 
-# Payment method ids tested literally by the view, in column order (ids follow the sorted names).
+# Fixed values ------------------------------------------------------------------------------
+# payment method ids tested literally by the Christmas view, in column order (the ids follow
+# the sorted method names: Credit Card, Debit Card, Gift Card, PayPal)
 CHRISTMAS_COLUMNS = (("credit_card", 1), ("debit_card", 2), ("gift_card", 3), ("paypal", 4))
+# ------------------------------------------------------------------------------------------
+
+
+def _asc(*cols: str):
+    """ORDER BY as the reference's database sorts: ascending, NULLs last."""
+    return [F.col(c).asc_nulls_last() for c in cols]
 
 
 def _fact_with(fact: DataFrame, dim_region=None, dim_product_category=None, dim_date=None, dim_payment_method=None):
@@ -44,7 +52,7 @@ def avg_quarterly_revenue(
     return (
         f.groupBy("year", "quarter_name", "region", "product_category")
         .agg(exact_avg("sale_amount", 2).alias("avg_sales"))
-        .orderBy("year", "quarter_name", "region", "product_category")
+        .orderBy(*_asc("year", "quarter_name", "region", "product_category"))
     )
 
 
@@ -60,7 +68,7 @@ def avg_of_quarter_totals(
             F.count(F.lit(1)).alias("quarters"),
             exact_ratio(F.sum("_q_total"), F.count(F.lit(1)), 2).alias("avg_quarterly_revenue"),
         )
-        .orderBy("region", "product_category")
+        .orderBy(*_asc("region", "product_category"))
     )
 
 
@@ -77,7 +85,7 @@ def payment_mix_by_region(fact_sales: DataFrame, dim_region: DataFrame, dim_paym
     region_total = F.sum("revenue").over(Window.partitionBy("region"))
     return per.withColumn(
         "revenue_share", exact_ratio(F.col("revenue"), region_total, 4, num_scale=2, den_scale=2, precision=9)
-    ).orderBy("region", "payment_method")
+    ).orderBy(*_asc("region", "payment_method"))
 
 
 def christmas_sales_by_payment_method(sales_details: DataFrame, region: DataFrame) -> DataFrame:
@@ -97,5 +105,5 @@ def christmas_sales_by_payment_method(sales_details: DataFrame, region: DataFram
     return (
         named.groupBy("region_name", F.col("invoice_date").alias("christmas_day"))
         .agg(*[F.sum(f"_{name}").cast(TOTAL).alias(name) for name, _ in CHRISTMAS_COLUMNS])
-        .orderBy(F.col("region_name").asc_nulls_last(), "christmas_day")
+        .orderBy(*_asc("region_name", "christmas_day"))
     )
