@@ -170,6 +170,34 @@ class Warehouse:
         self._timed("star", run)
         return self
 
+    def build_cumulative(self, include_daily: bool = False) -> "Warehouse":
+        """C1-C5 as stored tables: each filled by the one-job backfill (C9) and partitioned by its
+        period, so later periods are appended by C0 steps (``cumulative.run_chain`` on
+        ``path(name)``) or refreshed after late sales (``cumulative.refresh_from``).
+
+        The daily product table has one partition per day; it is only written when asked for.
+        """
+        from tallyhouse.operators import cumulative as cum
+
+        def run():
+            sd = self.table("sales_details")
+            names = cum.name_joiner(self.table("product_category"), self.table("region"))
+            specs = [s for s in cum.SPECS.values() if include_daily or s.grain != "day"]
+            jobs = [
+                (s.name, (lambda s=s: self.write(s.name, cum.backfill(sd, s, names), partition_by=(s.period_col,))))
+                for s in specs
+            ]
+            jobs.append((
+                "cum_customer_sales",
+                lambda: self.write(
+                    "cum_customer_sales", cum.backfill_customer_sales(sd, self.table("customer")), partition_by=("current_year",)
+                ),
+            ))
+            self._write_together(jobs)
+
+        self._timed("cumulative", run)
+        return self
+
     def build_bucketed_sales(self, buckets: int, max_skew: float = 2.0) -> str:
         """``sales_details`` as a catalog table bucketed by customer_id, for shuffle-free
         customer-keyed cumulative steps. Returns the qualified table name.

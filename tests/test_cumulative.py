@@ -217,3 +217,21 @@ def test_bucketed_customer_sales_chain(spark, wh):
     plan = step._jdf.queryExecution().executedPlan().toString()
     # the customer numbers are a checked broadcast here; the full join itself needs no shuffle
     assert "Exchange hashpartitioning" not in plan, plan
+
+
+def test_stored_cumulative_tables_then_one_more_step(spark, wh):
+    from tallyhouse.sources import tables as store
+
+    wh.build_cumulative()
+    sd = wh.table("sales_details")
+    names = cum.name_joiner(wh.table("product_category"), wh.table("region"))
+    for spec in (cum.REGION_PRODUCT_SALES, cum.CUSTOMER_PRODUCT_ENGAGE, cum.CUSTOMER_REVENUE):
+        assert rows(store.read_table(spark, wh.path(spec.name), spec.schema)) == rows(cum.backfill(sd, spec, names))
+    stored_c5 = store.read_table(spark, wh.path("cum_customer_sales"), cum.CUM_CUSTOMER_SALES)
+    assert rows(stored_c5) == rows(cum.backfill_customer_sales(sd, wh.table("customer")))
+    # the next year (no sales yet) appended by a C0 step: every customer carried forward
+    last = cum.last_period(sd, "year")
+    after = cum.run_chain(spark, sd, cum.CUSTOMER_REVENUE, [last + 1], wh.path("cum_customer_revenue"))
+    nxt = after.where(F.col("current_year") == last + 1)
+    prev = after.where(F.col("current_year") == last)
+    assert rows(nxt, "customer_id", "cum_amount_spent") == rows(prev, "customer_id", "cum_amount_spent")
