@@ -34,6 +34,8 @@ def build_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
         .config("spark.driver.memory", os.environ.get("TALLYHOUSE_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # delete reliable checkpoints (dense keys, SCD2 versions) once their data is unreachable
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -53,7 +55,8 @@ def cluster_settings(input_bytes: int, executor_cores: int) -> dict[str, str]:
     * skewed sort-merge-join partitions (over 512 MB and 5x the median) are split by AQE;
     * broadcast only from measured sizes (AQE, 32 MB) or explicit row-count checks, never
       from static estimates;
-    * co-partitioned joins on a prefix of the bucket keys, dynamic partition overwrite.
+    * co-partitioned joins on a prefix of the bucket keys, dynamic partition overwrite;
+    * checkpoint files removed once unreachable (this one must be set when the session starts).
     """
     width = min(100_000, max(2 * executor_cores, math.ceil(input_bytes / (256 * MB))))
     return {
@@ -70,6 +73,7 @@ def cluster_settings(input_bytes: int, executor_cores: int) -> dict[str, str]:
         "spark.sql.requireAllClusterKeysForCoPartition": "false",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.sql.session.timeZone": "UTC",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
 
 

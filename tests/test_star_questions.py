@@ -133,7 +133,8 @@ def test_cluster_settings_apply_and_keep_results(spark, wh):
             wh.table("fact_sales"), wh.table("dim_region"), wh.table("dim_product_category"), wh.table("dim_date")))
 
     before = b1()
-    settings = cluster_settings(1 << 30, 4)
+    # runtime SQL settings only (the cleaner flag is read when the context starts)
+    settings = {k: v for k, v in cluster_settings(1 << 30, 4).items() if k.startswith("spark.sql.")}
     saved = {k: spark.conf.get(k, None) for k in settings}
     try:
         for k, v in settings.items():
