@@ -18,7 +18,9 @@ from tallyhouse.schemas import empty
 
 
 def write_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
-    w = df.write.mode("overwrite")
+    """Replace the whole table. Static overwrite is forced: under a session set to dynamic
+    partition overwrite, partitions missing from ``df`` would otherwise survive a rebuild."""
+    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)

@@ -29,3 +29,12 @@ def test_present_keys_both_paths(spark):
     for bound in (10, 0):
         got = sorted(r[0] for r in present_keys(keys, ref, "customer_id", bound).collect())
         assert got == [3, 999]
+
+
+def test_full_rewrite_drops_partitions_missing_from_the_new_data(spark):
+    from pyspark.sql import functions as F
+
+    path = scratch_path(spark, "full_rewrite")
+    store.write_table(spark.range(0, 4).withColumn("p", F.col("id") % 2), path, partition_by=("p",))
+    store.write_table(spark.range(0, 4).withColumn("p", F.lit(0)), path, partition_by=("p",))
+    assert sorted(r["p"] for r in spark.read.parquet(path).select("p").distinct().collect()) == [0]
