@@ -7,8 +7,18 @@ from pyspark.sql import functions as F
 
 from tallyhouse.llm.common import table
 from tallyhouse.llm.decontaminate import decontaminate
+from tallyhouse.llm.html_extract import extract_pages
+from tallyhouse.llm.language_id import identify
 from tallyhouse.llm.license_scan import scan_licenses
+from tallyhouse.llm.packing import pack
+from tallyhouse.llm.quality_model import score_quality
 from tallyhouse.llm.quality_rules import quality_rules
+from tallyhouse.llm.simhash import near_duplicates
+from tallyhouse.llm.url_filter import filter_urls, host_of
+from tallyhouse.llm.warc import round_trip
+
+#: rules of the URL query
+URL_RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,11 +29,59 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents")).select("doc_id", "_license.*").drop("detections")
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = extract_pages(pages, out="text")
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The list: every URL that a host with a label of the form ``spam-...`` serves in the table."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    listed = pages.where(host_of(F.col("url")).rlike(r"(^|\.)spam-")).select("url")
+    return filter_urls(pages, listed, URL_RULES).select("page_id", "_url.*")
+
+
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = near_duplicates(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = round_trip(table(spark, sf_dir, "pages"))
+    return rows.select(
+        F.col("metadata.page_id").alias("page_id"),
+        F.col("metadata.payload_length").alias("payload_bytes"),
+        F.col("response.digest").alias("payload_digest"),
+        F.col("response.kind").alias("record_type"),
+        "refers_to",
+    )
+
+
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return score_quality(docs, labels).select("doc_id", "_quality_score.*")
+
+
+def word_tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), word_tokenizer())
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents")).select("doc_id", "_language.*")
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return decontaminate(docs, items).select("doc_id", "_contamination.*")
 
 
 def queries() -> dict:
-    found = [op1_quality_rules, op2_license_scan, op10_decontamination]
+    found = [op1_quality_rules, op2_license_scan, op3_html_extraction, op4_url_filter, op5_simhash, op6_warc, op7_quality_classifier, op8_packing, op9_language_id, op10_decontamination]
     return {f.__name__: f for f in found}
