@@ -1,4 +1,8 @@
-"""The registered queries of the text operators and their DuckDB SQL."""
+"""The registered queries of the text operators.
+
+Queries without an entry in ``oracles`` (learned models, tokenizer ids, XXH64, rule positions) are
+compared with brute-force versions in tests/llm.
+"""
 
 from __future__ import annotations
 
@@ -10,6 +14,7 @@ from tallyhouse.llm.decontaminate import decontaminate
 from tallyhouse.llm.html_extract import extract_pages
 from tallyhouse.llm.language_id import identify
 from tallyhouse.llm.license_scan import scan_licenses
+from tallyhouse.llm.oracles import ORACLE_SQL
 from tallyhouse.llm.packing import pack
 from tallyhouse.llm.quality_model import score_quality
 from tallyhouse.llm.quality_rules import quality_rules
@@ -85,3 +90,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     found = [op1_quality_rules, op2_license_scan, op3_html_extraction, op4_url_filter, op5_simhash, op6_warc, op7_quality_classifier, op8_packing, op9_language_id, op10_decontamination]
     return {f.__name__: f for f in found}
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(ORACLE_SQL)
