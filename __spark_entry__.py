@@ -362,6 +362,19 @@ def q_stream_ingest(spark, sf):
 
 
 # -------------------------------------------------------------------------------------------------
+def _text_queries() -> tuple[dict[str, Query], dict[str, str]]:
+    """Queries and SQL of the text operators and their pipeline, if that subpackage is there."""
+    try:
+        import corpus_pipeline
+        from tallyhouse.llm import queries as text
+    except ImportError:
+        return {}, {}
+    sql = text.oracle_sql()
+    if corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return {**text.queries(), "pipeline": corpus_pipeline.run}, sql
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: question 1 (average quarterly revenue by region and category) on sf0.001."""
     return q_avg_quarterly_revenue(spark, "/root/testdata/sf0.001")
@@ -428,6 +441,7 @@ def queries() -> dict[str, Query]:
             "stream_ingest": q_stream_ingest,
         }
     )
+    q.update(_text_queries()[0])
     return q
 
 
@@ -435,5 +449,5 @@ def oracle_sql() -> dict[str, str]:
     """DuckDB SQL per query. ``cum_customer_sales`` and ``cum_customer_sales_unnested`` return
     nested values (an array of structs / a struct) and have no entry; their values are compared in
     full through ``cum_customer_sales_flat``."""
-    sql = _oracle.queries()
+    sql = {**_oracle.queries(), **_text_queries()[1]}
     return {k: v for k, v in sql.items() if k in queries()}
