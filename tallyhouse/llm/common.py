@@ -42,3 +42,13 @@ def settled(df: DataFrame) -> DataFrame:
 def bounded(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """A settled table, marked for broadcast only when it is counted to have at most ``max_rows`` rows."""
     return F.broadcast(df) if df.count() <= max_rows else df
+
+
+def with_result(df: DataFrame, columns: list, result: Column, out: str) -> DataFrame:
+    """``columns`` and the struct ``result`` as ``out``, behind a one-element generator.
+
+    The optimizer moves a filter on a projected column below the projection by repeating its
+    expression there, into the lambdas as well, where it would run once per word. It doesn't move
+    a filter past a generator.
+    """
+    return df.select(*columns, F.explode(F.array(result)).alias(out))

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import KEY, add_key, ascii_lower, bounded, settled
+from tallyhouse.llm.common import KEY, add_key, ascii_lower, bounded, settled, with_result
 
 NON_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 13
@@ -144,7 +144,7 @@ def decontaminate(
         F.sha2(F.array_join("_th_ids", ","), 256).alias("items_sha256"),
         ((n_hit > 0) & (one_in * n_hit >= words)).alias("contaminated"),
     )
-    return counted.select(*[F.col(v).alias(c) for c, v in names.items() if c != out], result.alias(out))
+    return with_result(counted, [F.col(v).alias(c) for c, v in names.items() if c != out], result, out)
 
 
 def _verified(alignments: Column, words: Column) -> Column:

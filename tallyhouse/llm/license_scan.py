@@ -25,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import ascii_lower
+from tallyhouse.llm.common import ascii_lower, with_result
 from tallyhouse.llm.decontaminate import NON_WORD
 
 OPEN, CLOSE = "\x01", "\x02"  # can't occur in the word string
@@ -235,4 +235,4 @@ def scan_licenses(docs: DataFrame, text: str = "text", out: str = "_license", ru
             kept, lambda x: F.struct(x["label"].alias("label"), x["first"].alias("first_word"), (-x["neg_last"]).alias("last_word"), x["priority"].alias("priority"))
         ).alias("detections"),
     )
-    return d.select(*[F.col(f"`{c}`") for c in docs.columns if c != out], result.alias(out))
+    return with_result(d, [F.col(f"`{c}`") for c in docs.columns if c != out], result, out)

@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import SPACE_CHARS
+from tallyhouse.llm.common import SPACE_CHARS, with_result
 from tallyhouse.llm.language_id import fold
 
 MAX_TRAIN_ROWS = 20_000
@@ -160,4 +160,4 @@ def score_quality(
         F.col("_th_s").alias("score"),
         (F.col("_th_s") >= threshold).cast("int").alias("predicted"),
     )
-    return d.select(*[F.col(f"`{c}`") for c in docs.columns if c != out], result.alias(out))
+    return with_result(d, [F.col(f"`{c}`") for c in docs.columns if c != out], result, out)

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import KEY, SPACE_CHARS, add_key, ascii_lower, bounded, settled
+from tallyhouse.llm.common import KEY, SPACE_CHARS, add_key, ascii_lower, bounded, settled, with_result
 
 SPACES = r"[\x20\x09-\x0D]+"
 MAX_DOCS = 50  # a line may stand in this many distinct documents of a host ...
@@ -160,4 +160,4 @@ def quality_rules(
         F.coalesce(F.col("_th_rlines"), F.lit(0)).cast("long").alias("n_removed_lines"),
         (~failed & ~depleted).alias("kept"),
     )
-    return stats.select(*[F.col(f"`{c}`") for c in docs.columns if c != out], result.alias(out))
+    return with_result(stats, [F.col(f"`{c}`") for c in docs.columns if c != out], result, out)
