@@ -18,6 +18,8 @@ once each; an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import os
+import unicodedata
 import zlib
 
 import numpy as np
@@ -31,39 +33,71 @@ SEQ_LEN = 2048
 UNIT = 16
 CELL_ROWS = 256  # rows ranked together
 MAX_CELLS = 4096
-CACHE_WORDS = 400_000  # word -> ids entries kept by a worker
-LONG_WORD = 64
+CACHE_CHARS = 40_000_000  # a worker forgets the words it has met after so many characters
+LATIN_END = "\u0250"
+#: fixed value: the pattern by which the tokenizer cuts words
+PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
 class WordTokenizer:
-    """Ids as little-endian uint32 bytes. The tokenizer never joins across white space, so the
-    text is cut there and the ids of a word are remembered."""
+    """Ids as little-endian uint32 bytes, remembered by word.
+
+    The tokenizer never joins across white space, so a text is cut there. A new word of Latin
+    letters is cut further as the tokenizer's own pattern does, and its unknown parts are encoded
+    many at a time: the last id of every part is one that ends a word, which separates them. Any
+    other word is encoded by itself.
+    """
 
     def __init__(self, path: str):
+        import regex
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker per core already
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.known: dict[str, bytes] = {"": b""}
+        vocab = self.tok.get_vocab()
+        self.ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
+        self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
+        self.parts_of = regex.compile(PARTS).findall
+        self.forget()
+
+    def forget(self) -> None:
+        self.words, self.parts, self.kept_chars = {"": b""}, {}, 0
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def learn_parts(self, parts: list[str]) -> None:
+        for i in range(0, len(parts), 1000):
+            some = parts[i : i + 1000]
+            ids = self.encode([" ".join(some)])[0]
+            last = np.flatnonzero(self.ends[np.frombuffer(ids, dtype="<u4")]) + 1
+            if len(last) == len(some):
+                cuts = [0, *(4 * last).tolist()]
+                self.parts.update(zip(some, [ids[x:y] for x, y in zip(cuts, cuts[1:], strict=False)], strict=True))
+            else:
+                self.parts.update(zip(some, self.encode(some), strict=True))
+
+    def learn_words(self, words: list[str]) -> None:
+        plain = [w for w in words if max(w) < LATIN_END]
+        if len(plain) < len(words):
+            other = [w for w in words if max(w) >= LATIN_END]
+            self.words.update(zip(other, self.encode(other), strict=True))
+        cut = [self.parts_of(unicodedata.normalize("NFC", w).lower()) for w in plain]
+        new = list(set().union(*cut) - self.parts.keys()) if cut else []
+        self.learn_parts(new)
+        get = self.parts.__getitem__
+        self.words.update(zip(plain, [b"".join(map(get, c)) for c in cut], strict=True))
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        if len(self.known) > CACHE_WORDS:
-            self.known = {"": b""}
-        new = list(set().union(*split) - self.known.keys()) if split else []
-        own = self.known
-        if any(len(w) > LONG_WORD for w in new):
-            own = dict(self.known) if len(self.known) < 1000 else self.known
-        for i in range(0, len(new), 4096):
-            part = new[i : i + 4096]
-            for w, e in zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                own[w] = np.array(e.ids, dtype="<u4").tobytes()
-        out = [b"".join([own[w] for w in ws]) for ws in split]
-        if own is self.known:
-            for w in new:
-                if len(w) > LONG_WORD:
-                    del own[w]
-        return out
+        if self.kept_chars > CACHE_CHARS:
+            self.forget()
+        new = list(set().union(*split) - self.words.keys()) if split else []
+        self.kept_chars += sum(map(len, new)) + 40 * len(new)
+        self.learn_words(new)
+        get = self.words.__getitem__
+        return [b"".join(map(get, ws)) for ws in split]
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, text: str, id_col: str, seq_len: int, end_id: int, with_ids: bool) -> DataFrame:
