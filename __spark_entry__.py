@@ -126,6 +126,21 @@ def q_customer_address_history(spark, sf):
     return conform(history, CUSTOMER_ADDRESS)
 
 
+def q_customer_address_moves(spark, sf):
+    """Two moves of every customer in one batch, a late move between them, and a replay."""
+    wh = runs.with_addresses(spark, sf)
+    customer = wh.table("customer")
+    n = runs.address_count(wh)
+    seed, first, second, late = _oracle.MOVE_MULTIPLIERS
+    day = [AS_OF + _dt.timedelta(days=k * _oracle.SCD2_STEP_DAYS) for k in range(4)]
+    history = scd2.seed_customer_address(customer, n, AS_OF, seed)
+    two = runs.address_changes(customer, n, first, day[1]).unionByName(runs.address_changes(customer, n, second, day[3]))
+    between = runs.address_changes(customer.where(F.col("customer_id") % 2 == 0), n, late, day[2])
+    for batch in (two, between, two):
+        history = scd2.apply_scd2(history, batch, customer)[0].checkpoint(eager=True)
+    return conform(history, CUSTOMER_ADDRESS)
+
+
 # -- exploration -------------------------------------------------------------------------------
 def _distinct(col):
     return lambda spark, sf: explore.profile_distinct(_wh(spark, sf).table("retail_sales"), col)
@@ -266,12 +281,47 @@ def q_cum_customer_revenue_step(spark, sf):
     return cum.cumulate_step(cum.period_totals(sd, spec, last), prior, spec, last)
 
 
+def _years(wh) -> list[int]:
+    """All sales years, gaps included, from the date dimension (one row a day) instead of the sales."""
+    bounds = wh.table("dim_date").agg(F.min("year").alias("a"), F.max("year").alias("b")).first()
+    return list(range(bounds["a"], bounds["b"] + 1))
+
+
+def _chain(spec_name):
+    """The same table filled year by year with full outer steps over stored partitions."""
+
+    def run(spark, sf):
+        wh = _wh(spark, sf)
+        return cum.run_chain(
+            spark, wh.table("sales_details"), cum.SPECS[spec_name], _years(wh), scratch_path(spark, f"{spec_name}_chain"), _names(wh)
+        )
+
+    return run
+
+
+def q_cum_customer_sales_chain(spark, sf):
+    """C5 as yearly steps (arrays started and appended to), every element with its position."""
+    wh = _wh(spark, sf)
+    path = scratch_path(spark, "cum_customer_sales_chain")
+    table = cum.run_customer_sales_chain(spark, wh.table("sales_details"), wh.table("customer"), _years(wh), path)
+    return table.select(
+        "customer_id", "customer_no", "current_year", F.posexplode("sales_stats").alias("pos", "s")
+    ).select("customer_id", "customer_no", "current_year", "pos", "s.*")
+
+
+def q_cum_customer_revenue_stored(spark, sf):
+    """C8 on the stored table: the last year's partition, read without touching the sales."""
+    wh = _wh(spark, sf)
+    if "cumulative" not in wh.built:
+        wh.build_cumulative()
+    return cum.lookup(wh.table("cum_customer_revenue"), current_year=_years(wh)[-1])
+
+
 def q_cum_customer_revenue_chain(spark, sf):
     """C0 repeated year by year on the customer-bucketed, year-partitioned layout."""
     wh = _wh(spark, sf)
     sales_table = wh.build_bucketed_sales(BUCKETS)
-    sd = wh.table("sales_details")
-    years = list(range(cum.first_period(sd, "year"), cum.last_period(sd, "year") + 1))
+    years = _years(wh)
     table = f"{wh.database}.cum_customer_revenue_chain_{uuid.uuid4().hex[:8]}"
     path = scratch_path(spark, "cum_customer_revenue_chain")
     return cum.run_bucketed_chain(spark, sales_table, cum.CUSTOMER_REVENUE, years, table, path, BUCKETS)
@@ -345,7 +395,7 @@ def q_load_missing_dates(spark, sf):
     return ingest.load_missing_dates(wh.table("sales_details"), old)
 
 
-def q_stream_ingest(spark, sf):
+def _streamed(spark, sf):
     """I4: submissions written as three files and consumed by the stream, one file per batch."""
     wh = _wh(spark, sf)
     root = scratch_path(spark, "sales_stream")
@@ -358,7 +408,17 @@ def q_stream_ingest(spark, sf):
     store.write_table(wh.table("dim_date"), targets.dim_date_path)
     q = sales_stream.start_sales_stream(spark, src, runs.reference_tables(wh), targets, AS_OF)
     q.awaitTermination()
-    return sales_stream.streamed_sales(spark, targets).select(*SALES_DETAIL_COLS)
+    return sales_stream.streamed_sales(spark, targets)
+
+
+def q_stream_ingest(spark, sf):
+    return _streamed(spark, sf).select(*SALES_DETAIL_COLS)
+
+
+def q_stream_sales_ids(spark, sf):
+    """K3 over the base table and the streamed sales together: as many ids as rows."""
+    ids = _wh(spark, sf).table("sales_details").select("sales_id").unionByName(_streamed(spark, sf).select("sales_id"))
+    return ids.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("sales_id").alias("n_ids"))
 
 
 # -------------------------------------------------------------------------------------------------
@@ -439,6 +499,12 @@ def queries() -> dict[str, Query]:
             "ingest_rejected": q_ingest_rejected,
             "load_missing_dates": q_load_missing_dates,
             "stream_ingest": q_stream_ingest,
+            "stream_sales_ids": q_stream_sales_ids,
+            "customer_address_moves": q_customer_address_moves,
+            "cum_region_product_sales_chain": _chain("cum_region_product_sales"),
+            "cum_customer_product_engage_chain": _chain("cum_customer_product_engage"),
+            "cum_customer_sales_chain": q_cum_customer_sales_chain,
+            "cum_customer_revenue_stored": q_cum_customer_revenue_stored,
         }
     )
     q.update(_text_queries()[0])

@@ -17,6 +17,7 @@ SCD2_STEP_DAYS = 30  # days between address change batches
 SALES_DAY = "1998-08-02"  # E6
 LOOKUP_CATEGORY = "PROMO"  # C8
 DIM_DATE_CUTOFF = "2000-01-01"  # I3: dim_date loaded with dates before this
+MOVE_MULTIPLIERS = (7919, 104729, 7927, 104723)  # seed, the two moves of one batch, the late move
 ADDRESS_MULTIPLIERS = (7919, 104729, 7927, 7919)  # seed, then three change batches (last moves back)
 
 BASE = r"""
@@ -186,6 +187,24 @@ FROM ver
 """
 
 
+def _scd2_moves() -> str:
+    """Seed, moves after one and three steps, and for even customers a move after two steps."""
+    events = " UNION ALL ".join(
+        f"SELECT c.customer_id, {_addr_for(m)} AS address_id, DATE '{AS_OF}' + {k * SCD2_STEP_DAYS} AS d FROM cust_lk c, n_addr na"
+        + (" WHERE c.customer_id % 2 = 0" if k == 2 else "")
+        for m, k in zip(MOVE_MULTIPLIERS, (0, 1, 3, 2), strict=True)
+    )
+    return f"""
+, ev AS ({events}),
+ch AS (SELECT *, lag(address_id) OVER (PARTITION BY customer_id ORDER BY d) AS prev FROM ev),
+ver AS (SELECT customer_id, address_id, d AS start_date FROM ch WHERE prev IS NULL OR prev <> address_id)
+SELECT customer_id, address_id, start_date,
+       CAST(lead(start_date) OVER (PARTITION BY customer_id ORDER BY start_date) - 1 AS DATE) AS end_date,
+       lead(start_date) OVER (PARTITION BY customer_id ORDER BY start_date) IS NULL AS is_current
+FROM ver
+"""
+
+
 def _cum_yearly(keys: list[str], sums: dict[str, str], names_join: str, name_cols: str, where: str = "") -> str:
     """Closed form of a yearly cumulative table: every key from its first year to the last year."""
     k = ", ".join(keys)
@@ -239,6 +258,7 @@ def queries() -> dict[str, str]:
         "CAST(NULL AS DATE) AS end_date, TRUE AS is_current FROM cust_lk c, n_addr na"
     )
     q["customer_address_history"] = _with(_scd2_history())
+    q["customer_address_moves"] = _with(_scd2_moves())
     # E1
     for col in ("customer_location", "product_category", "customer_gender", "payment_method"):
         q[f"distinct_{col}"] = _with(f"SELECT DISTINCT {col} FROM rs")
@@ -394,6 +414,12 @@ FROM run LEFT JOIN pc_lk pc ON run.category_id = pc.category_id
             where="WHERE current_year = (SELECT y FROM max_year)",
         )
     )
+    for name in ("cum_region_product_sales", "cum_customer_product_engage"):
+        q[f"{name}_chain"] = q[name]
+    revenue = q["cum_customer_revenue"]
+    q["cum_customer_revenue_stored"] = (
+        f"SELECT * FROM ({revenue}) WHERE current_year = (SELECT max(current_year) FROM ({revenue}))"
+    )
     q["cum_customer_revenue_chain"] = q["cum_customer_revenue"]
     q["cum_customer_product_engage_as_of"] = _with(
         _cum_yearly(
@@ -455,6 +481,10 @@ LEFT JOIN cy_stats p ON p.customer_id = sp.customer_id AND p.y = sp.current_year
     )
     q["ingest_accepted"] = _with(accepted)
     q["stream_ingest"] = _with(accepted)
+    q["stream_sales_ids"] = (
+        f"SELECT a.n + b.n AS n_rows, a.n + b.n AS n_ids FROM (SELECT count(*) AS n FROM ({_with(accepted)})) a, "
+        f"(SELECT count(*) AS n FROM ({q['sales_details']})) b"
+    )
     q["ingest_rejected"] = _with(
         sub
         + "SELECT customer_id, category_id, quantity, discount, amount, payment_method_id, region_id, unit_price, "
@@ -470,4 +500,5 @@ LEFT JOIN cy_stats p ON p.customer_id = sp.customer_id AND p.y = sp.current_year
         "CAST(day(full_date) AS INTEGER) AS day_of_month, CAST(isodow(full_date) AS INTEGER) AS day_of_week, "
         "rpad(dayname(full_date), 9, ' ') AS day_name, FALSE AS is_holiday FROM new_d"
     )
+    q["cum_customer_sales_chain"] = q["cum_customer_sales_exploded"]
     return q

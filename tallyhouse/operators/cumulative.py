@@ -181,7 +181,10 @@ def run_chain(
     makes a rerun of any period an idempotent partition overwrite.
     """
     for period in periods:
-        prior = store.read_period(spark, path, spec.period_col, previous_period(spec.grain, period), spec.schema)
+        prior = store.prior_period(
+            store.read_table(spark, path, spec.schema), spec.period_col,
+            _period_lit(spec.grain, previous_period(spec.grain, period)), _period_lit(spec.grain, period),
+        )
         step = cumulate_step(period_totals(sales_details, spec, period), prior, spec, period, names)
         store.write_period(step, path, spec.period_col)
     return store.read_table(spark, path, spec.schema)
@@ -207,7 +210,10 @@ def run_bucketed_chain(
     sales = spark.table(sales_table)
     for period in periods:
         if store.table_exists(spark, table):
-            prior = spark.table(table).where(F.col(spec.period_col) == _period_lit(spec.grain, previous_period(spec.grain, period)))
+            prior = store.prior_period(
+                spark.table(table), spec.period_col,
+                _period_lit(spec.grain, previous_period(spec.grain, period)), _period_lit(spec.grain, period),
+            )
         else:
             prior = spark.createDataFrame([], spec.schema)
         step = cumulate_step(period_totals(sales, spec, period), prior, spec, period, names)
@@ -314,11 +320,15 @@ def refresh_from(
     ``start`` is the oldest period touched by late sales. The stored partition before it holds
     every key's totals so far; they seed running sums over the sales of ``start..end`` only, so the
     cost follows the refreshed periods, not all of history. Dynamic overwrite replaces exactly
-    the refreshed partitions, so a refresh can be rerun.
+    the refreshed partitions, so a refresh can be rerun. Raises when the seeding partition is
+    missing although there are older sales.
     """
     end = end if end is not None else last_period(sales_details, spec.grain)
     prev = previous_period(spec.grain, start)
-    base = store.read_period(spark, path, spec.period_col, prev, spec.schema).select(
+    base = store.read_period(spark, path, spec.period_col, prev, spec.schema)
+    if not base.take(1) and sales_details.where(up_to(spec.grain, prev)).take(1):
+        raise ValueError(f"the period before {start} isn't stored, but there are sales up to it")
+    base = base.select(
         *spec.keys, _period_lit(spec.grain, prev).alias("_p"), *[out for out, _ in spec.measures]
     )
     recent = (
@@ -404,7 +414,7 @@ def run_customer_sales_chain(
     spark: SparkSession, sales_details: DataFrame, customer: DataFrame, years: Sequence[int], path: str
 ) -> DataFrame:
     for year in years:
-        prior = store.read_period(spark, path, "current_year", year - 1, CUM_CUSTOMER_SALES)
+        prior = store.prior_period(store.read_table(spark, path, CUM_CUSTOMER_SALES), "current_year", F.lit(year - 1), F.lit(year))
         store.write_period(customer_sales_step(sales_details, prior, customer, year), path, "current_year")
     return store.read_table(spark, path, CUM_CUSTOMER_SALES)
 
@@ -417,7 +427,7 @@ def run_bucketed_customer_sales_chain(
     sales = spark.table(sales_table)
     for year in years:
         if store.table_exists(spark, table):
-            prior = spark.table(table).where(F.col("current_year") == F.lit(year - 1))
+            prior = store.prior_period(spark.table(table), "current_year", F.lit(year - 1), F.lit(year))
         else:
             prior = spark.createDataFrame([], CUM_CUSTOMER_SALES)
         step = customer_sales_step(sales, prior, customer, year)

@@ -4,8 +4,7 @@ History rows are ``(customer_id, address_id, start_date, end_date, is_current)``
 inclusive, the open row has ``end_date`` NULL, and a new version starts the day after the old one
 ends, so versions of a customer never overlap or leave gaps.
 
-Applying a batch of changes touches only the *current* rows: they are joined (full outer, on
-customer_id, one row per key on each side) with the batch's latest change per customer; closed
+Applying a batch of changes rebuilds the versions of the customers in the batch only; all other
 history passes through untouched.
 """
 
@@ -41,91 +40,63 @@ def seed_customer_address(customer: DataFrame, address_count: int, as_of: _dt.da
     return conform(seeded, CUSTOMER_ADDRESS)
 
 
-def latest_changes(changes: DataFrame) -> DataFrame:
-    """One change per customer: the latest by (change_date, seq). Changes are
+def dated_changes(changes: DataFrame) -> DataFrame:
+    """One change per customer and day: the last by ``seq``. Changes are
     ``(customer_id, address_id, change_date[, seq])``; ``seq`` orders moves made on the same day.
 
-    ``max`` over a struct picks the latest with map-side combine, so a customer with a huge
-    number of changes never has them gathered in one task.
+    ``max`` over a struct picks the last with map-side combine, so a customer with a huge
+    number of changes is left with at most one row a day.
     """
     seq = F.col("seq").cast("long") if "seq" in changes.columns else F.lit(0).cast("long")
-    latest = changes.groupBy("customer_id").agg(
-        F.max(F.struct(F.col("change_date"), seq.alias("seq"), F.col("address_id"))).alias("_m")
-    )
-    return latest.select("customer_id", F.col("_m.address_id").alias("address_id"), F.col("_m.change_date").alias("change_date"))
+    last = changes.groupBy("customer_id", "change_date").agg(F.max(F.struct(seq.alias("seq"), F.col("address_id"))).alias("_m"))
+    return last.select("customer_id", F.col("_m.address_id").alias("address_id"), "change_date")
 
 
 def apply_scd2(history: DataFrame, changes: DataFrame, customer: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(new full history, rejected changes).
 
-    * no change, or a change to the address already current: the row is kept;
-    * a move: the current row is closed the day before ``change_date`` and a new row opens;
-    * a move dated on or before the current row's start replaces that row's address in place;
-    * a change for a customer without any current row opens one;
-    * a change for a customer unknown to ``customer`` (when given) is rejected.
+    Every dated change of the batch becomes a version, so several moves of a customer are all
+    kept. A late change (dated before the current version) splits the version that covers its day;
+    one dated on the first day of a version replaces that version's address; a move to the
+    address already held is no version. Changes for a customer unknown to ``customer`` (when given)
+    or without a date are rejected.
 
-    Change batches are usually small next to the dimension. When the de-duplicated batch is
-    within ``CHANGE_BROADCAST_ROWS`` (checked), it is broadcast: untouched current rows pass
-    through a broadcast anti join and only the touched ones meet the changes, so the dimension is
-    never shuffled. Larger batches use one full outer join on customer_id.
+    Only the history of the customers in the batch is rebuilt: starts of versions and changes
+    are one event list per customer (at most one event a day), and ``lead`` gives the end dates.
+    When the batch is within ``CHANGE_BROADCAST_ROWS`` (checked), its customers are broadcast and all
+    other history passes through without a shuffle.
     """
-    ch = latest_changes(changes)
+    ch = dated_changes(changes)
     small = within_rows(ch, CHANGE_BROADCAST_ROWS)
-    rejected = ch.limit(0).withColumn(REASON, F.lit(None).cast("string"))
+    undated = ch.where(F.col("change_date").isNull()).withColumn(REASON, F.lit("not_null:change_date"))
+    ch, rejected = ch.where(F.col("change_date").isNotNull()), undated
     if customer is not None:
-        known = present_keys(ch.select("customer_id"), customer, "customer_id", CHANGE_BROADCAST_ROWS, small=small)
+        known = present_keys(ch.select("customer_id").distinct(), customer, "customer_id", CHANGE_BROADCAST_ROWS, small=small)
         known = F.broadcast(known) if small else known
-        rejected = ch.join(known, "customer_id", "left_anti").withColumn(REASON, F.lit("fk:customer_id"))
+        unknown = ch.join(known, "customer_id", "left_anti").withColumn(REASON, F.lit("fk:customer_id"))
+        rejected = rejected.unionByName(unknown)
         ch = ch.join(known, "customer_id", "left_semi")
-    closed = history.where(~F.col("is_current"))
-    current = history.where(F.col("is_current")).select(
-        "customer_id", F.col("address_id").alias("_cur_addr"), F.col("start_date").alias("_cur_start")
+    changed = ch.select("customer_id").distinct()
+    changed = F.broadcast(changed) if small else changed
+    untouched = history.join(changed, "customer_id", "left_anti")
+    held = history.join(changed, "customer_id", "left_semi")
+    event = lambda rank: F.struct(F.lit(rank).alias("rank"), F.col("address_id")).alias("e")
+    events = held.select("customer_id", F.col("start_date").alias("day"), event(0)).unionByName(
+        ch.select("customer_id", F.col("change_date").alias("day"), event(1))
     )
-    untouched = None
-    if small:
-        changed_ids = F.broadcast(ch.select("customer_id"))
-        untouched = current.join(changed_ids, "customer_id", "left_anti")
-        current = current.join(changed_ids, "customer_id", "left_semi")
-    j = current.join(
-        ch.select("customer_id", F.col("address_id").alias("_new_addr"), F.col("change_date").alias("_d")),
+    daily = events.groupBy("customer_id", "day").agg(F.max("e").alias("e")).select("customer_id", "day", "e.address_id")
+    w = Window.partitionBy("customer_id").orderBy("day")
+    moves = daily.select("*", F.lag("day").over(w).alias("_pd"), F.lag("address_id").over(w).alias("_pa"))
+    moves = moves.where(F.col("_pd").isNull() | ~F.col("address_id").eqNullSafe(F.col("_pa")))
+    following = F.lead("day").over(w)
+    rebuilt = moves.select(
         "customer_id",
-        "full",
-    )
-    no_change = F.col("_new_addr").isNull() | (F.col("_new_addr") == F.col("_cur_addr"))
-    new_only = F.col("_cur_addr").isNull()
-    in_place = (~no_change) & (~new_only) & (F.col("_d") <= F.col("_cur_start"))
-    moved = (~no_change) & (~new_only) & ~in_place
-
-    def row(addr, start, end, current_flag):
-        return F.struct(
-            addr.alias("address_id"), start.alias("start_date"), end.alias("end_date"), current_flag.alias("is_current")
-        )
-
-    null_date = F.lit(None).cast("date")
-    versions = (
-        F.when(new_only, F.array(row(F.col("_new_addr"), F.col("_d"), null_date, F.lit(True))))
-        .when(
-            moved,
-            F.array(
-                row(F.col("_cur_addr"), F.col("_cur_start"), F.date_sub(F.col("_d"), 1), F.lit(False)),
-                row(F.col("_new_addr"), F.col("_d"), null_date, F.lit(True)),
-            ),
-        )
-        .when(in_place, F.array(row(F.col("_new_addr"), F.col("_cur_start"), null_date, F.lit(True))))
-        .otherwise(F.array(row(F.col("_cur_addr"), F.col("_cur_start"), null_date, F.lit(True))))
+        "address_id",
+        F.col("day").alias("start_date"),
+        F.date_sub(following, 1).alias("end_date"),
+        following.isNull().alias("is_current"),
     )
-    touched = j.select("customer_id", F.inline(versions))
-    out = conform(closed, CUSTOMER_ADDRESS).unionByName(conform(touched, CUSTOMER_ADDRESS))
-    if untouched is not None:
-        kept = untouched.select(
-            "customer_id",
-            F.col("_cur_addr").alias("address_id"),
-            F.col("_cur_start").alias("start_date"),
-            F.lit(None).cast("date").alias("end_date"),
-            F.lit(True).alias("is_current"),
-        )
-        out = out.unionByName(conform(kept, CUSTOMER_ADDRESS))
-    return out, rejected
+    return conform(untouched, CUSTOMER_ADDRESS).unionByName(conform(rebuilt, CUSTOMER_ADDRESS)), rejected
 
 
 def scd2_violations(history: DataFrame) -> DataFrame:

@@ -49,7 +49,7 @@ def _with_fk_flags(batch: DataFrame, refs: dict[str, DataFrame]) -> DataFrame:
     for col, (table, ref_col) in FOREIGN_KEYS.items():
         ref = refs[table]
         whole = ref.select(F.col(ref_col).alias(f"_fk_{col}")).distinct()
-        # bound on raw rows (an upper bound of the distinct keys, and the count stops early)
+        # bound on raw rows (an upper bound of the distinct keys; the count reads no column)
         if within_rows(ref.select(ref_col), LOOKUP_BROADCAST_ROWS):
             found = F.broadcast(whole)
         else:

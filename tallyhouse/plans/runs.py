@@ -22,7 +22,9 @@ from tallyhouse.schemas import SALE_SUBMISSION, conform
 from tallyhouse.session import shared_dir
 from tallyhouse.sources import tpch
 
-_WAREHOUSES: dict[tuple[str, str], Warehouse] = {}
+_WAREHOUSES: dict[tuple[str, str, str], Warehouse] = {}
+_INPUTS = ("region", "nation", "customer", "part", "orders", "lineitem")
+_LISTED_FILES = 1000  # above, a table is known by its file count, size and folder time
 _MANIFEST = "_manifest"
 
 
@@ -38,6 +40,21 @@ def _code_version() -> str:
     return h.hexdigest()[:12]
 
 
+def _input_version(spark: SparkSession, sf_dir: str) -> str:
+    """Hash of the input files' names, sizes and modification times: replaced data is new data."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    h = hashlib.sha1()
+    for table in _INPUTS:
+        path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{table}.parquet")
+        fs = path.getFileSystem(conf)
+        total = fs.getContentSummary(path)
+        h.update(f"{table}|{total.getFileCount()}|{total.getLength()}|{fs.getFileStatus(path).getModificationTime()}".encode())
+        if total.getFileCount() <= _LISTED_FILES:
+            for f in fs.listStatus(path):
+                h.update(f"|{f.getPath().getName()}|{f.getLen()}|{f.getModificationTime()}".encode())
+    return h.hexdigest()[:16]
+
+
 def _is_complete(spark: SparkSession, root: str) -> bool:
     try:
         return spark.read.parquet(f"{root}/{_MANIFEST}").count() == 1
@@ -48,17 +65,18 @@ def _is_complete(spark: SparkSession, root: str) -> bool:
 def warehouse(spark: SparkSession, sf_dir: str, reuse: bool = True) -> Warehouse:
     """Staging, 3NF and star tables for ``sf_dir``.
 
-    Built once per Spark application. With ``reuse``, a complete build of the same data by the
-    same code (found through its manifest in the shared checkpoint folder) is reused by later
+    Built once per Spark application and version of the input files. With ``reuse``, a complete
+    build of the same files by the same code (found through its manifest in the shared checkpoint folder) is reused by later
     applications too; the manifest is written last, so a half-written build is never reused.
     """
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    version = _input_version(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, version)
     wh = _WAREHOUSES.get(key)
     if wh is not None:
         return wh
     root = None
     if reuse:
-        tag = hashlib.sha1(f"{os.path.abspath(sf_dir)}|{_code_version()}".encode()).hexdigest()[:16]
+        tag = hashlib.sha1(f"{sf_dir}|{version}|{_code_version()}".encode()).hexdigest()[:16]
         root = f"{shared_dir(spark)}/tallyhouse/warehouse-{tag}"
     wh = Warehouse.create(spark, root)
     if root is not None and _is_complete(spark, root):
@@ -70,7 +88,7 @@ def warehouse(spark: SparkSession, sf_dir: str, reuse: bool = True) -> Warehouse
             wh.load_staging(tpch.retail_sales(spark, sf_dir)).build_oltp().build_star()
             addresses.result()
         if root is not None:
-            spark.createDataFrame([(os.path.abspath(sf_dir),)], "sf_dir string").write.mode("overwrite").parquet(
+            spark.createDataFrame([(sf_dir, version)], "sf_dir string, version string").write.mode("overwrite").parquet(
                 f"{root}/{_MANIFEST}"
             )
     _WAREHOUSES[key] = wh

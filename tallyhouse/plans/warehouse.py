@@ -209,13 +209,13 @@ class Warehouse:
         hot customer over every scan task.
         """
         db = store.ensure_database(self.spark, self.database, f"{self.root}/catalog")
-        name = f"{db}.sales_details_by_customer"
+        name = f"{db}.sales_details_by_customer_{buckets}"
         if store.table_exists(self.spark, name):
             return name
         sd = self.table("sales_details")
         skew = bucket_skew(sd, "customer_id", buckets)
         self.timings["bucket_skew"] = round(skew, 3)
-        path = f"{self.root}/catalog/sales_details_by_customer"
+        path = f"{self.root}/catalog/sales_details_by_customer_{buckets}"
         if skew <= max_skew:
             self._timed("bucketed_sales", lambda: store.save_bucketed(sd, name, path, ("customer_id",), buckets))
         else:

@@ -17,10 +17,11 @@ from tallyhouse.session import scratch_path
 CORRUPT = "_corrupt_record"
 
 
-def _reader(spark: SparkSession, schema: StructType):
+def with_options(reader, schema: StructType):
+    """A batch or stream reader with the options of the loads and a corrupt-record column."""
     with_corrupt = StructType(schema.fields + [StructField(CORRUPT, StringType(), True)])
     return (
-        spark.read.schema(with_corrupt)
+        reader.schema(with_corrupt)
         .option("header", True)
         .option("sep", ",")
         .option("quote", '"')
@@ -38,7 +39,7 @@ def _reader(spark: SparkSession, schema: StructType):
 
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Columns are bound by position, as a COPY column list does; the header names are ignored."""
-    return _reader(spark, schema).csv(path)
+    return with_options(spark.read, schema).csv(path)
 
 
 def split_corrupt(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -36,14 +36,15 @@ def append_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """Read a written table; a table that does not exist yet reads as empty with ``schema``.
 
-    With a schema the footers are not read to infer one (the tables are written conformed).
+    Only a missing path counts as "not yet": any other problem is raised. With a schema the
+    footers are not read to infer one (the tables are written conformed).
     """
     try:
         if schema is None:
             return spark.read.parquet(path)
         return spark.read.schema(schema).parquet(path)
-    except AnalysisException:
-        if schema is None:
+    except AnalysisException as e:
+        if schema is None or e.getCondition() != "PATH_NOT_FOUND":
             raise
         return empty(spark, schema)
 
@@ -64,6 +65,18 @@ def read_period(spark: SparkSession, path: str, period_col: str, period, schema:
     return read_table(spark, path, schema).where(F.col(period_col) == lit)
 
 
+def prior_period(table: DataFrame, period_col: str, prior, target) -> DataFrame:
+    """The rows of the period before ``target``, for a step that adds to them.
+
+    They may only be missing on the first run: when older periods are stored, a gap would make every
+    running total start again, so it is an error.
+    """
+    rows = table.where(F.col(period_col) == prior)
+    if not rows.take(1) and table.where(F.col(period_col) < target).take(1):
+        raise ValueError(f"older periods are stored, but not the one before the target: fill {period_col} without gaps")
+    return rows
+
+
 def ensure_database(spark: SparkSession, name: str, location: str) -> str:
     """A catalog database whose tables live under ``location`` (qualified names ``db.table``)."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{location}'")
@@ -89,8 +102,18 @@ def table_exists(spark: SparkSession, table: str) -> bool:
 
 
 def insert_period(df: DataFrame, table: str) -> None:
-    """S7 on a catalog table: replace the period partitions present in ``df`` (bucketing kept)."""
-    df.write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
+    """S7 on a catalog table: replace the period partitions present in ``df`` (bucketing kept).
+
+    ``insertInto`` follows the session's overwrite mode and ignores the writer's option, so the
+    mode is set for the insert and put back after it: other periods stay in any session.
+    """
+    conf, key = df.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
+    before = conf.get(key)
+    conf.set(key, "dynamic")
+    try:
+        df.write.insertInto(table, overwrite=True)
+    finally:
+        conf.set(key, before)
 
 
 def create_view(df: DataFrame, name: str) -> DataFrame:

@@ -1,7 +1,7 @@
 """I4: the after-insert trigger as a Structured Streaming job.
 
 New sales submissions arrive as files. Each micro-batch is validated (I2); accepted rows are
-written to the sales table and rejects to the quarantine, each under the micro-batch id, by
+written to the sales table, rejects and malformed lines to the quarantine, each under the micro-batch id, by
 dynamic partition overwrite, so a replayed batch replaces its own output (exactly once). Then the
 trigger's work runs (I3): invoice dates missing from ``dim_date`` are appended.
 
@@ -21,11 +21,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tallyhouse.operators.quality import REASON
 from tallyhouse.plans.ingest import ingest_sales, load_missing_dates
 from tallyhouse.schemas import DIM_DATE, SALE_SUBMISSION, SALES_DETAILS
+from tallyhouse.sources import csv as csv_source
 from tallyhouse.sources import tables as store
 
 BATCH_COL = "batch_id"
+MALFORMED = "malformed_line"
+# K3: ids of streamed sales. The top bit keeps them apart from the base table's; then 20 bits of
+# batch and 42 bits within the batch (512 partitions x 2^33 rows)
+STREAM_IDS, BATCH_BITS, PART_LIMIT = 1 << 62, 42, 512
 
 
 @dataclass
@@ -44,9 +50,22 @@ def process_batch(
     batch: DataFrame, batch_id: int, refs: dict[str, DataFrame], targets: SalesStreamTargets, as_of: _dt.date
 ) -> None:
     spark = batch.sparkSession
-    accepted, rejected = ingest_sales(batch, refs, as_of)
-    _write_batch(accepted, targets.sales_path, batch_id)
-    _write_batch(rejected, targets.rejected_path, batch_id)
+    if csv_source.CORRUPT not in batch.columns:
+        batch = batch.withColumn(csv_source.CORRUPT, F.lit(None).cast("string"))
+    if batch.rdd.getNumPartitions() > PART_LIMIT:
+        batch = batch.coalesce(PART_LIMIT)
+    batch = batch.persist()  # parsed once for both writes
+    try:
+        corrupt = F.col(csv_source.CORRUPT)
+        accepted, rejected = ingest_sales(batch.where(corrupt.isNull()), refs, as_of)
+        in_batch = F.monotonically_increasing_id()
+        accepted = accepted.withColumn("sales_id", F.lit(STREAM_IDS + (batch_id << BATCH_BITS)) + in_batch)
+        malformed = batch.where(corrupt.isNotNull()).withColumn(REASON, F.lit(MALFORMED))
+        rejected = rejected.withColumn(csv_source.CORRUPT, F.lit(None).cast("string"))
+        _write_batch(accepted, targets.sales_path, batch_id)
+        _write_batch(rejected.unionByName(malformed), targets.rejected_path, batch_id)
+    finally:
+        batch.unpersist()
     this_batch = store.read_table(spark, targets.sales_path).where(F.col(BATCH_COL) == F.lit(batch_id))
     dim_date = store.read_table(spark, targets.dim_date_path, DIM_DATE)
     new_dates = load_missing_dates(this_batch, dim_date)
@@ -63,12 +82,8 @@ def start_sales_stream(
     available_now: bool = True,
 ) -> StreamingQuery:
     """Start the stream over header CSV files of submissions in ``source_dir``."""
-    source = (
-        spark.readStream.schema(SALE_SUBMISSION)
-        .option("header", True)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .csv(source_dir)
-    )
+    reader = csv_source.with_options(spark.readStream, SALE_SUBMISSION)
+    source = reader.option("maxFilesPerTrigger", files_per_batch).csv(source_dir)
     writer = (
         source.writeStream.foreachBatch(lambda df, bid: process_batch(df, bid, refs, targets, as_of))
         .option("checkpointLocation", targets.checkpoint_path)

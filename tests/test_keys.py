@@ -41,6 +41,6 @@ def test_cluster_settings_scale_with_input():
     small = cluster_settings(10 << 30, 64)
     big = cluster_settings(100 << 40, 8000)
     assert int(small["spark.sql.shuffle.partitions"]) == 128  # two waves of 64 cores
-    assert int(big["spark.sql.shuffle.partitions"]) == 100_000  # capped; AQE merges after shuffles
+    assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)  # follows the input; AQE merges after shuffles
     assert big["spark.sql.autoBroadcastJoinThreshold"] == "-1"
-    assert bucket_count(1 << 30) == 8 and bucket_count(10 << 40) == 8192 and bucket_count(100 << 30) == 128
+    assert bucket_count(1 << 30) == 8 and bucket_count(10 << 40) == 16384 and bucket_count(100 << 30) == 128
