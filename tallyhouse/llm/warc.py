@@ -54,9 +54,12 @@ def _record(kind: Column | str, headers: list[tuple[str, Column]], body: Column)
     return F.concat(head, F.lit(CRLF * 2), body)
 
 
-@F.pandas_udf("string")
-def base32_of_hex(digests: pd.Series) -> pd.Series:
-    return digests.map(lambda x: base64.b32encode(bytes.fromhex(x)).decode())
+def base32_of_hex(digest: str) -> Column:
+    @F.pandas_udf("string")
+    def f(digests: pd.Series) -> pd.Series:
+        return digests.map(lambda x: base64.b32encode(bytes.fromhex(x)).decode())
+
+    return f(digest)
 
 
 def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url: str = "url", html: str = "html", file_bytes: int = FILE_BYTES) -> None:
