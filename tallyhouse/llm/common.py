@@ -33,6 +33,17 @@ def ascii_lower(text: Column) -> Column:
     )
 
 
+def shield(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with neutral column names, and {own name: neutral name}: no column can clash with a working one."""
+    names = {c: f"_th_in{i}" for i, c in enumerate(df.columns)}
+    return df.select(*[F.col(f"`{c}`").alias(v) for c, v in names.items()]), names
+
+
+def own_columns(names: dict[str, str], out: str | None = None) -> list[Column]:
+    """The shielded columns under their own names, without ``out``."""
+    return [F.col(v).alias(c) for c, v in names.items() if c != out]
+
+
 def settled(df: DataFrame) -> DataFrame:
     """``df`` written to the shared checkpoint folder: later reads survive lost executors and agree."""
     ensure_checkpoint_dir(df.sparkSession)

@@ -29,6 +29,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyhouse.llm.common import own_columns, shield
+
 # fixed values: the element names of HTML that the extractor treats alike
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6"
@@ -60,7 +62,7 @@ CONTEXTS = [CONTENT, *dict.fromkeys([*CONTEXT_TAGS.values(), *CONTEXT_ROLES.valu
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
-    r"|<(?P<close2>/?)(?P<name2>[a-zA-Z][^\s/>]*)(?P<attrs2>[^>]*)>|(?P<text>[^<]+|<)",
+    r"|<(?P<close2>/?)(?P<name2>[a-zA-Z][^\s/>]*)(?P<attrs2>[^>]*)>|<[/a-zA-Z][^>]*\Z|(?P<text>[^<]+|<)",
     re.S,
 )
 ATTR = re.compile(r"(?<![\w-])(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?", re.I)
@@ -206,8 +208,9 @@ def extract(page: str | None, weights: dict[str, float]) -> str:
         return ""
     own = list(tokens(page))
     scores = []
-    for kind, value, context, _ in own:
-        if kind == "break":
+    for kind, value, context, main in own:
+        # what the main element itself holds of other contexts is cut out below, it must not split the region
+        if kind == "break" or main and context != CONTENT:
             scores.append(0.0)
             continue
         f = kind_of(kind, value, context)
@@ -233,5 +236,5 @@ def extract_pages(pages: DataFrame, html: str = "html", out: str = "_main_text",
     def f(htmls: pd.Series) -> pd.Series:
         return pd.Series([extract(h if isinstance(h, str) else None, weights) for h in htmls], dtype="str")
 
-    d = pages.withColumn("_th_x", f(F.col(f"`{html}`")))
-    return d.select(*[F.col(f"`{c}`") for c in pages.columns if c != out], F.col("_th_x").alias(out))
+    d, names = shield(pages)
+    return d.withColumn("_th_x", f(F.col(names[html]))).select(*own_columns(names, out), F.col("_th_x").alias(out))

@@ -24,6 +24,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyhouse.llm.common import own_columns, shield
+
 DIM = 512
 NGRAM = 3
 SEED = 20_011
@@ -172,9 +174,10 @@ def identify(
     folds: int = 4, held_out: int = 2, dim: int = DIM,
 ) -> DataFrame:
     """``docs`` with a struct ``out``: held_out, lang_pred, score. Rows of the held-out fold are not learned."""
-    held = F.coalesce(fold(id_col, folds) == held_out, F.lit(False))
     learn = F.coalesce(fold(id_col, folds) != held_out, F.lit(False))
     names, protos = train(docs, learn, text, lang, dim)
-    named = docs.withColumn("_th_p", predict_udf(names, protos, dim)(F.col(f"`{text}`")))
+    d, own = shield(docs)
+    named = d.withColumn("_th_p", predict_udf(names, protos, dim)(F.col(own[text])))
+    held = F.coalesce(fold(own[id_col], folds) == held_out, F.lit(False))
     result = F.struct(held.alias("held_out"), F.col("_th_p.lang_pred").alias("lang_pred"), F.col("_th_p.score").alias("score"))
-    return named.select(*[F.col(f"`{c}`") for c in docs.columns if c != out], result.alias(out))
+    return named.select(*own_columns(own, out), result.alias(out))

@@ -25,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import ascii_lower, with_result
+from tallyhouse.llm.common import ascii_lower, own_columns, shield, with_result
 from tallyhouse.llm.decontaminate import NON_WORD
 
 OPEN, CLOSE = "\x01", "\x02"  # can't occur in the word string
@@ -117,7 +117,7 @@ SINGLE_RULES = [
     ("public-domain", "public domain", "(?:dedicated to|released into|placed in|in) the public domain", 2, 0.7),
     ("proprietary", "all rights reserved", "all rights reserved", 3, 0.4),
     ("proprietary", "proprietary", "proprietary and confidential|confidential and proprietary", 2, 0.6),
-    ("proprietary", "without permission", "may not be (?:reproduced|copied|distributed) without(?: prior written)? permission", 2, 0.6),
+    ("proprietary", "may not be", "may not be (?:reproduced|copied|distributed) without(?: prior written)? permission", 2, 0.6),
 ]
 
 
@@ -172,9 +172,10 @@ def scan_licenses(docs: DataFrame, text: str = "text", out: str = "_license", ru
     """``docs`` with a struct ``out``: counts, base places, labels, score and the kept detections."""
     rules = RULES if rules is None else rules
     n_priorities = max([r.priority for r in rules], default=1)
-    norm = F.trim(F.regexp_replace(ascii_lower(F.coalesce(F.col(f"`{text}`"), F.lit(""))), NON_WORD, " "))
+    d, names = shield(docs)
+    norm = F.trim(F.regexp_replace(ascii_lower(F.coalesce(F.col(names[text]), F.lit(""))), NON_WORD, " "))
     anchors = F.array(*[F.lit(k) for k in sorted({r.anchor for r in rules})]).cast("array<string>")
-    d = docs.withColumn("_th_n", norm)
+    d = d.withColumn("_th_n", norm)
     d = d.withColumn("_th_k", F.filter(anchors, lambda k: F.contains(F.col("_th_n"), k)))
     gated = F.filter(
         _rule_literal(rules),
@@ -235,4 +236,4 @@ def scan_licenses(docs: DataFrame, text: str = "text", out: str = "_license", ru
             kept, lambda x: F.struct(x["label"].alias("label"), x["first"].alias("first_word"), (-x["neg_last"]).alias("last_word"), x["priority"].alias("priority"))
         ).alias("detections"),
     )
-    return with_result(d, [F.col(f"`{c}`") for c in docs.columns if c != out], result, out)
+    return with_result(d, own_columns(names, out), result, out)

@@ -15,9 +15,11 @@ dup AS (SELECT rid, count(*) - count(DISTINCT line) AS n FROM raw WHERE regexp_m
 norm AS (
   SELECT rid, source, regexp_replace(regexp_replace({LOWER.format('t')}, '[0-9]+', '0', 'g'), '[\x20\x09\x0B-\x0D]+', ' ', 'g') AS t FROM w),
 lines AS (SELECT rid, source, line FROM (SELECT rid, source, trim(unnest(string_split(t, chr(10))), ' ') AS line FROM norm) WHERE line <> ''),
-sig AS (SELECT rid, min(md5(line)) AS sig FROM lines GROUP BY rid),
-line_docs AS (SELECT source, line, count(DISTINCT sig) AS n FROM lines JOIN sig USING (rid) GROUP BY source, line),
-host_docs AS (SELECT source, count(DISTINCT sig) AS n FROM lines JOIN sig USING (rid) GROUP BY source),
+sig AS (SELECT rid, list_sort(list_distinct(list(md5(line)))) AS s FROM lines GROUP BY rid),
+line_docs AS (
+  SELECT source, line, count(DISTINCT CASE WHEN md5(line) = s[1] THEN coalesce(s[2], s[1]) ELSE s[1] END) AS n
+  FROM lines JOIN sig USING (rid) GROUP BY source, line),
+host_docs AS (SELECT source, count(DISTINCT s[1]) AS n FROM lines JOIN sig USING (rid) GROUP BY source),
 often AS (
   SELECT l.source, l.line FROM line_docs l JOIN host_docs h ON l.source IS NOT DISTINCT FROM h.source WHERE l.n > 50 AND l.n > 0.01 * h.n),
 gone AS (

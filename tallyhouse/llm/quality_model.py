@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import SPACE_CHARS, with_result
+from tallyhouse.llm.common import SPACE_CHARS, own_columns, shield, with_result
 from tallyhouse.llm.language_id import fold
 
 MAX_TRAIN_ROWS = 20_000
@@ -154,10 +154,11 @@ def score_quality(
     sample = with_statistics(sample, "_th_text").select("_th_id", "_th_y", "_th_f").dropDuplicates(["_th_id"])
     got = sample.orderBy("_th_id").select("_th_y", "_th_f.*").toPandas()
     intercept, rules = fit(got[FEATURES].to_numpy(dtype=float), got["_th_y"].to_numpy(dtype=float))
-    d = with_statistics(docs, text).withColumn("_th_s", compile_rules(intercept, rules, "_th_f"))
+    d, names = shield(docs)
+    d = with_statistics(d, names[text]).withColumn("_th_s", compile_rules(intercept, rules, "_th_f"))
     result = F.struct(
-        F.coalesce(fold(id_col, folds) == held_out, F.lit(False)).alias("held_out"),
+        F.coalesce(fold(names[id_col], folds) == held_out, F.lit(False)).alias("held_out"),
         F.col("_th_s").alias("score"),
         (F.col("_th_s") >= threshold).cast("int").alias("predicted"),
     )
-    return with_result(d, [F.col(f"`{c}`") for c in docs.columns if c != out], result, out)
+    return with_result(d, own_columns(names, out), result, out)

@@ -4,9 +4,10 @@ Base rules look at one document: too few words, or too many words inside repeate
 The corpus rule hashes every normalised line, counts the distinct documents of a host that hold
 it, removes lines above the limits and rejects documents that the removal depletes.
 
-*Distinct documents*: a document is known by its smallest line hash. Copies, and most near copies,
-share that hash and count once, so a group of copies doesn't turn its own lines into boilerplate,
-while a line shared by otherwise different documents is counted for each of them.
+*Distinct documents*: for a line, a document is known by the smallest hash of its other lines.
+Copies, and most near copies, share that hash and count once, so a group of copies doesn't turn its
+own lines into boilerplate, while a line shared by otherwise different documents is counted for
+each of them.
 
 Scale: the first pass shuffles (host, line hash, document hash) and is combined before the
 shuffle; a hot host or line is spread by the document hash. Lines above the limits are few (each
@@ -23,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import KEY, SPACE_CHARS, add_key, ascii_lower, bounded, settled, with_result
+from tallyhouse.llm.common import KEY, SPACE_CHARS, add_key, ascii_lower, bounded, own_columns, settled, shield, with_result
 
 SPACES = r"[\x20\x09-\x0D]+"
 MAX_DOCS = 50  # a line may stand in this many distinct documents of a host ...
@@ -88,7 +89,7 @@ def base_stats(docs: DataFrame, text: str) -> DataFrame:
 
 
 def line_rows(docs: DataFrame, text: str, host: str) -> DataFrame:
-    """One row per line with a word: keys, host, hash of the normalised line, its words, the document hash.
+    """One row per line with a word: keys, host, hash of the normalised line, its words, the hash of its document.
 
     A row with an empty hash stands for the document itself, so that documents of a host are
     counted in the same pass.
@@ -104,10 +105,14 @@ def line_rows(docs: DataFrame, text: str, host: str) -> DataFrame:
         ),
     )
     whole = F.array(F.struct(F.unhex(F.lit("")).alias("line"), F.lit(0).alias("words")))
-    d = d.withColumn("doc", F.array_min("lines.line")).where(F.size("lines") > 0)
-    return d.select(*KEY, "host", "doc", F.posexplode(F.concat(whole, F.col("lines")))).select(
-        *KEY, "host", "doc", "pos", "col.line", "col.words"
+    low = F.slice(F.array_sort(F.array_distinct(F.col("lines.line"))), 1, 2)  # the two smallest hashes
+    d = d.withColumn("low", low).where(F.size("lines") > 0)
+    rows = d.select(*KEY, "host", "low", F.posexplode(F.concat(whole, F.col("lines")))).select(
+        *KEY, "host", "low", "pos", "col.line", "col.words"
     )
+    first, second = F.get("low", F.lit(0)), F.get("low", F.lit(1))
+    doc = F.when(F.col("line") == first, F.coalesce(second, first)).otherwise(first)
+    return rows.withColumn("doc", doc).drop("low")
 
 
 def frequent_lines(lines: DataFrame, max_docs: int, max_share: float) -> DataFrame:
@@ -137,7 +142,9 @@ def quality_rules(
     min_left_share: float = MIN_LEFT_SHARE,
 ) -> DataFrame:
     """``docs`` with a struct ``out``: counts, ``base_failed``, ``n_removed_words`` and ``kept``."""
-    keyed = add_key(docs, id_col, host, text)
+    d, names = shield(docs)
+    host, text = names[host], names[text]
+    keyed = add_key(d, names[id_col], host, text)
     lines = line_rows(keyed, text, host)
     frequent = settled(frequent_lines(lines, max_docs, max_share))
     f = bounded(frequent.select(F.col("host").alias("fh"), F.col("line").alias("fl")))
@@ -160,4 +167,4 @@ def quality_rules(
         F.coalesce(F.col("_th_rlines"), F.lit(0)).cast("long").alias("n_removed_lines"),
         (~failed & ~depleted).alias("kept"),
     )
-    return with_result(stats, [F.col(f"`{c}`") for c in docs.columns if c != out], result, out)
+    return with_result(stats, own_columns(names, out), result, out)

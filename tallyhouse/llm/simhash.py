@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from tallyhouse.llm.common import KEY, add_key, bounded, settled
+from tallyhouse.llm.common import KEY, add_key, bounded, own_columns, settled, shield
 from tallyhouse.llm.components import components
 
 BITS = 64
@@ -237,5 +237,6 @@ def drop_near_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc
     order = F.struct(F.col(f"`{id_col}`").isNull().alias("no_id"), F.col(f"`{id_col}`").alias("id"), *KEY)
     keep = settled(rows.groupBy(*[g.alias(f"g{i}") for i, g in enumerate(group)]).agg(F.min(order).alias("o")).select(*[F.col("o")[k].alias(k) for k in KEY]))
     repeated = rows.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count() > 0
-    kept = add_key(docs, id_col, text).join(bounded(keep), KEY, "left_semi")
-    return (kept.dropDuplicates(KEY) if repeated else kept).select(*[F.col(f"`{c}`") for c in docs.columns])
+    d, names = shield(docs)
+    kept = add_key(d, names[id_col], names[text]).join(bounded(keep), KEY, "left_semi")
+    return (kept.dropDuplicates(KEY) if repeated else kept).select(*own_columns(names))

@@ -21,7 +21,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import UPPER, settled
+from tallyhouse.llm.common import UPPER, own_columns, settled, shield
 
 WORDS = 8
 BITS_PER_URL = 12
@@ -99,13 +99,14 @@ def filter_urls(
     pages: DataFrame, listed: DataFrame, rules: dict[str, str], url: str = "url", listed_url: str = "url", out: str = "_url"
 ) -> DataFrame:
     """``pages`` with a struct ``out``: host, path, rule, listed, verdict (the rule's, else by the list)."""
-    names = [F.col(f"`{c}`") for c in pages.columns if c != out]
-    d = mark_listed(pages, listed, url, listed_url, "_th_listed")
-    d = d.withColumns({"_th_host": host_of(F.col(f"`{url}`")), "_th_path": path_of(F.col(f"`{url}`"))})
+    d, names = shield(pages)
+    u = names[url]
+    d = mark_listed(d, listed, u, listed_url, "_th_listed")
+    d = d.withColumns({"_th_host": host_of(F.col(u)), "_th_path": path_of(F.col(u))})
     rule, verdict = rule_expression(F.col("_th_host"), F.col("_th_path"), rules)
     by_list = F.when(F.col("_th_listed"), "block").otherwise("allow")
     result = F.struct(
         F.col("_th_host").alias("host"), F.col("_th_path").alias("path"), rule.alias("rule"),
         F.coalesce(verdict, by_list).alias("verdict"), F.col("_th_listed").alias("listed"),
     )
-    return d.select(*names, result.alias(out))
+    return d.select(*own_columns(names, out), result.alias(out))

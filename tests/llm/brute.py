@@ -37,10 +37,10 @@ def quality_kept(rows, max_docs, max_share, min_left):
     seen, hosts = {}, {}
     for _, host, text in rows:
         if lines := norm_lines(text):
-            doc = min(map(md5, lines))
-            hosts.setdefault(host, set()).add(doc)
+            low = sorted(set(map(md5, lines)))
+            hosts.setdefault(host, set()).add(low[0])
             for x in lines:
-                seen.setdefault((host, x), set()).add(doc)
+                seen.setdefault((host, x), set()).add((low[1:] or low)[0] if md5(x) == low[0] else low[0])
     out = []
     for _, host, text in rows:
         base = quality_base(text)
