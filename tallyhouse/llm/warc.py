@@ -6,7 +6,7 @@ with the largest id is the response, the others are revisits of it (identical pa
 The digests are a narrow table: the winners come from a grouped maximum (combined before the
 shuffle) joined back on the digest, where a hot digest can be split. Records are laid out by
 page id over enough files for ``FILE_BYTES`` each and written by Spark's text writer (a record ends
-in two line breaks, which is the writer's line separator), so any store that Spark writes works and lost
+in two line breaks, which is the writer's line separator) as gzip files, so any store that Spark writes works and lost
 tasks are simply written again.
 
 Reading: files are read whole by Spark's binary reader (one file at a time is in memory, its size
@@ -23,6 +23,7 @@ writes an empty archive and gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 
 import pandas as pd
@@ -33,6 +34,7 @@ from tallyhouse.session import scratch_path
 
 CRLF = "\r\n"
 FILE_BYTES = 32 << 20
+GZIP = b"\x1f\x8b"
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -103,7 +105,7 @@ def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url: str =
         _record("metadata", [("WARC-Record-ID", _uuid("metadata")), target, to, ("Content-Type", F.lit("application/warc-fields"))], fields),
     ]
     text = F.concat_ws(CRLF * 2, *records)
-    laid.select(text.alias("value")).write.option("lineSep", CRLF * 2).text(path)
+    laid.select(text.alias("value")).write.option("lineSep", CRLF * 2).option("compression", "gzip").text(path)
 
 
 def parse_records(data: bytes):
@@ -136,7 +138,8 @@ def read_warc(spark: SparkSession, path: str, with_body: bool = True) -> DataFra
         for b in batches:
             for data in b["content"]:
                 out = []
-                for h, body in parse_records(bytes(data)):
+                data = bytes(data)
+                for h, body in parse_records(gzip.decompress(data) if data[:2] == GZIP else data):
                     kind = h["warc-type"]
                     fields, payload, digest = {}, None, None
                     if kind == "metadata":
