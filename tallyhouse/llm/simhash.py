@@ -15,6 +15,10 @@ fingerprints are linked exactly another way: two of them are within max_bits iff
 radius max_bits / 2 meet, so each one lists its ball (65 points for 2 bits) and the members of a
 point (at most 65) are joined in a star. That is linear in the bucket, and no link is lost.
 
+Hot fingerprints: rows get their component by a join on the fingerprint. Those of a hot one (many
+copies) take it from a broadcast of the hot fingerprints, so they stay where they are. Each holds
+over a ``HOT_FINGERPRINTS``-th of all rows, so there are fewer than ``HOT_FINGERPRINTS`` of them.
+
 Defined cases: no words (null, empty, blank) gives fingerprint 0, linked like any other; fewer
 words than a shingle are one shingle; repeated rows share their component; a null id never is
 the smallest id (a component of null ids has a null component_id); empty tables give empty
@@ -39,6 +43,8 @@ from tallyhouse.llm.components import components
 BITS = 64
 SEED = 42
 BUCKET_CAP = 32
+HOT_ROWS = 1000  # a fingerprint of more rows than this, and than a HOT_FINGERPRINTS-th of all rows, is hot
+HOT_FINGERPRINTS = 100_000
 CHUNK = 1 << 16
 
 
@@ -220,13 +226,20 @@ def near_duplicates(
     keyed = add_key(docs.select(id_col, text), id_col, text)
     made = keyed.withColumn("fp", fingerprint_udf(shingle)(F.col(f"`{text}`")))
     rows = settled(made.select(*KEY, F.col(f"`{id_col}`").alias("id"), "fp"))
-    fps = settled(rows.groupBy("fp").agg(F.min("id").alias("first_id")))
+    fps = settled(rows.groupBy("fp").agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("n")))
     linked = settled(components(links(fps.select("fp"), max_bits, bucket_cap)))
     linked = linked.withColumnRenamed("node", "fp").join(fps, "fp")
     firsts = linked.groupBy("component").agg(F.min("first_id").alias("lowest"))
     linked = linked.join(firsts, "component").select("fp", "lowest", F.lit(True).alias("in_group"))
-    named = fps.join(linked, "fp", "left").select("fp", F.when(F.col("in_group"), F.col("lowest")).otherwise(F.col("first_id")).alias("component_id"))
-    return rows.join(named, "fp").select(*KEY, F.col("id").alias(id_col), "fp", "component_id")
+    component = F.when(F.col("in_group"), F.col("lowest")).otherwise(F.col("first_id")).alias("component_id")
+    named = settled(fps.join(linked, "fp", "left").select("fp", "n", component))
+    total = named.agg(F.sum("n").alias("n")).first()["n"] or 0
+    hot = named.where(F.col("n") > max(HOT_ROWS, total // HOT_FINGERPRINTS))
+    hot = F.broadcast(hot.select("fp", F.col("component_id").alias("hot_id"), F.lit(True).alias("is_hot")))
+    split = rows.join(hot, "fp", "left")
+    spread = split.where("is_hot").select(*KEY, "id", "fp", F.col("hot_id").alias("component_id"))
+    others = split.where("is_hot IS NULL").join(named, "fp").select(*KEY, "id", "fp", "component_id")
+    return spread.unionByName(others).withColumnRenamed("id", id_col)
 
 
 def drop_near_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id", **options) -> DataFrame:

@@ -182,7 +182,9 @@ def brute_components(values, bits):
     return [find(i) for i in range(len(values))]
 
 
-def test_simhash_documents(spark, sample):
+@pytest.mark.parametrize("hot_rows", [1, 1000])
+def test_simhash_documents(spark, sample, monkeypatch, hot_rows):
+    monkeypatch.setattr(simhash, "HOT_ROWS", hot_rows)
     rows = sample + odd_rows()
     got = simhash.near_duplicates(docs_of(spark, rows)).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0"), "component_id")
     prints = [brute_fingerprint(t) for _, t, _, _ in rows]
