@@ -15,6 +15,7 @@ from tallyhouse.schemas import (
     DIM_PRODUCT_CATEGORY,
     DIM_REGION,
     FACT_SALES,
+    SALES_DETAILS,
     TOTAL,
     conform,
 )
@@ -50,6 +51,23 @@ def build_dim_date(sales_details: DataFrame) -> DataFrame:
     return conform(date_attributes(dense_key(dates, ["full_date"], "date_key")), DIM_DATE)
 
 
+# sales_details columns that hold the ids of W2-W5
+_ID_COLUMNS = ("customer_id", "category_id", "region_id", "payment_method_id")
+
+
+def used_ids(sales_details: DataFrame) -> DataFrame:
+    """(dim, id): the dates and ids that sales hold, from one scan of the sales. A date is its day number."""
+    ids = {"invoice_date": F.unix_date("invoice_date"), **{c: F.col(c) for c in _ID_COLUMNS}}
+    pairs = F.explode(F.array(*[F.struct(F.lit(n).alias("dim"), c.cast("long").alias("id")) for n, c in ids.items()]))
+    return sales_details.select(pairs.alias("e")).select("e.dim", "e.id").distinct()
+
+
+def used_column(used: DataFrame, col: str) -> DataFrame:
+    """The values of one ``sales_details`` column, back from :func:`used_ids`."""
+    value = F.date_from_unix_date(F.col("id").cast("int")) if col == "invoice_date" else F.col("id").cast(SALES_DETAILS[col].dataType)
+    return used.where(F.col("dim") == col).select(value.alias(col))
+
+
 def _used_ids(sales_details: DataFrame, col: str, alias: str) -> DataFrame:
     # de-duplicated before any join (partial aggregation on the map side)
     return sales_details.select(F.col(col).alias(alias)).distinct()

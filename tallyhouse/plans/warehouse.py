@@ -146,12 +146,17 @@ class Warehouse:
 
         def run():
             sd = self.table("sales_details")
+            self._write_timed("used_ids", lambda: star.used_ids(sd))  # one scan of the sales for all five
+
+            def used(col):
+                return star.used_column(self.table("used_ids"), col)
+
             dims = {
-                "dim_date": lambda: star.build_dim_date(sd),
-                "dim_customer": lambda: star.build_dim_customer(sd, self.table("customer")),
-                "dim_product_category": lambda: star.build_dim_product_category(sd, self.table("product_category")),
-                "dim_region": lambda: star.build_dim_region(sd, self.table("region")),
-                "dim_payment_method": lambda: star.build_dim_payment_method(sd, self.table("payment_method")),
+                "dim_date": lambda: star.build_dim_date(used("invoice_date")),
+                "dim_customer": lambda: star.build_dim_customer(used("customer_id"), self.table("customer")),
+                "dim_product_category": lambda: star.build_dim_product_category(used("category_id"), self.table("product_category")),
+                "dim_region": lambda: star.build_dim_region(used("region_id"), self.table("region")),
+                "dim_payment_method": lambda: star.build_dim_payment_method(used("payment_method_id"), self.table("payment_method")),
             }
             self._write_together([(n, (lambda n=n, make=make: self.write(n, make()))) for n, make in dims.items()])
             t0 = time.perf_counter()

@@ -146,3 +146,40 @@ def test_cluster_settings_apply_and_keep_results(spark, wh):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_used_ids_hold_every_dimension_value_from_one_scan(wh):
+    sd = wh.table("sales_details")
+    used = star.used_ids(sd)
+    assert _plan(used).count("FileScan") == 1
+    for col in ("invoice_date", "customer_id", "category_id", "region_id", "payment_method_id"):
+        got = star.used_column(used, col)
+        assert got.schema[col].dataType == sd.schema[col].dataType
+        assert sorted(got.collect()) == sorted(sd.select(col).distinct().collect())
+    assert star.used_ids(sd.limit(0)).count() == 0
+
+
+def test_christmas_days_reach_the_scan(wh):
+    sd, region = wh.table("sales_details"), wh.table("region")
+    days = questions.christmas_days(wh.table("dim_date"))
+    assert days and all((d.month, d.day) == (12, 25) for d in days)
+    listed = questions.christmas_sales_by_payment_method(sd, region, days)
+    assert rows(listed) == rows(questions.christmas_sales_by_payment_method(sd, region))
+    assert "In(invoice_date" in _plan(listed)
+    assert questions.christmas_sales_by_payment_method(sd, region, []).count() == 0
+
+
+def test_stored_reads_prune_periods_without_a_window(wh):
+    import __spark_entry__ as entry
+    from tallyhouse.operators import cumulative as cum
+
+    last = entry._years(wh)[-1]
+    table = entry._stored(wh, "cum_customer_sales")
+    for df in (cum.unnest_customer_sales(table, last), cum.flatten_customer_sales(table, last)):
+        plan = _plan(df)
+        assert "PartitionFilters: [isnotnull(current_year" in plan and "Window" not in plan
+        assert df.count() > 0
