@@ -26,7 +26,7 @@ import oracle_sql as _oracle
 from tallyhouse.functions.exprs import discount_price
 from tallyhouse.operators import cumulative as cum
 from tallyhouse.operators import explore, normalize, quality, scd2
-from tallyhouse.plans import ingest, questions, runs
+from tallyhouse.plans import faults, ingest, questions, runs
 from tallyhouse.plans.warehouse import REJECTED
 from tallyhouse.schemas import CUSTOMER_ADDRESS, SALES_DETAILS, conform
 from tallyhouse.session import ensure_checkpoint_dir, scratch_path
@@ -108,6 +108,14 @@ def q_rejected_sales(spark, sf):
     return store.read_table(spark, wh.path(REJECTED), SALES_DETAILS).select(*SALES_DETAIL_COLS)
 
 
+def q_quarantined_sales(spark, sf):
+    """N6 quarantine on staged sales with faults: every rule rejects some, with its reason."""
+    wh = _wh(spark, sf)
+    lookups = {n: wh.table(n) for n in normalize.LOOKUPS}
+    staged = normalize.stage_sales_details(faults.faulty_sales(wh.table("retail_sales")), wh.table("customer"), lookups)
+    return staged.where(F.col(quality.REASON).isNotNull()).select(*SALES_DETAIL_COLS, quality.REASON)
+
+
 def q_seed_customer_address(spark, sf):
     wh = runs.with_addresses(spark, sf)
     return scd2.seed_customer_address(wh.table("customer"), runs.address_count(wh), AS_OF, _oracle.ADDRESS_MULTIPLIERS[0])
@@ -218,6 +226,24 @@ def q_quality_report(spark, sf):
     return out
 
 
+def _faulty_submissions(spark, sf, wh):
+    return faults.faulty_submissions(runs.sales_submissions(spark, sf, wh))
+
+
+def q_submission_quality_report(spark, sf):
+    """K5-K7 on submissions with faults: each check finds violations."""
+    wh = _wh(spark, sf)
+    return quality.constraint_report(
+        _faulty_submissions(spark, sf, wh),
+        "submissions",
+        not_null=ingest.SUBMISSION_NOT_NULL,
+        checks=[("check:submissions(quantity>0)", F.col("quantity") > 0)],
+        foreign_keys=[
+            (f"fk:submissions({col})", col, wh.table(table), ref_col) for col, (table, ref_col) in ingest.FOREIGN_KEYS.items()
+        ],
+    )
+
+
 # -- star and questions -------------------------------------------------------------------------
 def _table(name, drop=()):
     def run(spark, sf):
@@ -394,6 +420,12 @@ def q_ingest_rejected(spark, sf):
     return _ingest(spark, sf)[1]
 
 
+def q_ingest_rejected_reasons(spark, sf):
+    """I2 on submissions with faults: rows are rejected for every reason there is."""
+    wh = _wh(spark, sf)
+    return ingest.ingest_sales(_faulty_submissions(spark, sf, wh), runs.reference_tables(wh), AS_OF)[1]
+
+
 def q_load_missing_dates(spark, sf):
     """dim_date as loaded before the cutoff date; the sales then bring the later dates."""
     wh = _wh(spark, sf)
@@ -461,6 +493,7 @@ def queries() -> dict[str, Query]:
         "customer_table": q_customer_table,
         "sales_details": q_sales_details,
         "rejected_sales": q_rejected_sales,
+        "quarantined_sales": q_quarantined_sales,
         "seed_customer_address": q_seed_customer_address,
         "customer_address_history": q_customer_address_history,
     }
@@ -477,6 +510,7 @@ def queries() -> dict[str, Query]:
             "sales_on_date": q_sales_on_date,
             "duplicate_transaction_ids": q_duplicate_transaction_ids,
             "quality_report": q_quality_report,
+            "submission_quality_report": q_submission_quality_report,
             "dim_date": _table("dim_date"),
             "dim_customer": _table("dim_customer"),
             "dim_product_category": _table("dim_product_category"),
@@ -503,6 +537,7 @@ def queries() -> dict[str, Query]:
             "customer_transitions": q_customer_transitions,
             "ingest_accepted": q_ingest_accepted,
             "ingest_rejected": q_ingest_rejected,
+            "ingest_rejected_reasons": q_ingest_rejected_reasons,
             "load_missing_dates": q_load_missing_dates,
             "stream_ingest": q_stream_ingest,
             "stream_sales_ids": q_stream_sales_ids,

@@ -490,6 +490,62 @@ LEFT JOIN cy_stats p ON p.customer_id = sp.customer_id AND p.y = sp.current_year
         + "SELECT customer_id, category_id, quantity, discount, amount, payment_method_id, region_id, unit_price, "
         "reject_reason FROM chk WHERE reject_reason IS NOT NULL"
     )
+    # the same checks on inputs with faults: every 97th case of a row's values misses or breaks one column
+    q["quarantined_sales"] = _with(
+        """
+, bad AS (
+  SELECT CASE WHEN transaction_id % 97 <> 0 THEN customer_id END AS customer_id,
+         CASE WHEN transaction_id % 97 = 1 THEN 'no such category' ELSE product_category END AS product_category,
+         CASE WHEN transaction_id % 97 = 2 THEN NULL WHEN transaction_id % 97 = 7 THEN 0 ELSE quantity END AS quantity,
+         CASE WHEN transaction_id % 97 <> 3 THEN total_amount END AS amount,
+         CASE WHEN transaction_id % 97 = 4 THEN 'no such method' ELSE payment_method END AS payment_method,
+         CASE WHEN transaction_id % 97 = 5 THEN 'no date' ELSE "timestamp" END AS "timestamp",
+         CASE WHEN transaction_id % 97 <> 6 THEN customer_location END AS customer_location, price, discount
+  FROM rs),
+bad_sd AS (
+  SELECT cu.customer_id, pc.category_id, bad.price AS unit_price, bad.quantity, bad.discount, bad.amount,
+         pm.method_id AS payment_method_id, TRY_CAST(TRY_CAST(bad."timestamp" AS TIMESTAMP) AS DATE) AS invoice_date, rg.region_id
+  FROM bad
+  LEFT JOIN cust_lk cu ON concat('C-', CAST(bad.customer_id AS VARCHAR)) = cu.customer_no
+  LEFT JOIN pc_lk pc ON bad.product_category = pc.category
+  LEFT JOIN pm_lk pm ON bad.payment_method = pm.payment_method
+  LEFT JOIN rg_lk rg ON bad.customer_location = rg.region_name)
+SELECT * FROM (
+  SELECT *, CASE WHEN customer_id IS NULL THEN 'not_null:customer_id' WHEN category_id IS NULL THEN 'not_null:category_id'
+    WHEN quantity IS NULL THEN 'not_null:quantity' WHEN amount IS NULL THEN 'not_null:amount'
+    WHEN payment_method_id IS NULL THEN 'not_null:payment_method_id' WHEN invoice_date IS NULL THEN 'not_null:invoice_date'
+    WHEN region_id IS NULL THEN 'not_null:region_id' WHEN quantity <= 0 THEN 'check:quantity>0' END AS reject_reason
+  FROM bad_sd)
+WHERE reject_reason IS NOT NULL"""
+    )
+    pick, check = sub.split(", chk AS ")
+    bad_sub = pick + """
+, n_sub AS (SELECT *, (CAST(customer_id AS BIGINT) * 31 + category_id * 7 + quantity) % 97 AS n FROM sub),
+bad_sub AS (
+  SELECT CASE n WHEN 0 THEN NULL WHEN 7 THEN -customer_id ELSE customer_id END AS customer_id,
+         CASE n WHEN 1 THEN NULL WHEN 8 THEN -category_id ELSE category_id END AS category_id,
+         CASE n WHEN 2 THEN NULL WHEN 6 THEN 0 ELSE quantity END AS quantity, discount,
+         CASE WHEN n <> 3 THEN amount END AS amount,
+         CASE n WHEN 4 THEN NULL WHEN 9 THEN -payment_method_id ELSE payment_method_id END AS payment_method_id,
+         CASE n WHEN 5 THEN NULL WHEN 10 THEN -region_id ELSE region_id END AS region_id, unit_price
+  FROM n_sub)"""
+    q["ingest_rejected_reasons"] = _with(
+        bad_sub + ", chk AS " + check.replace("FROM sub)", "FROM bad_sub)")
+        + "SELECT customer_id, category_id, quantity, discount, amount, payment_method_id, region_id, unit_price, "
+        "reject_reason FROM chk WHERE reject_reason IS NOT NULL"
+    )
+    q["submission_quality_report"] = _with(
+        bad_sub + """
+SELECT check_name, CAST(violations AS BIGINT) AS violations FROM (
+  SELECT 'not_null:submissions' AS check_name, (SELECT COUNT(*) FROM bad_sub WHERE customer_id IS NULL OR category_id IS NULL
+         OR quantity IS NULL OR amount IS NULL OR payment_method_id IS NULL OR region_id IS NULL) AS violations
+  UNION ALL SELECT 'check:submissions(quantity>0)', (SELECT COUNT(*) FROM bad_sub WHERE quantity <= 0)
+  UNION ALL SELECT 'fk:submissions(customer_id)', (SELECT COUNT(*) FROM bad_sub WHERE customer_id NOT IN (SELECT customer_id FROM cust_lk))
+  UNION ALL SELECT 'fk:submissions(category_id)', (SELECT COUNT(*) FROM bad_sub WHERE category_id NOT IN (SELECT category_id FROM pc_lk))
+  UNION ALL SELECT 'fk:submissions(payment_method_id)', (SELECT COUNT(*) FROM bad_sub WHERE payment_method_id NOT IN (SELECT method_id FROM pm_lk))
+  UNION ALL SELECT 'fk:submissions(region_id)', (SELECT COUNT(*) FROM bad_sub WHERE region_id NOT IN (SELECT region_id FROM rg_lk))
+)"""
+    )
     q["load_missing_dates"] = _with(
         f", old AS (SELECT * FROM dd WHERE full_date < DATE '{DIM_DATE_CUTOFF}'), "
         "new_d AS (SELECT DISTINCT invoice_date AS full_date FROM sd WHERE invoice_date NOT IN (SELECT full_date FROM old)) "
