@@ -34,6 +34,7 @@ from tallyhouse.schemas import (
     CUM_CUSTOMER_SALES,
     CUM_PRODUCT_SALES,
     CUM_REGION_PRODUCT_SALES,
+    SALE_YEAR,
     SALES_STATS,
     conform,
 )
@@ -100,6 +101,14 @@ def period_filter(grain: str, period, date_col: str = "invoice_date") -> Column:
     return year_range(date_col, int(period))
 
 
+def sales_of_period(sales_details: DataFrame, grain: str, period) -> DataFrame:
+    """The sales of one period; a layout partitioned by ``SALE_YEAR`` is pruned to the period's year."""
+    rows = sales_details.where(period_filter(grain, period))
+    if SALE_YEAR in sales_details.columns:
+        rows = rows.where(F.col(SALE_YEAR) == F.lit(period.year if grain == "day" else int(period)))
+    return rows
+
+
 def up_to(grain: str, end, date_col: str = "invoice_date") -> Column:
     """Rows in periods up to and including ``end`` (a range on the date, pushed to the scan)."""
     if grain == "day":
@@ -135,7 +144,7 @@ def name_joiner(product_category: DataFrame | None = None, region: DataFrame | N
 # -- C0: one step -----------------------------------------------------------------------------
 def period_totals(sales_details: DataFrame, spec: CumulativeSpec, period) -> DataFrame:
     """``today``: one row per key with the period's sums (the key is unique on this side)."""
-    today = sales_details.where(period_filter(spec.grain, period))
+    today = sales_of_period(sales_details, spec.grain, period)
     return today.groupBy(*spec.keys).agg(*[F.sum(src).alias(out) for out, src in spec.measures])
 
 
@@ -390,7 +399,7 @@ def customer_sales_step(sales_details: DataFrame, yesterday: DataFrame, customer
     stays co-partitioned when both sides are bucketed by customer_id.
     """
     today = (
-        sales_details.where(year_range("invoice_date", year))
+        sales_of_period(sales_details, "year", year)
         .groupBy("customer_id")
         .agg(_stats_struct(F.lit(year)).alias("_stats"))
     )

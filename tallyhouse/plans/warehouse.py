@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tallyhouse.operators import normalize, star
 from tallyhouse.operators.keys import row_key
 from tallyhouse.operators.quality import REASON
-from tallyhouse.schemas import SALES_DETAILS, TABLES, conform
+from tallyhouse.schemas import SALE_YEAR, SALES_DETAILS, TABLES, conform
 from tallyhouse.session import scratch_path
 from tallyhouse.sources import tables as store
 
@@ -204,8 +204,8 @@ class Warehouse:
         return self
 
     def build_bucketed_sales(self, buckets: int, max_skew: float = 2.0) -> str:
-        """``sales_details`` as a catalog table bucketed by customer_id, for shuffle-free
-        customer-keyed cumulative steps. Returns the qualified table name.
+        """``sales_details`` as a catalog table partitioned by year and bucketed by customer_id, for
+        shuffle-free customer-keyed cumulative steps that read one year. Returns the qualified table name.
 
         A bucket is read by a single task, so a customer holding a large share of all sales would
         make one task read that share. The bucket sizes are measured first (one aggregate, one
@@ -218,13 +218,14 @@ class Warehouse:
         if store.table_exists(self.spark, name):
             return name
         sd = self.table("sales_details")
+        by_year = sd.withColumn(SALE_YEAR, F.year("invoice_date"))
         skew = bucket_skew(sd, "customer_id", buckets)
         self.timings["bucket_skew"] = round(skew, 3)
         path = f"{self.root}/catalog/sales_details_by_customer_{buckets}"
         if skew <= max_skew:
-            self._timed("bucketed_sales", lambda: store.save_bucketed(sd, name, path, ("customer_id",), buckets))
+            self._timed("bucketed_sales", lambda: store.save_bucketed(by_year, name, path, ("customer_id",), buckets, (SALE_YEAR,)))
         else:
-            self._timed("bucketed_sales", lambda: sd.write.mode("overwrite").option("path", path).saveAsTable(name))
+            self._timed("bucketed_sales", lambda: by_year.write.mode("overwrite").partitionBy(SALE_YEAR).option("path", path).saveAsTable(name))
         return name
 
     @property

@@ -180,6 +180,8 @@ FACT_SALES = _s(
 
 # --- ingestion ------------------------------------------------------------------------------
 # Arguments of the validated insert, in the procedure's parameter order.
+SALE_YEAR = "sale_year"  # partition column of the bucketed sales layout
+
 SALE_SUBMISSION = _s(
     ("customer_id", IntegerType(), True),
     ("category_id", IntegerType(), True),

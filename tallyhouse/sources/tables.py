@@ -89,8 +89,9 @@ def save_bucketed(
     """K9 re-aimed: instead of an index, store ``df`` hash-bucketed and sorted by ``bucket_cols``.
 
     Joins and aggregations on those columns between tables with the same bucketing then need no
-    shuffle at all.
+    shuffle at all. Rows are brought together by bucket first, so a bucket is one file a partition.
     """
+    df = df.repartition(buckets, *bucket_cols)
     w = df.write.mode("overwrite").bucketBy(buckets, *bucket_cols).sortBy(*bucket_cols).option("path", path)
     if partition_by:
         w = w.partitionBy(*partition_by)

@@ -156,6 +156,7 @@ def test_bucketed_chain_has_no_shuffle_and_equals_closed_form(spark, wh):
         plan = step._jdf.queryExecution().executedPlan().toString()
         assert "Exchange" not in plan, plan
         assert "PartitionFilters: [isnotnull(current_year" in plan
+        assert "PartitionFilters: [isnotnull(sale_year" in plan  # one year of the sales is read
 
 
 def test_bucket_skew_guard(spark):
