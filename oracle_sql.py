@@ -284,7 +284,7 @@ def queries() -> dict[str, str]:
     )
     q["sales_count_by_customer"] = _with("SELECT customer_id, COUNT(customer_id) AS num_recs FROM sd GROUP BY customer_id")
     q["sales_by_region"] = _with(
-        "SELECT r.region_name, CAST(ROUND(SUM(s.amount), 2) AS DECIMAL(18,2)) AS total_amount "
+        "SELECT r.region_name, CAST(ROUND(SUM(s.amount), 2) AS DECIMAL(28,2)) AS total_amount "
         "FROM sd s LEFT JOIN rg_lk r ON s.region_id = r.region_id GROUP BY r.region_name"
     )
     q["invoice_date_range"] = _with(

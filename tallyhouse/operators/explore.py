@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.functions.exprs import exact_avg
 from tallyhouse.plans.joins import bounded_broadcast
-from tallyhouse.schemas import TOTAL
+from tallyhouse.schemas import GRAND_TOTAL
 
 LOOKUP_BROADCAST_ROWS = 100_000
 # staging columns profiled by E2, with their number of decimals
@@ -63,7 +63,7 @@ def sales_by_region(sales_details: DataFrame, region: DataFrame) -> DataFrame:
     joined = per_id.join(names, "region_id", "left")
     return (
         joined.groupBy("region_name")
-        .agg(F.round(F.sum("_total"), 2).cast(TOTAL).alias("total_amount"))
+        .agg(F.round(F.sum("_total"), 2).cast(GRAND_TOTAL).alias("total_amount"))
         .orderBy(F.col("region_name").asc_nulls_last())
     )
 

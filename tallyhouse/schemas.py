@@ -27,6 +27,7 @@ from pyspark.sql.types import (
 
 MONEY = DecimalType(10, 2)
 TOTAL = DecimalType(18, 2)
+GRAND_TOTAL = DecimalType(28, 2)  # totals over all sales, for which no table declares a type
 RATE = DecimalType(4, 2)
 
 
