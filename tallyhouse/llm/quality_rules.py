@@ -4,10 +4,10 @@ Base rules look at one document: too few words, or too many words inside repeate
 The corpus rule hashes every normalised line, counts the distinct documents of a host that hold
 it, removes lines above the limits and rejects documents that the removal depletes.
 
-*Distinct documents*: for a line, a document is known by the smallest hash of its other lines.
-Copies, and most near copies, share that hash and count once, so a group of copies doesn't turn its
-own lines into boilerplate, while a line shared by otherwise different documents is counted for
-each of them.
+*Distinct documents*: for a line, a document is known by its whole set of other normalised lines (an
+order-free hash of 128 bits). Copies have the same set and count once, so a group of copies doesn't
+turn its own lines into boilerplate, while a line shared by otherwise different documents is counted
+for each of them. Near copies that differ in a line are different documents.
 
 Scale: the first pass shuffles (host, line hash, document hash) and is combined before the
 shuffle; a hot host or line is spread by the document hash. Lines above the limits are few (each
@@ -21,6 +21,8 @@ as they are (the result is one struct column). Window hashes are 64 bits wide wi
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +32,8 @@ SPACES = r"[\x20\x09-\x0D]+"
 MAX_DOCS = 50  # a line may stand in this many distinct documents of a host ...
 MAX_SHARE = 0.01  # ... or in this share of them; it is removed above both
 MIN_LEFT_SHARE = 0.4  # a document left with a smaller share of its words is depleted
+#: the two halves of a document's hash, and the hash of a line in each
+LINE_HASHES = {"doc1": lambda x: F.xxhash64(x), "doc2": lambda x: F.xxhash64(F.lit(7919), x)}
 
 
 def _words(df: DataFrame, text: str) -> DataFrame:
@@ -89,7 +93,7 @@ def base_stats(docs: DataFrame, text: str) -> DataFrame:
 
 
 def line_rows(docs: DataFrame, text: str, host: str) -> DataFrame:
-    """One row per line with a word: keys, host, hash of the normalised line, its words, the hash of its document.
+    """One row per line with a word: keys, host, hash of the normalised line, its words, the hash of its document's other lines.
 
     A row with an empty hash stands for the document itself, so that documents of a host are
     counted in the same pass.
@@ -105,19 +109,23 @@ def line_rows(docs: DataFrame, text: str, host: str) -> DataFrame:
         ),
     )
     whole = F.array(F.struct(F.unhex(F.lit("")).alias("line"), F.lit(0).alias("words")))
-    low = F.slice(F.array_sort(F.array_distinct(F.col("lines.line"))), 1, 2)  # the two smallest hashes
-    d = d.withColumn("low", low).where(F.size("lines") > 0)
-    rows = d.select(*KEY, "host", "low", F.posexplode(F.concat(whole, F.col("lines")))).select(
-        *KEY, "host", "low", "pos", "col.line", "col.words"
+    d = d.withColumns({c: _xor_distinct(h) for c, h in LINE_HASHES.items()}).where(F.size("lines") > 0)
+    rows = d.select(*KEY, "host", *LINE_HASHES, F.posexplode(F.concat(whole, F.col("lines")))).select(
+        *KEY, "host", *LINE_HASHES, "pos", "col.line", "col.words"
     )
-    first, second = F.get("low", F.lit(0)), F.get("low", F.lit(1))
-    doc = F.when(F.col("line") == first, F.coalesce(second, first)).otherwise(first)
-    return rows.withColumn("doc", doc).drop("low")
+    # the set of the other lines: a line's own hash is taken out again
+    others = {c: F.when(F.length("line") == 0, F.col(c)).otherwise(F.col(c).bitwiseXOR(h(F.col("line")))) for c, h in LINE_HASHES.items()}
+    return rows.withColumns(others)
+
+
+def _xor_distinct(h: Callable[[Column], Column]) -> Column:
+    """A hash of the set of lines: the same in any order, and however often a line is repeated."""
+    return F.aggregate(F.array_distinct(F.transform("lines", lambda x: h(x["line"]))), F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(x))
 
 
 def frequent_lines(lines: DataFrame, max_docs: int, max_share: float) -> DataFrame:
     """(host, line, n_docs) of the lines above both limits."""
-    counts = lines.select("host", "line", "doc").distinct().groupBy("host", "line").agg(F.count(F.lit(1)).alias("n_docs"))
+    counts = lines.select("host", "line", *LINE_HASHES).distinct().groupBy("host", "line").agg(F.count(F.lit(1)).alias("n_docs"))
     counts = counts.where((F.col("n_docs") > max_docs) | (F.length("line") == 0))
     counts = settled(counts)
     hosts = counts.where(F.length("line") == 0).select(F.col("host").alias("h"), F.col("n_docs").alias("host_docs"))

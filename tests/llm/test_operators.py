@@ -68,6 +68,23 @@ def test_quality_rules(spark, sample):
     assert quality_rules(docs_of(spark, []).limit(0)).count() == 0
 
 
+def test_quality_rules_count_documents_by_all_their_other_lines(spark):
+    """Different documents that share boilerplate count one by one for each shared line; exact copies count once."""
+    low = min((f"menu entry {' '.join(words_of(i, 3))}" for i in range(3000)), key=lambda x: hashlib.md5(x.encode()).digest())
+    shared = "a second line that the same pages hold as well"
+    rows = [(i, f"{low}\n{shared}\n{' '.join(words_of(i, 60))}", "en", "h") for i in range(60)]
+    rows += [(100 + i, f"{shared}\n{low}\n{' '.join(words_of(7000, 60))}\n{low}", "en", "copies") for i in range(60)]
+    sets = [{*t.split("\n")} for _, t, _, _ in rows]
+    seen = {}
+    for (_, _, _, host), lines in zip(rows, sets, strict=True):
+        for x in lines:
+            seen.setdefault((host, x), set()).add(frozenset(lines - {x}))
+    assert len(seen["h", shared]) == len(seen["h", low]) == 60 and len(seen["copies", shared]) == 1
+    want = [(i, sum(len(x.split()) for x in t.split("\n") if len(seen[host, x]) > 50)) for i, t, _, host in rows]
+    got = quality_rules(docs_of(spark, rows), out="kept")
+    assert by_row(got, "doc_id", "kept.n_removed_words") == sorted(want, key=repr)
+
+
 def test_license_scan(spark, sample):
     texts = [
         "SPDX-License-Identifier: Apache-2.0\nLicensed under the Apache License, Version 2.0.", "MIT License MIT License", "the mit license.",
