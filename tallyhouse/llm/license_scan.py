@@ -7,7 +7,8 @@ detections are resolved by priority and interval containment: a detection that l
 interval of another one with the same or a better priority is suppressed.
 
 The rules come from templates over licence families: each family states its names, versions and
-identifiers, each template one way to cite them (identifier line, notice, title, mention). They
+identifiers, each template one way to cite them (identifier line, notice, title, mention). Short names
+(GPL, Apache, MPL, BSD ...) also count without the noun in notices, with a version, and before "licensed". They
 are a bounded literal; nothing is joined or shuffled, so hot keys don't exist here, and the work
 is linear in the text. ``base`` rules are the plain phrases; they count every place, suppressed or
 not, and their labels always stay.
@@ -95,6 +96,19 @@ FAMILIES = {
     "cc0": (["creative commons zero", "cc0"], ["1 0"], ["cc0 1 0"], ""),
 }
 
+#: label: names that stand for the licence without the noun ("GPL v3", "Apache-2.0 licensed")
+SHORT_NAMES = {
+    "mit": ["mit(?: x11)?", "expat"], "apache": ["apache(?: software)?", "asf", "asl"], "gpl": ["(?:gnu )?gpl"], "lgpl": ["(?:gnu )?lgpl"],
+    "agpl": ["(?:gnu )?agpl"], "fdl": ["(?:gnu )?g?fdl"], "bsd": FAMILIES["bsd"][0], "mpl": ["mpl"], "epl": ["epl"], "eupl": ["eupl"], "cddl": ["cddl"], "cpl": ["cpl"],
+    "artistic": ["(?:perl )?artistic"], "isc": ["isc"], "zlib": ["zlib(?: libpng)?"], "busl": ["busl"], "sspl": ["sspl"], "wtfpl": ["wtfpl"], "python": ["psf"],
+    "ofl": ["(?:sil )?ofl"], "odbl": ["odbl"], "afl": ["afl"], "osl": ["osl"], "ms-pl": ["ms pl"], "apsl": ["apsl"], "upl": ["upl"], "ncsa": ["ncsa"], "cecill": ["cecill"],
+    "openrail": FAMILIES["openrail"][0], "llama": FAMILIES["llama"][0],
+}
+#: names of products: without the noun they are licences only where something is licensed under them
+PRODUCTS = {"php": "php", "ruby": "ruby", "elastic": "elastic", "postgresql": "postgresql", "openssl": "openssl"}
+UNDER = "under (?:the )?(?:terms (?:and conditions )?of )?(?:the )?"
+ANY_VERSION = "(?:(?: (?:version|v))? ?v?[0-9]+(?: [0-9]+)?)?"
+
 #: rules that belong to no family: (label, keyword, regex, priority, confidence)
 SINGLE_RULES = [
     ("mit", "free of charge", "permission is hereby granted free of charge to any person obtaining a copy", 1, 0.95),
@@ -148,6 +162,14 @@ def build_rules() -> list[Rule]:
                 add(label, "version", *gate, f"{name}{noun}{version}", 2, 0.85)
             add(label, "notice", *gate, f"(?:licensed|released|distributed|available|published) under (?:the )?(?:terms of )?(?:the )?{name}{noun}", 2, 0.9)
             add(label, "title", *gate, f"{name}{noun}", 3, 0.6)
+    # the noun is left out: gated by the name itself, as "licen" needn't stand in the text
+    shorts = [(label, name, FAMILIES[label][1], "(?:licensed|released|distributed|available|published)") for label, names in SHORT_NAMES.items() for name in names]
+    for label, name, versions, verb in [*shorts, *[(label, name, [], "licensed") for label, name in PRODUCTS.items()]]:
+        word = literal_part(name)
+        add(label, "short notice", word, "under", f"{verb} {UNDER}{name}{ANY_VERSION}", 2, 0.9)
+        add(label, "licensed", "licen", word, f"{name}{ANY_VERSION} licen[cs]ed", 2, 0.85)
+        for v in versions:
+            add(label, "short version", word, v, f"{name}(?: (?:version|v))? ?v?{v}(?! [0-9])", 3, 0.6)
     for label, keyword, regex, priority, confidence in SINGLE_RULES:
         add(label, "text", keyword, keyword, f"(?:{regex})", priority, confidence)
     for phrase, label in BASE_PHRASES.items():
