@@ -45,7 +45,8 @@ class WordTokenizer:
     The tokenizer never joins across white space, so a text is cut there. A new word of Latin
     letters is cut further as the tokenizer's own pattern does, and its unknown parts are encoded
     many at a time: the last id of every part is one that ends a word, which separates them. Any
-    other word is encoded by itself.
+    other word is encoded by itself, and so is one that holds a special string such as
+    ``<|endoftext|>``: it gets its own id there, as the tokenizer gives it by default.
     """
 
     def __init__(self, path: str):
@@ -54,7 +55,7 @@ class WordTokenizer:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker per core already
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         vocab = self.tok.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
         self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
@@ -79,9 +80,9 @@ class WordTokenizer:
                 self.parts.update(zip(some, self.encode(some), strict=True))
 
     def learn_words(self, words: list[str]) -> None:
-        plain = [w for w in words if max(w) < LATIN_END]
+        plain = [w for w in words if max(w) < LATIN_END and not any(s in w for s in self.special)]
         if len(plain) < len(words):
-            other = [w for w in words if max(w) >= LATIN_END]
+            other = list(set(words).difference(plain))
             self.words.update(zip(other, self.encode(other), strict=True))
         cut = [self.parts_of(unicodedata.normalize("NFC", w).lower()) for w in plain]
         new = list(set().union(*cut) - self.parts.keys()) if cut else []
