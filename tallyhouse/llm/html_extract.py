@@ -14,6 +14,12 @@ numbers.
 Scale: two passes over the pages in Arrow batches; the first shuffles only partial counts of
 token kinds. No group of pages ever meets, so no host can be hot.
 
+Inside an ``article`` or ``main`` element a class or id is a cut only if it names page furniture and
+nothing else (FURNITURE, not on headings); any other context word (discussion, related, search, alert
+...) gives a lower weight, and the scan decides. Excluded there: elements of CONTEXT_TAGS and
+CONTEXT_ROLES, hidden elements, furniture, and the text of RAW elements (svg, noscript, select, iframe
+...; of math only its annotations). ``<svg/>`` and ``<math/>`` are empty.
+
 Defined cases: null and empty html and pages without a positive region give an empty text;
 unclosed tags, comments and scripts end with the page; repeated rows get equal results; extra
 columns stay.
@@ -37,7 +43,8 @@ BLOCKS = frozenset(
     " header hgroup hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead title tr ul".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea svg math iframe object select canvas audio video".split())
+RAW = frozenset("script style noscript template textarea svg annotation annotation-xml iframe select canvas audio video".split())
+EMPTY_IF_CLOSED = frozenset("svg math".split())  # "<svg/>" has no end tag; elsewhere HTML ignores the "/"
 HEAD = frozenset("head title".split())
 INLINE = frozenset("a abbr b bdi bdo big br cite code del dfn em font i img ins kbd mark q s samp small span strike strong sub sup time tt u var wbr".split())
 CONTEXT_TAGS = {"nav": "menu", "menu": "menu", "aside": "sidebar", "form": "form", "button": "form", "footer": "footer", "dialog": "notice", "head": "header"}
@@ -56,8 +63,16 @@ CONTEXT_WORDS = {
     "comment": "comment comments reply replies discussion disqus respond commentlist",
 }
 WORD_CONTEXT = {w: c for c, ws in CONTEXT_WORDS.items() for w in ws.split()}
+#: words that name nothing but page furniture; the others can also name a part of an article
+FURNITURE = frozenset(
+    "nav navbar topnav breadcrumb breadcrumbs pagination pager masthead topbar siteheader colophon sidebar widget widgets"
+    " ad ads adv advert adverts advertisement adsense gdpr popup newsletter signup searchbox comments commentlist disqus".split()
+)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 CONTENT = "content"
-CONTEXTS = [CONTENT, *dict.fromkeys([*CONTEXT_TAGS.values(), *CONTEXT_ROLES.values(), *CONTEXT_WORDS])]
+MAYBE = "maybe"  # inside the main element under an ambiguous word: a lower weight, not a cut
+TEXT_CONTEXTS = (CONTENT, MAYBE)
+CONTEXTS = [CONTENT, MAYBE, *dict.fromkeys([*CONTEXT_TAGS.values(), *CONTEXT_ROLES.values(), *CONTEXT_WORDS])]
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -78,6 +93,7 @@ def context_of(name: str, attrs: str, inside_main: bool) -> str | None:
         return CONTEXT_TAGS[name]
     if not attrs or name in ("html", "body", "article", "main"):
         return None
+    found = None
     for m in ATTR.finditer(attrs):
         key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
         if key == "role" and value in CONTEXT_ROLES:
@@ -85,10 +101,12 @@ def context_of(name: str, attrs: str, inside_main: bool) -> str | None:
         if key in ("class", "id"):
             for w in SPLIT.split(re.sub(r"(?<=[a-z])([A-Z])", r"-\1", m[2] or m[3] or m[4] or "").lower()):
                 if w in WORD_CONTEXT:
-                    return WORD_CONTEXT[w]
+                    if not inside_main or w in FURNITURE and name not in HEADINGS:
+                        return WORD_CONTEXT[w]
+                    found = MAYBE
         elif key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and HIDDEN.search(value):
             return "notice"
-    return None
+    return found
 
 
 def tokens(page: str):
@@ -118,6 +136,8 @@ def tokens(page: str):
             if name in BLOCKS:
                 yield "break", "", context, main
             continue
+        if name in EMPTY_IF_CLOSED and attrs.rstrip().endswith("/"):
+            continue
         if name in RAW:
             end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
             at = end.end() if end else n
@@ -129,8 +149,8 @@ def tokens(page: str):
             context, main = CONTENT, False
         if name not in VOID and name not in INLINE and name not in ("p", "html") and not attrs.rstrip().endswith("/"):
             main = main or name in ("article", "main")
-            if context == CONTENT:
-                context = ("header" if name in HEAD else None) or context_of(name, attrs, main) or CONTENT
+            if context in TEXT_CONTEXTS:
+                context = ("header" if name in HEAD else None) or context_of(name, attrs, main) or context
             stack.append((name, context, main))
         elif context == CONTENT and name in ("span", "a", "p") and attrs and context_of(name, attrs, main):
             pass  # inline hints don't open a container
@@ -149,6 +169,8 @@ def kind_of(kind: str, value: str, context: str) -> str:
 
 def prior(feature: str) -> float:
     kind, context = feature.split(" ")[:2]
+    if context == MAYBE:
+        return 0.3 if kind == "word" else -0.3
     if kind == "word":
         return 1.0 if context == CONTENT else -1.0
     return -0.05 if context == CONTENT else -1.0
@@ -183,6 +205,8 @@ def learn_weights(pages: DataFrame, html: str) -> dict[str, float]:
 def weigh(feature: str, inside: int, outside: int) -> float:
     """Words of content stay positive and small costs keep its tags from splitting it; all else is log odds."""
     kind, context = feature.split(" ")[:2]
+    if context == MAYBE:
+        return prior(feature)  # stands inside the main element only: there are no odds to learn
     odds = math.log((inside + 1) / (outside + 1))
     if kind == "word":
         return max(0.5, min(odds, 2.0)) if context == CONTENT else min(-0.5, max(odds, -3.0))
@@ -210,7 +234,7 @@ def extract(page: str | None, weights: dict[str, float]) -> str:
     scores = []
     for kind, value, context, main in own:
         # what the main element itself holds of other contexts is cut out below, it must not split the region
-        if kind == "break" or main and context != CONTENT:
+        if kind == "break" or main and context not in TEXT_CONTEXTS:
             scores.append(0.0)
             continue
         f = kind_of(kind, value, context)
@@ -223,7 +247,7 @@ def extract(page: str | None, weights: dict[str, float]) -> str:
             if text := " ".join(entities.unescape("".join(part)).split()):
                 blocks.append(text)
             part = []
-        elif kind == "text" and context == CONTENT:
+        elif kind == "text" and context in TEXT_CONTEXTS:
             part.append(value)
     return "\n".join(blocks)
 
