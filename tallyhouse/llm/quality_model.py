@@ -148,7 +148,9 @@ def score_quality(
     """``docs`` with a struct ``out``: held_out, score, predicted. Labels of the held-out fold are not learned."""
     known = labels.select(F.col(f"`{label_id}`").alias("_th_id"), F.col(f"`{label}`").cast("double").alias("_th_y"))
     known = known.where(F.col("_th_id").isNotNull() & F.col("_th_y").isNotNull() & (fold("_th_id", folds) != held_out))
-    known = known.groupBy("_th_id").agg(F.max("_th_y").alias("_th_y")).orderBy(F.xxhash64("_th_id"), "_th_id").limit(max_train_rows)
+    # labels of other documents must not use up the sample
+    known = known.groupBy("_th_id").agg(F.max("_th_y").alias("_th_y")).join(docs.select(F.col(f"`{id_col}`").alias("_th_id")), "_th_id", "left_semi")
+    known = known.orderBy(F.xxhash64("_th_id"), "_th_id").limit(max_train_rows)
     sample = docs.select(F.col(f"`{id_col}`").alias("_th_id"), F.col(f"`{text}`").alias("_th_text"))
     sample = sample.join(F.broadcast(known), "_th_id")  # at most max_train_rows rows
     sample = with_statistics(sample, "_th_text").select("_th_id", "_th_y", "_th_f").dropDuplicates(["_th_id"])
