@@ -56,7 +56,7 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = round_trip(table(spark, sf_dir, "pages"))
     return rows.select(
         F.col("metadata.page_id").alias("page_id"),
-        F.col("metadata.payload_length").alias("payload_bytes"),
+        "payload_bytes",
         F.col("response.digest").alias("payload_digest"),
         F.col("response.kind").alias("record_type"),
         "refers_to",

@@ -182,12 +182,16 @@ def assemble(records: DataFrame) -> DataFrame:
 
 
 def captures(spark: SparkSession, path: str, with_body: bool = True) -> DataFrame:
-    """Assembled captures with ``refers_to``: the page id of the response that a revisit stands for."""
+    """Assembled captures with ``refers_to``, the page id of the response that a revisit stands for, and
+    ``payload_bytes``, the length of the payload read back (for a revisit, that of its response)."""
     rows = assemble(read_warc(spark, path, with_body))
-    found = rows.where(F.col("response.kind") == "response").groupBy(F.col("response.digest").alias("d")).agg(F.max("metadata.page_id").alias("holder"))
+    found = rows.where(F.col("response.kind") == "response").groupBy(F.col("response.digest").alias("d")).agg(
+        F.max("metadata.page_id").alias("holder"), F.max("response.payload_length").alias("held")
+    )
     revisits = rows.where(F.col("response.kind") == "revisit").join(found, F.col("response.digest") == F.col("d"), "left")
-    revisits = revisits.select(*rows.columns, F.col("holder").alias("refers_to"))
-    return revisits.unionByName(rows.where(F.col("response.kind") == "response").withColumn("refers_to", F.lit(None).cast("long")))
+    revisits = revisits.select(*rows.columns, F.col("holder").alias("refers_to"), F.col("held").alias("payload_bytes"))
+    responses = rows.where(F.col("response.kind") == "response").withColumn("refers_to", F.lit(None).cast("long"))
+    return revisits.unionByName(responses.withColumn("payload_bytes", F.col("response.payload_length")))
 
 
 def round_trip(pages: DataFrame, **columns) -> DataFrame:
