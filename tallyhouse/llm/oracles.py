@@ -81,4 +81,43 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(words.k, 0) AS B
 FROM d LEFT JOIN words USING (rid) LEFT JOIN items USING (rid)
 """
 
-ORACLE_SQL = {"op1_quality_rules": OP1, "op4_url_filter": OP4, "op6_warc": OP6, "op10_decontamination": OP10}
+# the CRC takes the bits of a text from the lowest of each byte on; polynomial 0xEDB88320 = 3988292384
+OP11 = rf"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, run, count(*) AS k
+  FROM (SELECT doc_id, unnest(regexp_extract_all({LOWER.format("text")}, '[a-zÀ-ÿ]{{7,}}')) AS run FROM documents) GROUP BY ALL),
+bytes AS (SELECT *, hex(encode(doc_id || ':' || run)) AS x FROM runs),
+crc AS (
+  SELECT run, k, xor(list_reduce(list_prepend(4294967295, list_transform(range(0, 4 * length(x)),
+    lambda i: (CAST('0x' || substr(x, 2 * (i // 8) + 1, 2) AS BIGINT) >> (i % 8)) & 1)), lambda c, b: xor(c >> 1, 3988292384 * (xor(c, b) & 1))), 4294967295) AS h
+  FROM bytes),
+cut AS (
+  SELECT k, CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM crc),
+v AS (SELECT word, CAST(sum(k) AS BIGINT) AS n FROM cut WHERE length(word) >= 7 GROUP BY word HAVING sum(k) >= 2),
+del AS (SELECT word, n, p, substr(word, 1, p - 1) || substr(word, p + 1) AS rest FROM (SELECT *, unnest(range(1, length(word) + 1)) AS p FROM v)),
+pairs AS (
+  SELECT v.word AS a, d.word AS b FROM v JOIN del d ON v.word = d.rest
+  UNION SELECT d.word, v.word FROM v JOIN del d ON v.word = d.rest
+  UNION SELECT c.word, d.word FROM del c JOIN del d ON c.rest = d.rest AND c.p = d.p AND c.word <> d.word),
+near AS (SELECT a AS word, count(*) AS n_near, max(n) AS top FROM pairs JOIN v ON v.word = b GROUP BY a),
+forms AS (
+  SELECT v.word, min(b) AS form, min(top) AS form_n FROM v JOIN near USING (word) JOIN pairs ON a = v.word JOIN v w ON w.word = b AND w.n = top
+  WHERE top >= 10 * v.n GROUP BY v.word),
+chain AS (SELECT word, form AS root FROM forms UNION ALL SELECT chain.word, forms.form FROM chain JOIN forms ON forms.word = chain.root),
+ends AS (SELECT word, root FROM chain WHERE root NOT IN (SELECT word FROM forms))
+SELECT v.word, form, coalesce(root, v.word) AS root, v.n, coalesce(n_near, 0) AS n_near, form_n
+FROM v LEFT JOIN near USING (word) LEFT JOIN forms USING (word) LEFT JOIN ends USING (word)
+"""
+
+OP12 = """
+WITH e AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, e.vec_id, CAST(list_sum(list_transform(list_zip(q.v, e.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM e AS q JOIN e ON q.vec_id % 20 = 0 AND e.vec_id <> q.vec_id)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM s QUALIFY rank <= 20
+"""
+
+ORACLE_SQL = {"op1_quality_rules": OP1, "op4_url_filter": OP4, "op6_warc": OP6, "op10_decontamination": OP10, "op11_spelling": OP11, "op12_top_k": OP12}

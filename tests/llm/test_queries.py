@@ -30,7 +30,7 @@ def test_query_matches_sql(spark, name):
 
 def test_all_are_registered():
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 11)] and "pipeline" in entry.queries()
+    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 14)] and "pipeline" in entry.queries()
 
 
 def test_pipeline_stages_do_what_their_operators_say(spark):
