@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 import oracle_sql as _oracle
 from tallyhouse.functions.exprs import discount_price
 from tallyhouse.operators import cumulative as cum
-from tallyhouse.operators import explore, normalize, quality, scd2
+from tallyhouse.operators import explore, late, normalize, quality, scd2
 from tallyhouse.plans import faults, ingest, questions, runs
 from tallyhouse.plans.warehouse import REJECTED
 from tallyhouse.schemas import CUSTOMER_ADDRESS, SALES_DETAILS, conform
@@ -33,10 +33,11 @@ from tallyhouse.session import ensure_checkpoint_dir, scratch_path
 from tallyhouse.sources import csv as csv_source
 from tallyhouse.sources import tables as store
 from tallyhouse.sources import tpch
-from tallyhouse.streaming import sales_stream
+from tallyhouse.streaming import cumulative_upkeep, sales_stream
 
 AS_OF = _dt.date.fromisoformat(_oracle.AS_OF)
 SALES_DAY = _dt.date.fromisoformat(_oracle.SALES_DAY)
+FEED_DAY = _dt.date.fromisoformat(_oracle.FEED_DAY)
 DIM_DATE_CUTOFF = _dt.date.fromisoformat(_oracle.DIM_DATE_CUTOFF)
 SALES_DETAIL_COLS = [f.name for f in SALES_DETAILS.fields if f.name != "sales_id"]
 BUCKETS = 8
@@ -406,6 +407,44 @@ def q_customer_transitions(spark, sf):
     return cum.transition_analysis(_stored(_wh(spark, sf), "cum_customer_sales"))
 
 
+def q_cum_customer_revenue_late(spark, sf):
+    """C9 for late data: the table filled without the late sales, then the touched years found and refreshed."""
+    sd = _wh(spark, sf).table("sales_details")
+    path = scratch_path(spark, "cum_customer_revenue_late")
+    late.fill(spark, sd.where(~runs.is_late(_oracle.LATE_YEAR)), cum.CUSTOMER_REVENUE, path)
+    found = late.refresh_late(spark, sd, cum.CUSTOMER_REVENUE, path)
+    refreshed = F.col("current_year") >= found.start if found.periods else F.lit(False)
+    return found.table.withColumn("refreshed", refreshed)
+
+
+def q_cum_customer_sales_late(spark, sf):
+    """C5 for late data: the late years' structs spliced into the stored arrays, every element with its position."""
+    wh = _wh(spark, sf)
+    sd, customer = wh.table("sales_details"), wh.table("customer")
+    path = scratch_path(spark, "cum_customer_sales_late")
+    late.fill_customer_sales(spark, sd.where(~runs.is_late(_oracle.LATE_YEAR)), customer, path)
+    table = late.refresh_customer_sales(spark, sd, customer, path).table
+    return table.select(
+        "customer_id", "customer_no", "current_year", F.posexplode("sales_stats").alias("pos", "s")
+    ).select("customer_id", "customer_no", "current_year", "pos", "s.*")
+
+
+def q_cum_customer_revenue_streamed(spark, sf):
+    """A late feed streamed in three batches, each added to its year and all later stored ones."""
+    wh = _wh(spark, sf)
+    root = scratch_path(spark, "upkeep_stream")
+    csv_source.write_csv(runs.sales_submissions(spark, sf, wh).repartition(3), f"{root}/incoming")
+    targets = sales_stream.SalesStreamTargets(
+        sales_path=f"{root}/sales", rejected_path=f"{root}/rejected", dim_date_path=f"{root}/dim_date", checkpoint_path=f"{root}/_checkpoint"
+    )
+    store.write_table(wh.table("dim_date"), targets.dim_date_path)
+    table = cumulative_upkeep.UpkeptTable(cum.CUSTOMER_REVENUE, f"{root}/cum_customer_revenue")
+    table.create(cum.backfill(wh.table("sales_details"), cum.CUSTOMER_REVENUE))
+    refs = runs.reference_tables(wh)
+    cumulative_upkeep.start_upkeep_stream(spark, f"{root}/incoming", refs, targets, FEED_DAY, [table]).awaitTermination()
+    return table.read(spark)
+
+
 # -- ingestion ------------------------------------------------------------------------------------
 def _ingest(spark, sf):
     wh = _wh(spark, sf)
@@ -546,6 +585,9 @@ def queries() -> dict[str, Query]:
             "cum_customer_product_engage_chain": _chain("cum_customer_product_engage"),
             "cum_customer_sales_chain": q_cum_customer_sales_chain,
             "cum_customer_revenue_stored": q_cum_customer_revenue_stored,
+            "cum_customer_revenue_late": q_cum_customer_revenue_late,
+            "cum_customer_sales_late": q_cum_customer_sales_late,
+            "cum_customer_revenue_streamed": q_cum_customer_revenue_streamed,
         }
     )
     q.update(_text_queries()[0])

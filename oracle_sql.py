@@ -17,6 +17,8 @@ SCD2_STEP_DAYS = 30  # days between address change batches
 SALES_DAY = "1998-08-02"  # E6
 LOOKUP_CATEGORY = "PROMO"  # C8
 DIM_DATE_CUTOFF = "2000-01-01"  # I3: dim_date loaded with dates before this
+LATE_YEAR = 1997  # late sales have invoice dates from this year on
+FEED_DAY = "1997-05-05"  # load date of the late stream feed
 MOVE_MULTIPLIERS = (7919, 104729, 7927, 104723)  # seed, the two moves of one batch, the late move
 ADDRESS_MULTIPLIERS = (7919, 104729, 7927, 7919)  # seed, then three change batches (last moves back)
 
@@ -557,4 +559,23 @@ SELECT check_name, CAST(violations AS BIGINT) AS violations FROM (
         "rpad(dayname(full_date), 9, ' ') AS day_name, FALSE AS is_holiday FROM new_d"
     )
     q["cum_customer_sales_chain"] = q["cum_customer_sales_exploded"]
+    # late data: the whole history, whatever came late; the refresh starts at the first year that late sales touch
+    late = f"(CAST(customer_id AS BIGINT) * 7 + quantity) % 13 = 0 AND year(invoice_date) >= {LATE_YEAR}"
+    q["cum_customer_revenue_late"] = (
+        f"SELECT *, current_year >= (SELECT min(y) FROM ({_with(f'SELECT year(invoice_date) AS y FROM sd WHERE {late}')})) AS refreshed "
+        f"FROM ({revenue})"
+    )
+    q["cum_customer_sales_late"] = q["cum_customer_sales_exploded"]
+    fed = ", fed AS (SELECT customer_id, invoice_date, amount FROM sd UNION ALL SELECT customer_id, invoice_date, amount FROM streamed)"
+    streamed = f", streamed AS ({accepted[len(sub):].replace(AS_OF, FEED_DAY)})"
+    q["cum_customer_revenue_streamed"] = _with(
+        sub + streamed + fed + """
+, agg AS (SELECT customer_id, CAST(year(invoice_date) AS INTEGER) AS y, SUM(amount) AS s FROM fed GROUP BY ALL),
+fst AS (SELECT customer_id, MIN(y) AS fy FROM agg GROUP BY ALL),
+sp AS (SELECT f.customer_id, CAST(g.y AS INTEGER) AS current_year FROM fst f, max_year m, LATERAL range(f.fy, m.y + 1) g(y))
+SELECT sp.customer_id, CAST(SUM(a.s) OVER (PARTITION BY sp.customer_id ORDER BY sp.current_year) AS DECIMAL(18,2)) AS cum_amount_spent,
+  sp.current_year
+FROM sp LEFT JOIN agg a ON a.customer_id = sp.customer_id AND a.y = sp.current_year
+"""
+    )
     return q

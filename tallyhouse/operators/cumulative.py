@@ -244,7 +244,7 @@ def first_period(sales_details: DataFrame, grain: str):
     return sales_details.agg(F.min(period_expr(grain)).alias("p")).first()["p"]
 
 
-def _expand(grain: str, start: Column, next_active: Column, end) -> Column:
+def expand_periods(grain: str, start: Column, next_active: Column, end) -> Column:
     """Periods from ``start`` until the period before ``next_active`` (or ``end``)."""
     if grain == "day":
         stop = F.coalesce(F.date_sub(next_active, 1), F.lit(end).cast("date"))
@@ -277,7 +277,7 @@ def backfill(
     )
     expanded = run.select(
         *spec.keys,
-        F.explode(_expand(spec.grain, F.col("_p"), F.col("_next"), end)).alias(spec.period_col),
+        F.explode(expand_periods(spec.grain, F.col("_p"), F.col("_next"), end)).alias(spec.period_col),
         *[out for out, _ in spec.measures],
     )
     if names is not None:
@@ -371,7 +371,7 @@ def refresh_from(
 
 
 # -- C5: yearly statistics as an array of structs ----------------------------------------------
-def _stats_struct(year: Column) -> Column:
+def stats_struct(year: Column) -> Column:
     return F.struct(
         year.cast("int").alias("sales_year"),
         F.sum("discount").cast("float").alias("total_discount"),
@@ -384,7 +384,7 @@ def _stats_struct(year: Column) -> Column:
 CUSTOMER_BROADCAST_ROWS = 1_000_000
 
 
-def _customer_numbers(df: DataFrame, customer: DataFrame) -> DataFrame:
+def with_customer_numbers(df: DataFrame, customer: DataFrame) -> DataFrame:
     # customer_id is the customer table's unique key, so the join cannot fan out
     numbers = bounded_broadcast(customer.select("customer_id", "customer_no"), CUSTOMER_BROADCAST_ROWS)
     return df.join(numbers, "customer_id", "left")
@@ -401,10 +401,10 @@ def customer_sales_step(sales_details: DataFrame, yesterday: DataFrame, customer
     today = (
         sales_of_period(sales_details, "year", year)
         .groupBy("customer_id")
-        .agg(_stats_struct(F.lit(year)).alias("_stats"))
+        .agg(stats_struct(F.lit(year)).alias("_stats"))
     )
     y = yesterday.select("customer_id", F.col("customer_no").alias("_y_no"), F.col("sales_stats").alias("_y_stats"))
-    j = _customer_numbers(today.join(y, "customer_id", "full"), customer)
+    j = with_customer_numbers(today.join(y, "customer_id", "full"), customer)
     stats = (
         F.when(F.col("_y_stats").isNull(), F.array(F.col("_stats")))
         .when(F.col("_stats").isNotNull(), F.concat(F.col("_y_stats"), F.array(F.col("_stats"))))
@@ -451,7 +451,7 @@ def backfill_customer_sales(sales_details: DataFrame, customer: DataFrame, end:
     """C9 for C5: per (customer, year) statistics, the running array over a window by customer."""
     end = end if end is not None else last_period(sales_details, "year")
     per = sales_details.where(up_to("year", end)).groupBy("customer_id", F.year("invoice_date").alias("_p")).agg(
-        _stats_struct(F.col("_p")).alias("_stats")
+        stats_struct(F.col("_p")).alias("_stats")
     )
     w = Window.partitionBy("customer_id").orderBy("_p")
     run = per.select(
@@ -463,9 +463,9 @@ def backfill_customer_sales(sales_details: DataFrame, customer: DataFrame, end:
     expanded = run.select(
         "customer_id",
         "sales_stats",
-        F.explode(_expand("year", F.col("_p").cast("int"), F.col("_next").cast("int"), end)).alias("current_year"),
+        F.explode(expand_periods("year", F.col("_p").cast("int"), F.col("_next").cast("int"), end)).alias("current_year"),
     )
-    return conform(_customer_numbers(expanded, customer), CUM_CUSTOMER_SALES)
+    return conform(with_customer_numbers(expanded, customer), CUM_CUSTOMER_SALES)
 
 
 def unnest_customer_sales(cum_customer_sales: DataFrame, year: int) -> DataFrame:

@@ -17,7 +17,7 @@ from tallyhouse.functions.exprs import discount_price
 from tallyhouse.operators.keys import dense_key, row_key
 from tallyhouse.operators.quality import REASON, first_failure, not_null_rules
 from tallyhouse.operators.star import date_attributes
-from tallyhouse.plans.joins import present_keys, within_rows
+from tallyhouse.plans.joins import not_in, present_keys, within_rows
 from tallyhouse.schemas import DIM_DATE, SALE_SUBMISSION, SALES_DETAILS, conform
 
 SUBMISSION_NOT_NULL = ("customer_id", "category_id", "quantity", "amount", "payment_method_id", "region_id")
@@ -95,15 +95,15 @@ def ingest_sales(
     return conform(row_key(accepted, "sales_id"), SALES_DETAILS), tagged.where(F.col(REASON).isNotNull())
 
 
+# days in dim_date; a calendar of a thousand years has fewer
+DATE_BROADCAST_ROWS = 1_000_000
+
+
 def missing_dates(sales_details: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Invoice dates ``NOT IN`` dim_date's dates, with SQL's NULL rule: if dim_date holds a NULL
     date nothing is missing. Both sides are de-duplicated dates, so the anti join is small."""
-    has_null = dim_date.where(F.col("full_date").isNull()).limit(1).count() > 0
     dates = sales_details.select(F.col("invoice_date").alias("full_date")).where(F.col("full_date").isNotNull()).distinct()
-    if has_null:
-        return dates.limit(0)
-    known = dim_date.select("full_date").distinct()
-    return dates.join(known, "full_date", "left_anti")
+    return not_in(dates, "full_date", dim_date, "full_date", DATE_BROADCAST_ROWS)
 
 
 def load_missing_dates(sales_details: DataFrame, dim_date: DataFrame) -> DataFrame:

@@ -46,3 +46,20 @@ def present_keys(keys: DataFrame, ref: DataFrame, key_col: str, max_rows: int, s
     if small if small is not None else within_rows(keys, max_rows):
         return ref_keys.join(F.broadcast(keys), key_col, "left_semi").distinct()
     return keys.join(ref_keys.distinct(), key_col, "left_semi")
+
+
+def not_in(left: DataFrame, col: str, known: DataFrame, known_col: str, max_rows: int) -> DataFrame:
+    """Rows of ``left`` with ``col NOT IN (SELECT known_col FROM known)``, with SQL's NULL rules.
+
+    A NULL among the known values excludes every row; a NULL in ``col`` is excluded unless nothing is known.
+    Up to ``max_rows`` known values (checked) this is Spark's null-aware anti join, a broadcast hash join.
+    That join always broadcasts the known side; beyond the bound the rule is spelled out instead: the
+    NULL and emptiness facts are two scalar aggregates, and the equality is a shuffled anti join.
+    """
+    values = known.select(F.col(known_col).alias("_known"))
+    if within_rows(values, max_rows):
+        return left.where(~F.col(col).isin(values))
+    facts = values.agg(F.count_if(F.col("_known").isNull()).alias("nulls"), F.count(F.lit(1)).alias("n"))
+    nulls, n = facts.select("nulls").scalar(), facts.select("n").scalar()
+    open_ = left.where((nulls == 0) & (F.col(col).isNotNull() | (n == 0)))
+    return open_.join(values.where(F.col("_known").isNotNull()).distinct(), F.col(col) == F.col("_known"), "left_anti")

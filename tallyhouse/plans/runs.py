@@ -135,3 +135,9 @@ def _derive_submissions(spark: SparkSession, sf_dir: str, wh: Warehouse) -> Data
 
 def reference_tables(wh: Warehouse) -> dict[str, DataFrame]:
     return {n: wh.table(n) for n in ("customer", "product_category", "payment_method", "region")}
+
+
+def is_late(first_year: int):
+    """Sales that a late feed brings: some of every year from ``first_year`` on, picked by the row's own values."""
+    picked = F.pmod(F.col("customer_id").cast("long") * 7 + F.col("quantity"), F.lit(13)) == 0
+    return picked & (F.year("invoice_date") >= first_year)

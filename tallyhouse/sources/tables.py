@@ -77,6 +77,19 @@ def prior_period(table: DataFrame, period_col: str, prior, target) -> DataFrame:
     return rows
 
 
+def drop_partitions(spark: SparkSession, path: str, partitions: list[tuple[tuple[str, object], ...]]) -> None:
+    """Remove partition folders, each given by its (column, value) pairs from the outermost on.
+
+    A partition that is to hold no rows can't be written as such: dynamic overwrite replaces only partitions
+    that have rows.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for pairs in partitions:
+        # dates, numbers and plain words only: nothing that a partition folder's name escapes
+        folder = jvm.org.apache.hadoop.fs.Path("/".join([path.rstrip("/"), *[f"{c}={v}" for c, v in pairs]]))
+        folder.getFileSystem(conf).delete(folder, True)
+
+
 def ensure_database(spark: SparkSession, name: str, location: str) -> str:
     """A catalog database whose tables live under ``location`` (qualified names ``db.table``)."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{location}'")

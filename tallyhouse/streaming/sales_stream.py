@@ -15,6 +15,7 @@ per batch does not grow with the stream's history.
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -82,12 +83,21 @@ def start_sales_stream(
     available_now: bool = True,
 ) -> StreamingQuery:
     """Start the stream over header CSV files of submissions in ``source_dir``."""
+    return start_batches(spark, source_dir, targets, lambda df, bid: process_batch(df, bid, refs, targets, as_of), files_per_batch, available_now)
+
+
+def start_batches(
+    spark: SparkSession,
+    source_dir: str,
+    targets: SalesStreamTargets,
+    work: Callable[[DataFrame, int], None],
+    files_per_batch: int = 1,
+    available_now: bool = True,
+) -> StreamingQuery:
+    """The file stream of submissions, with ``work`` done on every micro-batch."""
     reader = csv_source.with_options(spark.readStream, SALE_SUBMISSION)
     source = reader.option("maxFilesPerTrigger", files_per_batch).csv(source_dir)
-    writer = (
-        source.writeStream.foreachBatch(lambda df, bid: process_batch(df, bid, refs, targets, as_of))
-        .option("checkpointLocation", targets.checkpoint_path)
-    )
+    writer = source.writeStream.foreachBatch(work).option("checkpointLocation", targets.checkpoint_path)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
     return writer.start()
 
