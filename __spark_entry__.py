@@ -25,10 +25,11 @@ from pyspark.sql import functions as F
 import oracle_sql as _oracle
 from tallyhouse.functions.exprs import discount_price
 from tallyhouse.operators import cumulative as cum
-from tallyhouse.operators import explore, late, normalize, quality, scd2
+from tallyhouse.operators import explore, late, normalize, quality, scd2, upsert
 from tallyhouse.plans import faults, ingest, questions, runs
 from tallyhouse.plans.warehouse import REJECTED
-from tallyhouse.schemas import CUSTOMER_ADDRESS, SALES_DETAILS, conform
+from tallyhouse.plans.joins import not_in
+from tallyhouse.schemas import CUSTOMER_ADDRESS, SALE_KEYED, SALE_YEAR, SALES_DETAILS, conform
 from tallyhouse.session import ensure_checkpoint_dir, scratch_path
 from tallyhouse.sources import csv as csv_source
 from tallyhouse.sources import tables as store
@@ -150,6 +151,43 @@ def q_customer_address_moves(spark, sf):
     return conform(history, CUSTOMER_ADDRESS)
 
 
+def q_customer_address_moves_stored(spark, sf):
+    """N8 on the bucketed table: the batches of ``customer_address_moves``, each rewriting its own buckets."""
+    wh = runs.with_addresses(spark, sf)
+    customer = wh.table("customer")
+    n = runs.address_count(wh)
+    seed, first, second, late_move = _oracle.MOVE_MULTIPLIERS
+    day = [AS_OF + _dt.timedelta(days=k * _oracle.SCD2_STEP_DAYS) for k in range(4)]
+    stored = scd2.StoredHistory(scratch_path(spark, "customer_address"), BUCKETS)
+    stored.create(scd2.seed_customer_address(customer, n, AS_OF, seed))
+    two = runs.address_changes(customer, n, first, day[1]).unionByName(runs.address_changes(customer, n, second, day[3]))
+    between = runs.address_changes(customer.where(F.col("customer_id") % 2 == 0), n, late_move, day[2])
+    for batch in (two, between, two):
+        stored.apply(batch, customer)
+    return stored.read(spark)
+
+
+def q_sales_upsert(spark, sf):
+    """Staged sales as a table keyed by transaction id; then a batch of changes, applied twice."""
+    rs = _wh(spark, sf).table("retail_sales")
+    year = F.substring("timestamp", 1, 4).cast("int").alias(SALE_YEAR)
+    staged = rs.select(*SALE_KEYED.names[:-1], year)
+    path, t = scratch_path(spark, "sales_keyed"), F.col("transaction_id")
+    upsert.upsert(spark, path, staged, ["transaction_id"], SALE_YEAR, SALE_KEYED, SALE_KEYED.names[1:-1])
+    table = store.read_table(spark, path, SALE_KEYED)
+    later = F.concat((F.col(SALE_YEAR) + 1).cast("string"), F.substring("timestamp", 5, 100))
+    changed = table.where((t % 11 == 0) | (t % 55 == 5)).select(
+        "transaction_id", F.when(t % 22 == 0, later).otherwise(F.col("timestamp")).alias("timestamp"), "customer_id",
+        F.when(t % 11 == 0, F.col("quantity") + 1).otherwise(F.col("quantity")).alias("quantity"), "total_amount",
+        F.when(t % 22 == 0, F.col(SALE_YEAR) + 1).otherwise(F.col(SALE_YEAR)).alias(SALE_YEAR), (t % 55 == 5).alias("deleted"),
+    )
+    added = table.where(t % 33 == 0).withColumns({"transaction_id": -t, "deleted": F.lit(False)})
+    batch = late.settled(changed.unionByName(added))
+    for _ in range(2):
+        upsert.upsert(spark, path, batch, ["transaction_id"], SALE_YEAR, SALE_KEYED)
+    return store.read_table(spark, path, SALE_KEYED)
+
+
 # -- exploration -------------------------------------------------------------------------------
 def _distinct(col):
     return lambda spark, sf: explore.profile_distinct(_wh(spark, sf).table("retail_sales"), col)
@@ -261,6 +299,20 @@ def q_avg_quarterly_revenue(spark, sf):
     )
 
 
+def q_avg_quarterly_revenue_of_year(spark, sf):
+    """B1 for one year: one partition of the fact is read."""
+    wh = _wh(spark, sf)
+    days = wh.table("dim_date").where(F.col("year") == _oracle.QUESTION_YEAR)
+    return questions.avg_quarterly_revenue(wh.table("fact_sales"), wh.table("dim_region"), wh.table("dim_product_category"), days)
+
+
+def q_avg_quarterly_revenue_between(spark, sf):
+    """B1 for a range of days: the years that hold them are found in dim_date at run time."""
+    wh = _wh(spark, sf)
+    days = questions.of_dates(wh.table("dim_date"), *[_dt.date.fromisoformat(d) for d in _oracle.QUESTION_DAYS])
+    return questions.avg_quarterly_revenue(wh.table("fact_sales"), wh.table("dim_region"), wh.table("dim_product_category"), days)
+
+
 def q_avg_of_quarter_totals(spark, sf):
     wh = _wh(spark, sf)
     return questions.avg_of_quarter_totals(
@@ -472,6 +524,20 @@ def q_load_missing_dates(spark, sf):
     return ingest.load_missing_dates(wh.table("sales_details"), old)
 
 
+def q_dates_not_in(spark, sf):
+    """Invoice dates (and a NULL) NOT IN a date dimension that is partly loaded, holds a NULL, or is empty."""
+    wh = _wh(spark, sf)
+    dates = wh.table("sales_details").select(F.col("invoice_date").alias("full_date")).distinct()
+    dates = dates.unionByName(spark.createDataFrame([(None,)], "full_date date"))
+    old = wh.table("dim_date").select("full_date").where(F.col("full_date") < F.lit(DIM_DATE_CUTOFF))
+    known = {"part": old, "null": old.unionByName(spark.createDataFrame([(None,)], "full_date date")), "none": old.where(F.lit(False))}
+    out = None
+    for name, days in known.items():
+        found = not_in(dates, "full_date", days, "full_date", ingest.DATE_BROADCAST_ROWS).select(F.lit(name).alias("known"), "full_date")
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
 def _streamed(spark, sf):
     """I4: submissions written as three files and consumed by the stream, one file per batch."""
     wh = _wh(spark, sf)
@@ -555,7 +621,7 @@ def queries() -> dict[str, Query]:
             "dim_product_category": _table("dim_product_category"),
             "dim_region": _table("dim_region"),
             "dim_payment_method": _table("dim_payment_method"),
-            "fact_sales": _table("fact_sales", drop=("sale_key",)),
+            "fact_sales": _table("fact_sales", drop=("sale_key", SALE_YEAR)),
             "avg_quarterly_revenue": q_avg_quarterly_revenue,
             "avg_of_quarter_totals": q_avg_of_quarter_totals,
             "payment_mix_by_region": q_payment_mix_by_region,
@@ -581,6 +647,11 @@ def queries() -> dict[str, Query]:
             "stream_ingest": q_stream_ingest,
             "stream_sales_ids": q_stream_sales_ids,
             "customer_address_moves": q_customer_address_moves,
+            "customer_address_moves_stored": q_customer_address_moves_stored,
+            "sales_upsert": q_sales_upsert,
+            "dates_not_in": q_dates_not_in,
+            "avg_quarterly_revenue_of_year": q_avg_quarterly_revenue_of_year,
+            "avg_quarterly_revenue_between": q_avg_quarterly_revenue_between,
             "cum_region_product_sales_chain": _chain("cum_region_product_sales"),
             "cum_customer_product_engage_chain": _chain("cum_customer_product_engage"),
             "cum_customer_sales_chain": q_cum_customer_sales_chain,

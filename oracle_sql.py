@@ -18,6 +18,8 @@ SALES_DAY = "1998-08-02"  # E6
 LOOKUP_CATEGORY = "PROMO"  # C8
 DIM_DATE_CUTOFF = "2000-01-01"  # I3: dim_date loaded with dates before this
 LATE_YEAR = 1997  # late sales have invoice dates from this year on
+QUESTION_YEAR = 1997  # B1 for one year
+QUESTION_DAYS = ("1996-11-05", "1997-02-10")  # B1 for a range of days
 FEED_DAY = "1997-05-05"  # load date of the late stream feed
 MOVE_MULTIPLIERS = (7919, 104729, 7927, 104723)  # seed, the two moves of one batch, the late move
 ADDRESS_MULTIPLIERS = (7919, 104729, 7927, 7919)  # seed, then three change batches (last moves back)
@@ -559,6 +561,36 @@ SELECT check_name, CAST(violations AS BIGINT) AS violations FROM (
         "rpad(dayname(full_date), 9, ' ') AS day_name, FALSE AS is_holiday FROM new_d"
     )
     q["cum_customer_sales_chain"] = q["cum_customer_sales_exploded"]
+    # J9 with its NULL rules: dates not in a date dimension that is partly loaded, holds a NULL, or is empty
+    q["dates_not_in"] = _with(
+        f", l AS (SELECT DISTINCT invoice_date AS d FROM sd UNION ALL SELECT NULL), old AS (SELECT full_date FROM dd WHERE full_date < DATE '{DIM_DATE_CUTOFF}') "
+        "SELECT 'part' AS known, d AS full_date FROM l WHERE d NOT IN (SELECT full_date FROM old) "
+        "UNION ALL SELECT 'null', d FROM l WHERE d NOT IN (SELECT full_date FROM old UNION ALL SELECT NULL) "
+        "UNION ALL SELECT 'none', d FROM l WHERE d NOT IN (SELECT full_date FROM old WHERE FALSE)"
+    )
+    # W6 by year: questions that read a part of the fact
+    b1 = q["avg_quarterly_revenue"]
+    q["avg_quarterly_revenue_of_year"] = b1.replace(" GROUP BY d.year", f" WHERE d.year = {QUESTION_YEAR} GROUP BY d.year")
+    first, last = QUESTION_DAYS
+    q["avg_quarterly_revenue_between"] = b1.replace(
+        " GROUP BY d.year", f" WHERE d.full_date BETWEEN DATE '{first}' AND DATE '{last}' GROUP BY d.year"
+    )
+    q["customer_address_moves_stored"] = q["customer_address_moves"]
+    # keyed upsert: the last row per key, then a batch of changes, moves to another year, inserts and deletions
+    q["sales_upsert"] = _with(
+        """
+, base AS (
+  SELECT transaction_id, "timestamp", customer_id, quantity, total_amount FROM rs WHERE transaction_id IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY transaction_id ORDER BY "timestamp" DESC NULLS LAST, customer_id DESC NULLS LAST,
+    quantity DESC NULLS LAST, total_amount DESC NULLS LAST) = 1),
+moved AS (
+  SELECT transaction_id, CASE WHEN transaction_id % 22 = 0 THEN CAST(CAST(substr("timestamp", 1, 4) AS INTEGER) + 1 AS VARCHAR) || substr("timestamp", 5)
+    ELSE "timestamp" END AS "timestamp", customer_id, CASE WHEN transaction_id % 11 = 0 THEN quantity + 1 ELSE quantity END AS quantity, total_amount
+  FROM base WHERE transaction_id % 55 <> 5
+  UNION ALL SELECT -transaction_id, "timestamp", customer_id, quantity, total_amount FROM base WHERE transaction_id % 33 = 0)
+SELECT *, CAST(substr("timestamp", 1, 4) AS INTEGER) AS sale_year FROM moved
+"""
+    )
     # late data: the whole history, whatever came late; the refresh starts at the first year that late sales touch
     late = f"(CAST(customer_id AS BIGINT) * 7 + quantity) % 13 = 0 AND year(invoice_date) >= {LATE_YEAR}"
     q["cum_customer_revenue_late"] = (

@@ -5,19 +5,27 @@ inclusive, the open row has ``end_date`` NULL, and a new version starts the day
 ends, so versions of a customer never overlap or leave gaps.
 
 Applying a batch of changes rebuilds the versions of the customers in the batch only; all other
-history passes through untouched.
+history passes through untouched. :class:`StoredHistory` keeps it partitioned by customer bucket, and reads and
+rewrites only the buckets of a batch.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tallyhouse.operators.quality import REASON
 from tallyhouse.plans.joins import present_keys, within_rows
 from tallyhouse.schemas import CUSTOMER_ADDRESS, conform
+from tallyhouse.session import ensure_checkpoint_dir
+from tallyhouse.sources import tables as store
+
+BUCKET = "customer_bucket"
+_STORED = StructType([*CUSTOMER_ADDRESS.fields, StructField(BUCKET, IntegerType())])
 
 # A batch of up to this many (de-duplicated) changes is broadcast: the dimension is not shuffled.
 CHANGE_BROADCAST_ROWS = 1_000_000
@@ -99,6 +107,46 @@ def apply_scd2(history: DataFrame, changes: DataFrame, customer: DataFrame | Non
     return conform(untouched, CUSTOMER_ADDRESS).unionByName(conform(rebuilt, CUSTOMER_ADDRESS)), rejected
 
 
+@dataclass(frozen=True)
+class StoredHistory:
+    """N8's history as a table partitioned by customer bucket; a batch rewrites only the buckets of its customers.
+
+    All versions of a customer are in one bucket, so late moves need no other partition. With
+    buckets of about a scan split each, the cost of a batch follows the buckets it touches, at most its number
+    of customers, not the history.
+    """
+
+    path: str
+    buckets: int
+
+    def bucket(self, customer_id: str = "customer_id") -> Column:
+        return F.pmod(F.xxhash64(F.col(customer_id)), F.lit(self.buckets)).cast("int")
+
+    def create(self, history: DataFrame) -> None:
+        """Store a seeded history (N7): brought together by bucket first, so a bucket is one file."""
+        rows = conform(history, CUSTOMER_ADDRESS).withColumn(BUCKET, self.bucket())
+        store.write_table(rows.repartition(BUCKET), self.path, (BUCKET,))
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        return conform(store.read_table(spark, self.path, _STORED), CUSTOMER_ADDRESS)
+
+    def apply(self, changes: DataFrame, customer: DataFrame | None = None) -> DataFrame:
+        """N8 on the stored table; returns the rejected changes. Applying a batch again changes nothing.
+
+        The rebuilt buckets are settled before the partitions that they were read from are replaced.
+        """
+        spark = changes.sparkSession
+        ensure_checkpoint_dir(spark)
+        touched = [r[0] for r in changes.select(self.bucket().alias(BUCKET)).distinct().collect()]  # ``buckets`` at most
+        if not touched:
+            return changes.limit(0).withColumn(REASON, F.lit(None).cast("string"))
+        held = store.read_table(spark, self.path, _STORED).where(F.col(BUCKET).isin(touched))
+        history, rejected = apply_scd2(conform(held, CUSTOMER_ADDRESS), changes, customer)
+        rows = history.withColumn(BUCKET, self.bucket()).repartition(BUCKET).checkpoint(eager=True)
+        store.write_period(rows, self.path, BUCKET)
+        return rejected
+
+
 def scd2_violations(history: DataFrame) -> DataFrame:
     """Customers with other than exactly one current row, or with overlapping / gapped versions."""
     w = Window.partitionBy("customer_id").orderBy("start_date")

@@ -15,6 +15,7 @@ from tallyhouse.schemas import (
     DIM_PRODUCT_CATEGORY,
     DIM_REGION,
     FACT_SALES,
+    SALE_YEAR,
     SALES_DETAILS,
     TOTAL,
     conform,
@@ -116,6 +117,7 @@ def build_fact_sales(
     dim_region: DataFrame,
     dim_payment_method: DataFrame,
     customer_dim_covers_sales: bool = False,
+    by_year: bool = False,
 ) -> DataFrame:
     """Sales joined (inner) to the five dimensions; one fact row per sales_details row.
 
@@ -126,6 +128,9 @@ def build_fact_sales(
     ``customer_dim_covers_sales``: the caller asserts ``dim_customer`` was built (W2) from this
     very ``sales_details``, whose customer_id is NOT NULL. The inner join then cannot drop a row,
     so it is left out, and the fact build never shuffles the sales.
+
+    ``by_year`` adds ``sale_year``, the year of the sale's date, to partition the stored fact by: questions that
+    also join it with the date dimension's year then read only the years that their dates are in.
     """
     dd = bounded_broadcast(dim_date.select("date_key", "full_date"), DATE_DIM_BROADCAST_ROWS)
     dc = bounded_broadcast(dim_product_category.select("category_key"), SMALL_DIM_BROADCAST_ROWS)
@@ -150,5 +155,7 @@ def build_fact_sales(
         s["discount"].alias("sale_discount"),
         F.col("region_key"),
         F.col("payment_method_key"),
+        F.year(s["invoice_date"]).cast("int").alias(SALE_YEAR),
     )
-    return conform(row_key(fact, "sale_key"), FACT_SALES)
+    keyed = row_key(fact, "sale_key")
+    return keyed.select(*FACT_SALES.names, SALE_YEAR) if by_year else conform(keyed, FACT_SALES)

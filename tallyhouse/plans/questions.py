@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tallyhouse.functions.exprs import exact_avg, exact_ratio, is_christmas
 from tallyhouse.operators.star import DATE_DIM_BROADCAST_ROWS, SMALL_DIM_BROADCAST_ROWS
 from tallyhouse.plans.joins import bounded_broadcast
-from tallyhouse.schemas import TOTAL
+from tallyhouse.schemas import SALE_YEAR, TOTAL
 
 # Fixed values ------------------------------------------------------------------------------
 # payment method ids tested literally by the Christmas view, in column order (the ids follow
@@ -39,8 +39,10 @@ def _fact_with(fact: DataFrame, dim_region=None, dim_product_category=None, dim_
     if dim_payment_method is not None:
         out = out.join(bounded_broadcast(dim_payment_method, SMALL_DIM_BROADCAST_ROWS), "payment_method_key")
     if dim_date is not None:
-        dd = dim_date.select("date_key", "year", "quarter", "quarter_name")
-        out = out.join(bounded_broadcast(dd, DATE_DIM_BROADCAST_ROWS), "date_key")
+        dd, on = dim_date.select("date_key", "year", "quarter", "quarter_name"), ["date_key"]
+        if SALE_YEAR in fact.columns:  # a fact partitioned by year: dates known to be few leave its other years unread
+            dd, on = dd.withColumn(SALE_YEAR, F.col("year")), [*on, SALE_YEAR]
+        out = out.join(bounded_broadcast(dd, DATE_DIM_BROADCAST_ROWS), on)
     return out
 
 
@@ -58,6 +60,11 @@ def avg_quarterly_revenue(
     )
 
 
+def of_dates(dim_date: DataFrame, first: _dt.date, last: _dt.date) -> DataFrame:
+    """The days of a question asked for ``first`` to ``last``: the filter reaches the fact through its year partitions."""
+    return dim_date.where(F.col("full_date").between(F.lit(first), F.lit(last)))
+
+
 def avg_of_quarter_totals(
     fact_sales: DataFrame, dim_region: DataFrame, dim_product_category: DataFrame, dim_date: DataFrame
 ) -> DataFrame:

@@ -183,6 +183,16 @@ FACT_SALES = _s(
 # Arguments of the validated insert, in the procedure's parameter order.
 SALE_YEAR = "sale_year"  # partition column of the bucketed sales layout
 
+# staged sales kept one row per transaction, partitioned by the year of their timestamp
+SALE_KEYED = _s(
+    ("transaction_id", LongType(), True),
+    ("timestamp", StringType(), True),
+    ("customer_id", LongType(), True),
+    ("quantity", IntegerType(), True),
+    ("total_amount", MONEY, True),
+    (SALE_YEAR, IntegerType(), True),
+)
+
 SALE_SUBMISSION = _s(
     ("customer_id", IntegerType(), True),
     ("category_id", IntegerType(), True),

@@ -86,7 +86,7 @@ def drop_partitions(spark: SparkSession, path: str, partitions: list[tuple[tuple
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     for pairs in partitions:
         # dates, numbers and plain words only: nothing that a partition folder's name escapes
-        folder = jvm.org.apache.hadoop.fs.Path("/".join([path.rstrip("/"), *[f"{c}={v}" for c, v in pairs]]))
+        folder = jvm.org.apache.hadoop.fs.Path("/".join([path.rstrip("/"), *[f"{c}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for c, v in pairs]]))
         folder.getFileSystem(conf).delete(folder, True)
 
 
