@@ -23,13 +23,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import oracle_sql as _oracle
-from tallyhouse.functions.exprs import discount_price
+from tallyhouse.functions.exprs import discount_price, with_canonical_text
 from tallyhouse.operators import cumulative as cum
-from tallyhouse.operators import explore, late, normalize, quality, scd2, upsert
-from tallyhouse.plans import faults, ingest, questions, runs
+from tallyhouse.operators import explore, late, normalize, quality, scd2, segments, upsert
+from tallyhouse.plans import atomic_ingest, faults, ingest, questions, runs
 from tallyhouse.plans.warehouse import REJECTED
 from tallyhouse.plans.joins import not_in
-from tallyhouse.schemas import CUSTOMER_ADDRESS, SALE_KEYED, SALE_YEAR, SALES_DETAILS, conform
+from tallyhouse.schemas import CUSTOMER_ADDRESS, FAKE_CUSTOMER_ADDRESS, FAKE_CUSTOMER_NAMES, RETAIL_SALES, SALE_KEYED, SALE_YEAR, SALES_DETAILS, conform
 from tallyhouse.session import ensure_checkpoint_dir, scratch_path
 from tallyhouse.sources import csv as csv_source
 from tallyhouse.sources import tables as store
@@ -80,6 +80,30 @@ def q_customer_address_csv(spark, sf):
     return normalize.parse_addresses(good)
 
 
+def _quarantine(spark, feed, schema, header):
+    """The rejected lines of a feed, with the file set they came from and the reason."""
+    path = scratch_path(spark, "faulty_feed")
+    csv_source.write_lines(feed, path, header, "feed")
+    bad = csv_source.load_checked(spark, path, schema)[1]
+    folder = F.regexp_extract(csv_source.SOURCE_FILE, "feed=([0-9]+)", 1).cast("int")
+    return bad.select(folder.alias("feed"), csv_source.RAW_LINE, quality.REASON)
+
+
+def q_sales_csv_quarantine(spark, sf):
+    """Lines of a sales feed with faults."""
+    return _quarantine(spark, faults.faulty_sales_feed(_wh(spark, sf).table("retail_sales")), RETAIL_SALES, "sale")
+
+
+def q_customer_names_csv_quarantine(spark, sf):
+    """Lines of a names feed with faults."""
+    return _quarantine(spark, faults.faulty_names_feed(tpch.customer_names(spark, sf)), FAKE_CUSTOMER_NAMES, "name")
+
+
+def q_customer_address_csv_quarantine(spark, sf):
+    """S3: lines of an address feed with faults."""
+    return _quarantine(spark, faults.faulty_addresses_feed(tpch.customer_addresses(spark, sf)), FAKE_CUSTOMER_ADDRESS, "customer_address")
+
+
 def _lookup(name):
     return lambda spark, sf: _wh(spark, sf).table(name)
 
@@ -432,13 +456,14 @@ def _customer_sales(spark, sf):
 
 
 def q_cum_customer_sales(spark, sf):
-    return _customer_sales(spark, sf)
+    """C5, the arrays as canonical text (position, field, value)."""
+    return with_canonical_text(_customer_sales(spark, sf), "sales_stats")
 
 
 def q_cum_customer_sales_unnested(spark, sf):
-    """C6 on the stored table: only the last year's partition is read."""
+    """C6 on the stored table: only the last year's partition is read; the structs as canonical text."""
     wh = _wh(spark, sf)
-    return cum.unnest_customer_sales(_stored(wh, "cum_customer_sales"), _years(wh)[-1])
+    return with_canonical_text(cum.unnest_customer_sales(_stored(wh, "cum_customer_sales"), _years(wh)[-1]), "sales_stats")
 
 
 def q_cum_customer_sales_exploded(spark, sf):
@@ -459,6 +484,34 @@ def q_customer_transitions(spark, sf):
     return cum.transition_analysis(_stored(_wh(spark, sf), "cum_customer_sales"))
 
 
+def _transitions(spec):
+    """C10 on a stored table without arrays: every key and year."""
+    return lambda spark, sf: cum.transition_states(_stored(_wh(spark, sf), spec.name), spec)
+
+
+def q_customer_revenue_transitions(spark, sf):
+    """C10 for the last year: its stored partition against the two before it."""
+    wh = _wh(spark, sf)
+    return cum.transition_states_of(_stored(wh, "cum_customer_revenue"), cum.CUSTOMER_REVENUE, _years(wh)[-1])
+
+
+def q_region_category_trend(spark, sf):
+    """Market trend by region and category, from the stored table."""
+    wh = _wh(spark, sf)
+    return cum.trend(_stored(wh, "cum_region_product_sales"), cum.REGION_PRODUCT_SALES, _names(wh))
+
+
+def q_customer_category_trend(spark, sf):
+    """Trend by customer and category, from the stored table."""
+    return cum.trend(_stored(_wh(spark, sf), "cum_customer_product_engage"), cum.CUSTOMER_PRODUCT_ENGAGE)
+
+
+def q_customer_segments(spark, sf):
+    """Recency, frequency and value bands from the last stored year of C5 and C4."""
+    wh = _wh(spark, sf)
+    return segments.customer_segments(_stored(wh, "cum_customer_sales"), _stored(wh, "cum_customer_revenue"), _years(wh)[-1])
+
+
 def q_cum_customer_revenue_late(spark, sf):
     """C9 for late data: the table filled without the late sales, then the touched years found and refreshed."""
     sd = _wh(spark, sf).table("sales_details")
@@ -517,6 +570,21 @@ def q_ingest_rejected_reasons(spark, sf):
     return ingest.ingest_sales(_faulty_submissions(spark, sf, wh), runs.reference_tables(wh), AS_OF)[1]
 
 
+def q_ingest_all_or_nothing(spark, sf):
+    """I2 and I3 as one transaction: three batches, one of them with bad rows; the committed sales and their dates."""
+    wh = _wh(spark, sf)
+    subs, refs = runs.sales_submissions(spark, sf, wh), runs.reference_tables(wh)
+    target, dim_date = atomic_ingest.Target(scratch_path(spark, "all_or_nothing")), wh.table("dim_date")
+    for n in range(3):
+        batch = subs.where(F.col("customer_id") % 3 == n)
+        if n != 1:  # a feed that holds good rows only
+            batch = batch.where(F.col("amount") == discount_price("unit_price", "discount"))
+        target.ingest(batch, refs, dim_date, n, AS_OF + _dt.timedelta(days=n))
+    dates = target.dates(spark).select(F.col("full_date").alias("invoice_date"), F.lit(True).alias("has_date"))
+    found = target.sales(spark).join(F.broadcast(dates), "invoice_date", "left")  # a date a batch
+    return found.select(*SALES_DETAIL_COLS, atomic_ingest.BATCH, F.coalesce("has_date", F.lit(False)).alias("has_date"))
+
+
 def q_load_missing_dates(spark, sf):
     """dim_date as loaded before the cutoff date; the sales then bring the later dates."""
     wh = _wh(spark, sf)
@@ -656,6 +724,16 @@ def queries() -> dict[str, Query]:
             "cum_customer_product_engage_chain": _chain("cum_customer_product_engage"),
             "cum_customer_sales_chain": q_cum_customer_sales_chain,
             "cum_customer_revenue_stored": q_cum_customer_revenue_stored,
+            "region_category_transitions": _transitions(cum.REGION_PRODUCT_SALES),
+            "customer_category_transitions": _transitions(cum.CUSTOMER_PRODUCT_ENGAGE),
+            "customer_revenue_transitions": q_customer_revenue_transitions,
+            "region_category_trend": q_region_category_trend,
+            "customer_category_trend": q_customer_category_trend,
+            "customer_segments": q_customer_segments,
+            "sales_csv_quarantine": q_sales_csv_quarantine,
+            "customer_names_csv_quarantine": q_customer_names_csv_quarantine,
+            "customer_address_csv_quarantine": q_customer_address_csv_quarantine,
+            "ingest_all_or_nothing": q_ingest_all_or_nothing,
             "cum_customer_revenue_late": q_cum_customer_revenue_late,
             "cum_customer_sales_late": q_cum_customer_sales_late,
             "cum_customer_revenue_streamed": q_cum_customer_revenue_streamed,
@@ -666,8 +744,6 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    """DuckDB SQL per query. ``cum_customer_sales`` and ``cum_customer_sales_unnested`` return
-    nested values (an array of structs / a struct) and have no entry; their values are compared in
-    full through ``cum_customer_sales_flat``."""
+    """DuckDB SQL per query."""
     sql = {**_oracle.queries(), **_text_queries()[1]}
     return {k: v for k, v in sql.items() if k in queries()}

@@ -230,6 +230,55 @@ SELECT {name_cols} FROM run {names_join} {where}
 """
 
 
+def _transitions(keys: list[str], where: str = "") -> str:
+    """States of every key from its first year to the last one, from the years that it has sales in."""
+    k = ", ".join(keys)
+    on = lambda a, y: " AND ".join(f"{a}.{x} = sp.{x}" for x in keys) + f" AND {a}.y = {y}"
+    return f"""
+, act AS (SELECT DISTINCT {k}, CAST(year(invoice_date) AS INTEGER) AS y FROM sd),
+fst AS (SELECT {k}, MIN(y) AS fy FROM act GROUP BY ALL),
+sp AS (SELECT {k}, fy, CAST(g.y AS INTEGER) AS current_year FROM fst f, max_year m, LATERAL range(f.fy, m.y + 1) g(y))
+SELECT {', '.join('sp.' + x for x in keys)}, current_year,
+  CASE WHEN current_year = fy THEN 'New' WHEN a.y IS NOT NULL AND p.y IS NOT NULL THEN 'Retained' WHEN a.y IS NOT NULL THEN 'Resurrected'
+    WHEN p.y IS NOT NULL THEN 'Churned' ELSE 'Stale' END AS transition_state
+FROM sp LEFT JOIN act a ON {on("a", "current_year")} LEFT JOIN act p ON {on("p", "current_year - 1")} {where}
+"""
+
+
+def _trend(keys: list[str], measures: dict[str, tuple[str, str]], names_join: str, name_cols: str) -> str:
+    """``measures``: output -> (column, type). Gains per year from the sales, zero in a year without; growth in percent."""
+    k = ", ".join(keys)
+    w = f"(PARTITION BY {', '.join('sp.' + x for x in keys)} ORDER BY current_year)"
+    sums = ", ".join(f"CAST(SUM({src}) AS {t}) AS {out}" for out, (src, t) in measures.items())
+    gains = ", ".join(f"CAST(coalesce(a.{out}, 0) AS {t}) AS {out}" for out, (_, t) in measures.items())
+    lags = ", ".join(f"lag(coalesce(a.{out}, 0)) OVER {w} AS {out}_p" for out in measures)
+    cents = {out: 100 if t.startswith("DECIMAL") else 1 for out, (_, t) in measures.items()}
+    growth = ", ".join(
+        f"{out} AS {out}_gain, CASE WHEN {out}_p > 0 THEN CAST((CASE WHEN {out} < {out}_p THEN -1 ELSE 1 END * "
+        f"((2 * 10000 * abs(CAST(({out} - {out}_p) * {c} AS HUGEINT)) + CAST({out}_p * {c} AS HUGEINT)) // (2 * CAST({out}_p * {c} AS HUGEINT)))) "
+        f"AS DECIMAL(38,0)) * 0.01 END::DECIMAL(20,2) AS {out}_growth"
+        for out, c in cents.items()
+    )
+    on = " AND ".join(f"a.{x} = sp.{x}" for x in keys)
+    return f"""
+, agg AS (SELECT {k}, CAST(year(invoice_date) AS INTEGER) AS y, {sums} FROM sd GROUP BY ALL),
+fst AS (SELECT {k}, MIN(y) AS fy FROM agg GROUP BY ALL),
+sp AS (SELECT {k}, CAST(g.y AS INTEGER) AS current_year FROM fst f, max_year m, LATERAL range(f.fy, m.y + 1) g(y)),
+gain AS (SELECT {', '.join('sp.' + x for x in keys)}, current_year, {gains}, {lags} FROM sp LEFT JOIN agg a ON {on} AND a.y = current_year)
+SELECT {name_cols}, current_year, {growth} FROM gain {names_join}
+"""
+
+
+def _lines(source: str, plain: str, case: str, faults: dict[int, tuple[str, list[str]]]) -> str:
+    """Rejected lines: per faulty case its lines (one text split at line breaks) with their reason; feed = case % 3."""
+    parts = " UNION ALL ".join(
+        f"SELECT CAST(({case}) % 3 AS INTEGER) AS feed, unnest(string_split({text}, chr(10))) AS raw_line, '{reason}' AS reject_reason "
+        f"FROM {source} WHERE ({case}) % 97 = {n}"
+        for n, (text, reason) in faults.items()
+    )
+    return parts
+
+
 def queries() -> dict[str, str]:
     q: dict[str, str] = {}
     q["retail_sales"] = _with(
@@ -561,6 +610,77 @@ SELECT check_name, CAST(violations AS BIGINT) AS violations FROM (
         "rpad(dayname(full_date), 9, ' ') AS day_name, FALSE AS is_holiday FROM new_d"
     )
     q["cum_customer_sales_chain"] = q["cum_customer_sales_exploded"]
+    # nested outputs in full, as canonical text
+    struct_text = (
+        "'{sales_year=' || s.y || ',total_discount=' || CAST(floor(CAST(CAST(s.disc AS FLOAT) AS DOUBLE) * 1000000 + 0.5) AS BIGINT) "
+        "|| 'u,total_amount_spent=' || CAST(floor(CAST(CAST(s.amt AS FLOAT) AS DOUBLE) * 1000000 + 0.5) AS BIGINT) || 'u,total_qty_purchased=' || s.qty || '}'"
+    )
+    q["cum_customer_sales"] = _with(
+        ", st AS (SELECT sp.customer_id, sp.current_year, s.y, " + struct_text + " AS t, "
+        "row_number() OVER (PARTITION BY sp.customer_id, sp.current_year ORDER BY s.y) - 1 AS pos "
+        "FROM cy_spine sp JOIN cy_stats s ON s.customer_id = sp.customer_id AND s.y <= sp.current_year) "
+        "SELECT st.customer_id, c.customer_no, '[' || string_agg(pos || ':' || t, ',' ORDER BY pos) || ']' AS sales_stats, current_year "
+        "FROM st JOIN cust_lk c ON c.customer_id = st.customer_id GROUP BY st.customer_id, c.customer_no, current_year"
+    )
+    q["cum_customer_sales_unnested"] = _with(
+        f"SELECT s.customer_id, c.customer_no, {struct_text} AS sales_stats FROM cy_stats s JOIN cust_lk c ON s.customer_id = c.customer_id"
+    )
+    # C10 from running totals, trends, segments
+    q["region_category_transitions"] = _with(_transitions(["region_id", "category_id"]))
+    q["customer_category_transitions"] = _with(_transitions(["customer_id", "category_id"]))
+    q["customer_revenue_transitions"] = _with(_transitions(["customer_id"], "WHERE current_year = (SELECT y FROM max_year)"))
+    q["region_category_trend"] = _with(
+        _trend(
+            ["region_id", "category_id"], {"cumulative_sales": ("amount", "DECIMAL(18,2)")},
+            "LEFT JOIN rg_lk r ON gain.region_id = r.region_id LEFT JOIN pc_lk pc ON gain.category_id = pc.category_id",
+            "gain.region_id, r.region_name AS region, gain.category_id, pc.category AS product_category",
+        )
+    )
+    q["customer_category_trend"] = _with(
+        _trend(
+            ["customer_id", "category_id"],
+            {"cum_purchase_count": ("quantity", "BIGINT"), "cumulative_sales": ("amount", "DECIMAL(18,2)")},
+            "", "customer_id, category_id",
+        )
+    )
+    q["customer_segments"] = _with(
+        """
+, pr AS (
+  SELECT customer_id, CAST(max(year(invoice_date)) AS INTEGER) AS last_year, CAST(count(DISTINCT year(invoice_date)) AS INTEGER) AS active_years,
+    CAST(sum(quantity) AS BIGINT) AS quantity, CAST(sum(amount) AS DECIMAL(18,2)) AS cum_amount_spent FROM sd GROUP BY customer_id),
+b AS (
+  SELECT *, CAST(ntile(5) OVER (ORDER BY last_year, customer_id) AS INTEGER) AS recency_band,
+    CAST(ntile(5) OVER (ORDER BY quantity, customer_id) AS INTEGER) AS frequency_band,
+    CAST(ntile(5) OVER (ORDER BY cum_amount_spent, customer_id) AS INTEGER) AS value_band FROM pr),
+m AS (SELECT *, (frequency_band + value_band) / 2.0 AS x FROM b)
+SELECT * EXCLUDE (x), CASE WHEN recency_band = 5 AND x >= 4 THEN 'Champions' WHEN recency_band >= 4 AND x >= 3 THEN 'Loyal'
+  WHEN recency_band <= 2 AND x >= 3 THEN 'At Risk' WHEN recency_band >= 4 THEN 'Recent' WHEN recency_band <= 2 AND x < 3 THEN 'Lost'
+  ELSE 'Regular' END AS segment FROM m
+"""
+    )
+    # rejected lines of faulty feeds
+    cols = ["transaction_id", "timestamp", "customer_id", "product_id", "product_category", "quantity", "price", "discount",
+            "payment_method", "customer_age", "customer_gender", "customer_location", "total_amount"]
+
+    def line(names=tuple(cols), **changed) -> str:
+        return "concat_ws(',', " + ", ".join(changed.get(c, f"coalesce(CAST(\"{c}\" AS VARCHAR), '')") for c in names) + ")"
+
+    q["sales_csv_quarantine"] = _with(_lines("rs", line(), "transaction_id", {
+        0: (line(cols[:-1]), "columns:12"),
+        1: (line() + " || ',one more'", "columns:14"),
+        2: (line(quantity="'many'"), "bad_value:quantity"),
+        3: (line(price="'n/a'"), "bad_value:price"),
+        4: (line(product_category="'\"' || product_category || chr(10) || 'broken\"'"), "open_quote"),
+        5: (line(total_amount="'99999999999.99'"), "bad_value:total_amount"),
+    }))
+    number = "CAST(regexp_extract({}, '([0-9]+){}', 1) AS BIGINT)"
+    q["customer_names_csv_quarantine"] = _lines("customer", "c_name", number.format("c_name", "$"), {
+        0: ("c_name || ', Jr'", "columns:2"), 1: ("'\"' || c_name || chr(10) || 'Jr\"'", "open_quote"),
+    })
+    q["customer_address_csv_quarantine"] = _with(_lines("raw_addr", "customer_address", number.format("customer_address", ""), {
+        0: ("customer_address", "columns:2"),
+        1: ("'\"' || replace(customer_address, '\\n', chr(10)) || '\"'", "open_quote"),
+    }))
     # J9 with its NULL rules: dates not in a date dimension that is partly loaded, holds a NULL, or is empty
     q["dates_not_in"] = _with(
         f", l AS (SELECT DISTINCT invoice_date AS d FROM sd UNION ALL SELECT NULL), old AS (SELECT full_date FROM dd WHERE full_date < DATE '{DIM_DATE_CUTOFF}') "
@@ -591,6 +711,12 @@ moved AS (
 SELECT *, CAST(substr("timestamp", 1, 4) AS INTEGER) AS sale_year FROM moved
 """
     )
+    # I2 all or nothing: batches 0 and 2 hold good rows only; batch 1 has bad ones and is rolled back
+    good = accepted[accepted.index("SELECT customer_id, category_id, unit_price, quantity, discount, amount, payment_method_id, DATE"):]
+    q["ingest_all_or_nothing"] = _with(
+        sub + f", ok AS ({good}) SELECT * REPLACE (CAST(invoice_date + CAST(customer_id % 3 AS INTEGER) AS DATE) AS invoice_date), "
+        "CAST(customer_id % 3 AS BIGINT) AS batch_id, TRUE AS has_date FROM ok WHERE customer_id % 3 <> 1"
+    )
     # late data: the whole history, whatever came late; the refresh starts at the first year that late sales touch
     late = f"(CAST(customer_id AS BIGINT) * 7 + quantity) % 13 = 0 AND year(invoice_date) >= {LATE_YEAR}"
     q["cum_customer_revenue_late"] = (

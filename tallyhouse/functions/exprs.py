@@ -7,8 +7,9 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, DoubleType, FloatType, StringType, StructType
 
 from tallyhouse.schemas import MONEY
 
@@ -41,6 +42,8 @@ __all__ = [
     "exact_ratio",
     "exact_avg",
     "as_date",
+    "canonical_text",
+    "with_canonical_text",
 ]
 
 
@@ -166,3 +169,34 @@ def exact_avg(c, scale: int, value_scale: int = 2, precision: int = 18) -> Colum
 def as_date(text) -> Column:
     """``text::DATE`` for feed data: a malformed value gives NULL (then quarantined) instead of failing."""
     return _col(text).try_cast("date")
+
+
+# -- nested values as text --------------------------------------------------------------------------
+MICRO = 1_000_000
+
+
+def canonical_text(value: Column, dtype: DataType) -> Column:
+    """A value of any type as text that two engines write alike, for comparing arrays and structs in full.
+
+    ``[0:a,1:b]`` for arrays (position and element), ``{x=1,y=2}`` for structs, ``null``; strings are quoted, with
+    quotes and backslashes escaped; REAL and DOUBLE are whole millionths (``120000u``), rounded half up, as engines
+    print floating point numbers differently.
+    """
+    if isinstance(dtype, ArrayType):
+        items = F.transform(value, lambda x, i: F.concat(i.cast("string"), F.lit(":"), canonical_text(x, dtype.elementType)))
+        text = F.concat(F.lit("["), F.array_join(items, ","), F.lit("]"))
+    elif isinstance(dtype, StructType):
+        fields = [F.concat(F.lit(f"{f.name}="), canonical_text(value[f.name], f.dataType)) for f in dtype.fields]
+        text = F.when(value.isNotNull(), F.concat(F.lit("{"), F.concat_ws(",", *fields), F.lit("}")))
+    elif isinstance(dtype, (FloatType, DoubleType)):
+        text = F.concat(F.floor(value.cast("double") * MICRO + F.lit(0.5)).cast("string"), F.lit("u"))
+    elif isinstance(dtype, StringType):
+        text = F.concat(F.lit('"'), F.regexp_replace(value, r'(["\\])', r"\\$1"), F.lit('"'))
+    else:
+        text = value.cast("string")
+    return F.coalesce(text, F.lit("null"))
+
+
+def with_canonical_text(df: DataFrame, *cols: str) -> DataFrame:
+    """``df`` with the given columns as :func:`canonical_text`."""
+    return df.withColumns({c: canonical_text(F.col(c), df.schema[c].dataType) for c in cols})

@@ -24,9 +24,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DecimalType, StructType
 
-from tallyhouse.functions.exprs import year_range
+from tallyhouse.functions.exprs import exact_ratio, year_range
 from tallyhouse.plans.joins import bounded_broadcast
 from tallyhouse.schemas import (
     CUM_CUSTOMER_PRODUCT_ENGAGE,
@@ -504,11 +504,71 @@ def transition_analysis(cum_customer_sales: DataFrame) -> DataFrame:
     first_year = F.get(stats, 0)["sales_year"]
     active = F.exists(stats, lambda s: s["sales_year"] == year)
     was_active = F.exists(stats, lambda s: s["sales_year"] == year - 1)
-    state = (
-        F.when(first_year == year, F.lit("New"))
+    state = _labels(first_year == year, active, was_active)
+    return cum_customer_sales.select("customer_id", "current_year", state.alias("transition_state"))
+
+
+def _labels(is_new: Column, active: Column, was_active: Column) -> Column:
+    return (
+        F.when(is_new, F.lit("New"))
         .when(active & was_active, F.lit("Retained"))
         .when(active, F.lit("Resurrected"))
         .when(was_active, F.lit("Churned"))
         .otherwise(F.lit("Stale"))
     )
-    return cum_customer_sales.select("customer_id", "current_year", state.alias("transition_state"))
+
+
+def transition_states(table: DataFrame, spec: CumulativeSpec) -> DataFrame:
+    """C10 for a table without arrays: every key and period labelled from the running totals alone.
+
+    A key is active in a period when its totals differ from the period before, or it has no row there. One window per key
+    over its periods; a table bucketed by its first key isn't shuffled for it.
+    """
+    totals = F.struct(*[F.col(out) for out, _ in spec.measures])
+    w = Window.partitionBy(*spec.keys).orderBy(spec.period_col)
+    t = table.select(*spec.keys, spec.period_col, totals.alias("_m"), F.lag(totals, 1).over(w).alias("_m1"), F.lag(totals, 2).over(w).alias("_m2"))
+    is_new, was_new = F.col("_m1").isNull(), F.col("_m2").isNull()
+    state = _labels(is_new, F.col("_m") != F.col("_m1"), was_new | (F.col("_m1") != F.col("_m2")))
+    return t.select(*spec.keys, spec.period_col, state.alias("transition_state"))
+
+
+def transition_states_of(table: DataFrame, spec: CumulativeSpec, period) -> DataFrame:
+    """C10 for one period: its stored partition set against the two before it, all other partitions unread.
+
+    Rows never leave a running total, so the period's partition holds every key: two left joins on the
+    keys, unique on all sides, without a shuffle where the table is bucketed by its first key.
+    """
+    before = previous_period(spec.grain, period)
+
+    def totals(p, name):
+        m = F.struct(*[F.col(out) for out, _ in spec.measures])
+        return table.where(F.col(spec.period_col) == _period_lit(spec.grain, p)).select(*spec.keys, m.alias(name))
+
+    j = totals(period, "_m").join(totals(before, "_m1"), list(spec.keys), "left")
+    j = j.join(totals(previous_period(spec.grain, before), "_m2"), list(spec.keys), "left")
+    state = _labels(F.col("_m1").isNull(), F.col("_m") != F.col("_m1"), F.col("_m2").isNull() | (F.col("_m1") != F.col("_m2")))
+    return j.select(*spec.keys, _period_lit(spec.grain, period).alias(spec.period_col), state.alias("transition_state"))
+
+
+# -- trends ------------------------------------------------------------------------------------
+def trend(table: DataFrame, spec: CumulativeSpec, names: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Market trend: what each key's measures gained in every period, and the change against the period before.
+
+    Read from the running totals of the stored periods, without the sales: a period's gain is the difference of two
+    neighbours. ``<measure>_growth`` is the change of the gain in percent of the gain before it (2 places, half away from
+    zero); NULL for a key's first period and after a period without gain.
+    """
+    w = Window.partitionBy(*spec.keys).orderBy(spec.period_col)
+    outs = [out for out, _ in spec.measures]
+    gains = table.select(
+        *spec.keys, spec.period_col, *[(F.col(o) - F.coalesce(F.lag(o).over(w), F.lit(0))).alias(o) for o in outs]
+    )
+    growth = []
+    for o in outs:
+        prior = F.lag(o).over(w)
+        scale = 2 if isinstance(spec.schema[o].dataType, DecimalType) else 0
+        share = exact_ratio((F.col(o) - prior) * 100, prior, 2, num_scale=scale, den_scale=scale, precision=20)
+        growth.append(F.when(prior > 0, share).alias(f"{o}_growth"))
+    types = {o: spec.schema[o].dataType for o in outs}
+    out = gains.select(*spec.keys, spec.period_col, *[F.col(o).cast(types[o]).alias(f"{o}_gain") for o in outs], *growth)
+    return names(out) if names is not None else out

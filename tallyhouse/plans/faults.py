@@ -56,3 +56,53 @@ def faulty_submissions(submissions: DataFrame) -> DataFrame:
     """Submitted sales with missing values, quantity 0 and keys that no table has."""
     mixed = F.col("customer_id").cast("long") * 31 + F.col("category_id") * 7 + F.col("quantity")
     return _with_faults(submissions, F.pmod(mixed, F.lit(FAULT_CYCLE)), SUBMISSION_FAULTS)
+
+
+# -- faulty feed files ------------------------------------------------------------------------------
+FEEDS = 3  # file sets that a feed is dealt over
+
+
+def _feed(lines: DataFrame, case: Column, faults: dict[int, Column], plain: Column) -> DataFrame:
+    """(line, feed): a text with a line break becomes two lines, as a file has it."""
+    text = plain
+    for number, changed in faults.items():
+        text = F.when(case % FAULT_CYCLE == number, changed).otherwise(text)
+    return lines.select(F.explode(F.split(text, "\n")).alias("line"), (case % FEEDS).alias("feed"))
+
+
+def _csv(cols: list[Column]) -> Column:
+    return F.concat_ws(",", *[F.coalesce(c.cast("string"), F.lit("")) for c in cols])
+
+
+def faulty_sales_feed(retail_sales: DataFrame) -> DataFrame:
+    """Lines with a column missing or too many, values of the wrong type or size, and a quoted line break."""
+    names = retail_sales.columns
+
+    def line(**changed) -> Column:
+        return _csv([changed.get(c, F.col(c)) for c in names])
+
+    faults = {
+        0: _csv([F.col(c) for c in names[:-1]]),
+        1: F.concat(line(), F.lit(",one more")),
+        2: line(quantity=F.lit("many")),
+        3: line(price=F.lit("n/a")),
+        4: line(product_category=F.concat(F.lit('"'), F.col("product_category"), F.lit('\nbroken"'))),
+        5: line(total_amount=F.lit("99999999999.99")),
+        6: line(product_category=F.concat(F.lit('"'), F.col("product_category"), F.lit(', quoted"'))),  # no fault
+    }
+    return _feed(retail_sales, F.col("transaction_id"), faults, line())
+
+
+def faulty_names_feed(names: DataFrame) -> DataFrame:
+    """Names with an unquoted comma, and with a quoted line break."""
+    n = F.col("customer_name")
+    case = F.regexp_extract(n, "([0-9]+)$", 1).cast("long")
+    return _feed(names, case, {0: F.concat(n, F.lit(", Jr")), 1: F.concat(F.lit('"'), n, F.lit('\nJr"')), 2: F.concat(F.lit('"'), n, F.lit(', Jr"'))}, n)
+
+
+def faulty_addresses_feed(addresses: DataFrame) -> DataFrame:
+    """S3: addresses that aren't quoted although they hold a comma, and with a line break in place of backslash-n."""
+    a = F.col("customer_address")
+    case = F.regexp_extract(a, "([0-9]+)", 1).cast("long")
+    quoted = F.concat(F.lit('"'), a, F.lit('"'))
+    return _feed(addresses, case, {0: a, 1: F.replace(quoted, F.lit("\\n"), F.lit("\n"))}, quoted)
