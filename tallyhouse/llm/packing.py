@@ -19,11 +19,14 @@ once each; an empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import os
+import string
 import unicodedata
 import zlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,8 +36,10 @@ SEQ_LEN = 2048
 UNIT = 16
 CELL_ROWS = 256  # rows ranked together
 MAX_CELLS = 4096
+SLICE = 1000  # texts encoded together
 CACHE_CHARS = 40_000_000  # a worker forgets the words it has met after so many characters
 LATIN_END = "\u0250"
+MARKS = frozenset(string.punctuation)
 #: fixed value: the pattern by which the tokenizer cuts words
 PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
@@ -80,25 +85,48 @@ class WordTokenizer:
                 self.parts.update(zip(some, self.encode(some), strict=True))
 
     def learn_words(self, words: list[str]) -> None:
-        plain = [w for w in words if max(w) < LATIN_END and not any(s in w for s in self.special)]
-        if len(plain) < len(words):
-            other = list(set(words).difference(plain))
+        low = {w: w.lower() for w in words if w.isascii()}
+        latin = [w for w in words if w not in low and max(w) < LATIN_END]
+        low.update(zip(latin, [unicodedata.normalize("NFC", w).lower() for w in latin], strict=True))
+        letters = {w: x for w, x in low.items() if x.isalpha()}  # most words are one part, or one and a mark behind it
+        marked = {w: x for w, x in low.items() if x[-1] in MARKS and x[:-1].isalpha()}
+        rest = set(words).difference(letters, marked)
+        plain = [w for w in rest if w in low and not any(s in w for s in self.special)]
+        if len(plain) < len(rest):
+            other = list(rest.difference(plain))
             self.words.update(zip(other, self.encode(other), strict=True))
-        cut = [self.parts_of(unicodedata.normalize("NFC", w).lower()) for w in plain]
-        new = list(set().union(*cut) - self.parts.keys()) if cut else []
-        self.learn_parts(new)
+        cut = [self.parts_of(low[w]) for w in plain]
+        parts = set().union(letters.values(), *cut)
+        for x in marked.values():
+            parts.add(x[:-1])
+            parts.add(x[-1])
+        self.learn_parts(list(parts - self.parts.keys()))
         get = self.parts.__getitem__
+        self.words.update(zip(letters, map(get, letters.values()), strict=True))
+        self.words.update({w: get(x[:-1]) + get(x[-1]) for w, x in marked.items()})
         self.words.update(zip(plain, [b"".join(map(get, c)) for c in cut], strict=True))
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
+        trimmed = pc.ascii_trim_whitespace(pa.array(texts, type=pa.large_string()))
+        lists = pc.ascii_split_whitespace(trimmed)
+        words = lists.flatten().dictionary_encode()
+        distinct, which = words.dictionary.to_numpy(zero_copy_only=False).tolist(), words.indices.to_numpy(zero_copy_only=False)
         if self.kept_chars > CACHE_CHARS:
             self.forget()
-        new = list(set().union(*split) - self.words.keys()) if split else []
+        new = [w for w in distinct if w not in self.words]
         self.kept_chars += sum(map(len, new)) + 40 * len(new)
         self.learn_words(new)
-        get = self.words.__getitem__
-        return [b"".join(map(get, ws)) for ws in split]
+        known = [self.words[w] for w in distinct]
+        ids = np.frombuffer(b"".join(known), dtype="<u4")
+        sizes = np.fromiter(map(len, known), dtype=np.int64, count=len(known)) // 4
+        size = sizes[which]
+        ends = np.cumsum(size)
+        # every word's ids, one word after the other
+        at = np.repeat((np.cumsum(sizes) - sizes)[which] - (ends - size), size) + np.arange(int(size.sum()))
+        out = ids[at].tobytes()
+        stops = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))])
+        cuts = (4 * np.concatenate([[0], ends])[stops]).tolist()
+        return [out[x:y] for x, y in zip(cuts, cuts[1:], strict=False)]
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, text: str, id_col: str, seq_len: int, end_id: int, with_ids: bool) -> DataFrame:
@@ -111,10 +139,10 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, text: str, id_col: str, s
         tok = WordTokenizer(tokenizer_path)
         for b in batches:
             ids, texts = b["id"], b["text"]
-            for lo in range(0, len(b), 500):
+            for lo in range(0, len(b), SLICE):
                 out = []
-                part = [t if isinstance(t, str) else "" for t in texts[lo : lo + 500]]
-                for doc, enc in zip(ids[lo : lo + 500], tok.encode_batch(part), strict=True):
+                part = [t if isinstance(t, str) else "" for t in texts[lo : lo + SLICE]]
+                for doc, enc in zip(ids[lo : lo + SLICE], tok.encode_batch(part), strict=True):
                     enc += end
                     n = len(enc) // 4
                     for s in range(0, n, seq_len):
