@@ -1,22 +1,24 @@
 """Benchmark decontamination as a prefix-filtered set join, in DataFrame operations only.
 
-Every benchmark item is cut into windows of ``window`` words (a shorter item is one window). For
-containment of a whole window the necessary prefix is one token, so a window needs only its rarest
-shingle in the document. Steps:
-
-1. shingles of the items (``shingle`` words; fewer for shorter items) meet the shingles of all
-   documents: one map-side join when the item shingles are counted small enough to broadcast;
-2. shingles are ordered by how many documents hold them, each window keeps its rarest one;
-3. a hit on such a prefix shingle fixes an alignment (document, item, offset); length and
-   positional bounds drop alignments that can't hold a window;
-4. each alignment is verified word by word; runs of equal words as long as a window are exact hits.
-
-An alignment covers all windows of an item at one offset, so a passage costs one row, not one per
-window. Hot documents, shingles or passages only add rows in proportion to their occurrences.
+Every benchmark item is cut into windows of ``window`` words (a shorter item is one window); windows of equal
+words are one window with the items that hold it. For containment of a whole window the necessary
+prefix is one token, so a window needs only its rarest shingle in the document. Steps:
+
+1. shingles of the windows (``shingle`` words; fewer for shorter windows) meet the shingles of all
+   documents: one map-side join when the window shingles are counted small enough to broadcast;
+2. shingles are ordered by how often the documents hold them, each window keeps its rarest one;
+3. the documents with such a prefix shingle, and only they, are read again. Each of its places fixes where the window
+   would start; length and position bounds drop places where it doesn't fit, and the words there are
+   compared one by one, on a few words around the shingle;
+4. hit words are the union of the verified intervals, the items those of the verified windows.
+
+The work follows the places of prefix shingles, whatever repeats: a window of a periodic item is one window, however
+often the item holds it, and meets a periodic document once per place. Texts aren't shuffled; the results are broadcast
+back to the documents when they are counted small enough.
 
 Defined cases: null and empty texts have no words and are not contaminated; items without words
 are skipped; repeated rows get equal results; item ids that occur twice count once, null ids are
-verified but not counted; extra columns stay (the result is one struct column).
+verified but not counted; extra columns stay, whatever their names (the result is one struct column).
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import KEY, add_key, ascii_lower, bounded, settled, with_result
+from tallyhouse.llm.common import KEY, add_key, ascii_lower, bounded, own_columns, settled, shield, with_result
 
 NON_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 13
@@ -48,7 +50,8 @@ def _shingles(words: str, k: int) -> Column:
     )
 
 
-def _explode_shingles(df: DataFrame, cols: list[str], words: str, sizes: list[int], size_col: str | None = None) -> DataFrame:
+def _explode_shingles(df: DataFrame, cols: list, words: str, sizes: list[int], size_col: str | None = None) -> DataFrame:
+    """Rows (cols, pos, sh) for the shingles of each of ``sizes``."""
     parts = []
     for k in sizes:
         d = df if size_col is None else df.where(F.col(size_col) == k)
@@ -59,16 +62,44 @@ def _explode_shingles(df: DataFrame, cols: list[str], words: str, sizes: list[in
     return out
 
 
-def prefix_shingles(items: DataFrame, item_shingles: DataFrame, freq: DataFrame, window: int) -> DataFrame:
-    """(item, pos, sh): for every window its rarest shingle, ties by position."""
-    ranked = item_shingles.join(freq, "sh").join(items.select("item", F.size("iw").alias("m"), "k"), "item")
-    span = F.least(F.lit(window), F.col("m"))  # words of a window of this item
-    first = F.greatest(F.lit(0), F.col("pos") + F.col("k") - span)
-    last = F.least(F.col("pos"), F.col("m") - span)
-    per_window = ranked.select("item", "pos", "sh", "n_docs", F.explode(F.sequence(first, last)).alias("win"))
-    # a group is one window: at most ``window`` rows
-    w = Window.partitionBy("item", "win").orderBy("n_docs", "pos")
-    return per_window.withColumn("r", F.row_number().over(w)).where("r = 1").select("item", "pos", "sh").distinct()
+def windows_of(items: DataFrame, window: int, shingle: int) -> DataFrame:
+    """(win, ww, span, k, ids): every distinct window, its words, and the sorted ids of the items that hold it."""
+    span = F.least(F.lit(window), F.size("iw"))
+    starts = F.explode(F.sequence(F.lit(1), F.size("iw") - span + 1)).alias("s")
+    cut = items.select("item_id", "iw", span.alias("span"), starts).select("item_id", F.slice("iw", F.col("s"), F.col("span")).alias("ww"))
+    # an item holds a window once, however often it repeats it
+    held = cut.withColumn("win", F.concat_ws(" ", "ww")).groupBy("win", "item_id").agg(F.any_value("ww").alias("ww"))
+    one = held.groupBy("win").agg(F.any_value("ww").alias("ww"), F.array_sort(F.collect_set("item_id")).alias("ids"))
+    size = F.size("ww")
+    return one.select("win", "ww", size.alias("span"), F.least(F.lit(shingle), size).alias("k"), "ids")
+
+
+def prefix_shingles(shingles: DataFrame, freq: DataFrame) -> DataFrame:
+    """(win, off, sh): for every window its rarest shingle, ties by position. A window has few shingles."""
+    w = Window.partitionBy("win").orderBy("n", "off")
+    return shingles.join(freq, "sh").withColumn("r", F.row_number().over(w)).where("r = 1").select("win", "off", "sh")
+
+
+def verified_places(hit_docs: DataFrame, prefix: DataFrame, sizes: list[int], window: int) -> DataFrame:
+    """(keys, start, end, win) of every window that a document holds. ``hit_docs``: keys and words ``_th_w``."""
+    at = F.greatest(F.lit(0), F.col("pos") - window + 1)
+    found = _explode_shingles(hit_docs, [*KEY, "_th_w"], "_th_w", sizes)
+    around = found.select(
+        *KEY, "pos", "sh", F.size("_th_w").alias("n"), at.alias("at"), F.slice("_th_w", at + 1, F.lit(2 * window - 1)).alias("near")
+    )
+    start = F.col("pos") - F.col("off")
+    placed = around.join(prefix, "sh").withColumn("start", start)
+    fits = placed.where((F.col("start") >= 0) & (F.col("start") + F.col("span") <= F.col("n")))
+    same = F.concat_ws(" ", F.slice("near", F.col("start") - F.col("at") + 1, F.col("span"))) == F.col("win")
+    return fits.where(same).select(*KEY, "start", (F.col("start") + F.col("span")).alias("end"), "win").distinct()
+
+
+def covered_words(places: DataFrame) -> DataFrame:
+    """(keys, n_hit): the words in the union of the intervals. A window holds one document's places."""
+    before = Window.partitionBy(*KEY).orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
+    reached = F.coalesce(F.max("end").over(before), F.lit(0))
+    new = F.greatest(F.lit(0), F.col("end") - F.greatest(F.col("start"), F.col("reached")))
+    return places.withColumn("reached", reached).groupBy(*KEY).agg(F.sum(new).cast("long").alias("n_hit"))
 
 
 def decontaminate(
@@ -84,93 +115,52 @@ def decontaminate(
     one_in: int = 20,
 ) -> DataFrame:
     """``docs`` with a struct ``out``: n_words, n_hit, n_items, items_sha256, contaminated."""
-    keyed = add_key(docs, id_col, text)
+    shielded, names = shield(docs)
+    keyed = add_key(shielded, names[id_col], names[text])
     it = items.select(F.col(f"`{item_id}`").cast("string").alias("item_id"), F.col(f"`{item_text}`").alias("it"))
-    it = with_words(it, "it", "iw").where(F.size("iw") > 0).drop("it").distinct()
-    it = it.withColumn("k", F.least(F.lit(shingle), F.size("iw")))
-    it = settled(it.withColumn("item", F.xxhash64(F.coalesce("item_id", F.lit("")), F.concat_ws(" ", "iw"))))
-    sizes = [r[0] for r in it.select("k").distinct().collect()]  # at most ``shingle`` values
-    words = F.size("_th_w").cast("long")
-    if not sizes:
-        none = F.struct(
-            words.alias("n_words"), F.lit(0).cast("long").alias("n_hit"), F.lit(0).cast("long").alias("n_items"),
-            F.sha2(F.lit(""), 256).alias("items_sha256"), F.lit(False).alias("contaminated"),
-        )
-        return with_words(keyed, text, "_th_w").select(*[F.col(f"`{c}`") for c in docs.columns if c != out], none.alias(out))
-
-    item_sh = _explode_shingles(it, ["item"], "iw", sizes, "k")
-    vocab = bounded(settled(item_sh.select("sh").distinct()), BENCH_SHINGLES)
-    doc_words = with_words(keyed, text, "_th_w")
-    doc_sh = _explode_shingles(doc_words.select(*KEY, "_th_w", F.size("_th_w").alias("n")), [*KEY, "n"], "_th_w", sizes)
-    # the few document shingles that any item has; repeated rows count once
-    met = settled(doc_sh.join(vocab, "sh", "left_semi"))
-    freq = met.select(*KEY, "sh").distinct().groupBy("sh").agg(F.count(F.lit(1)).alias("n_docs"))
-    freq = vocab.join(freq, "sh", "left").select("sh", F.coalesce("n_docs", F.lit(0)).alias("n_docs"))
-    prefix = settled(prefix_shingles(it, item_sh, freq, window))
-    prefix = bounded(prefix.select("item", F.col("pos").alias("ipos"), "sh"), BENCH_SHINGLES)
-
-    sized = it.select("item", F.size("iw").alias("m"))
-    span = F.least(F.lit(window), F.col("m"))
-    aligned = (
-        met.join(prefix, "sh")
-        .join(bounded(sized), "item")
-        .where(F.col("n") >= span)  # length bound
-        .withColumn("diag", F.col("pos") - F.col("ipos"))
-        # positional bound: a whole window must fit between the ends of the document
-        .where((F.col("diag") >= span - F.col("m")) & (F.col("diag") <= F.col("n") - span))
-        .select(*KEY, "item", "diag")
-        .distinct()
-    )
-    # alignments of one document side by side: bounded by that document's words and the items
-    full = it.select("item", "item_id", F.col("iw"), F.least(F.lit(window), F.size("iw")).alias("span"))
-    per_doc = (
-        aligned.join(bounded(full), "item")
-        .groupBy(*KEY)
-        .agg(F.collect_list(F.struct("item_id", "iw", "span", "diag")).alias("_th_al"))
-    )
-    names = {c: f"_th_in{i}" for i, c in enumerate(docs.columns)}
-    base = keyed.select(*KEY, *[F.col(f"`{c}`").alias(v) for c, v in names.items()]).join(per_doc, KEY, "left")
-    base = with_words(base, names[text], "_th_w")
-    verified = base.withColumn("_th_v", _verified(F.col("_th_al"), F.col("_th_w")))
-    v = F.coalesce(F.col("_th_v"), F.array().cast(verified.schema["_th_v"].dataType))
-    n_hit = F.size(F.array_distinct(F.flatten(F.transform(v, lambda x: x["hit"])))).cast("long")
-    ids = F.array_sort(F.array_distinct(F.filter(F.transform(v, lambda x: x["item_id"]), lambda x: x.isNotNull())))
-    counted = verified.withColumn("_th_hits", n_hit).withColumn("_th_ids", ids)
-    n_hit = F.col("_th_hits")
+    it = with_words(it, "it", "iw").where(F.size("iw") > 0).drop("it")
+    wins = settled(windows_of(it, window, shingle))
+    sizes = [r[0] for r in wins.select("k").distinct().collect()]  # at most ``shingle`` values
+    found = None
+    if sizes:
+        found = settled(_contained(keyed.select(*KEY, F.col(names[text]).alias("text")), wins, sizes, window))
+    return _with_counts(keyed, names, text, found, one_in, out)
+
+
+def _contained(texts: DataFrame, wins: DataFrame, sizes: list[int], window: int) -> DataFrame:
+    """(keys, n_hit, ids) of every document that holds a window."""
+    shingles = settled(_explode_shingles(wins, ["win"], "ww", sizes, "k").withColumnRenamed("pos", "off"))
+    vocab = bounded(settled(shingles.select("sh").distinct()), BENCH_SHINGLES)
+    doc_sh = _explode_shingles(with_words(texts, "text", "_th_w"), KEY, "_th_w", sizes).drop("pos")
+    met = settled(doc_sh.join(vocab, "sh", "left_semi"))  # the document shingles that any window has
+    freq = met.groupBy("sh").agg(F.count(F.lit(1)).alias("n"))
+    freq = vocab.join(freq, "sh", "left").select("sh", F.coalesce("n", F.lit(0)).alias("n"))
+    prefix = settled(prefix_shingles(shingles, freq).join(wins.select("win", "span"), "win"))
+    hit = settled(met.join(bounded(prefix.select("sh").distinct()), "sh", "left_semi").select(*KEY).distinct())
+    hit_docs = texts.join(bounded(hit), KEY, "left_semi").dropDuplicates(KEY)
+    places = settled(verified_places(with_words(hit_docs, "text", "_th_w").select(*KEY, "_th_w"), bounded(prefix), sizes, window))
+    # windows that the same items hold count as one before their items are listed
+    sets = wins.select("win", F.xxhash64("ids").alias("s1"), F.xxhash64(F.lit(7919), "ids").alias("s2"), "ids")
+    listed = sets.groupBy("s1", "s2").agg(F.any_value("ids").alias("ids"))
+    held = places.select(*KEY, "win").distinct().join(sets.drop("ids"), "win").select(*KEY, "s1", "s2").distinct()
+    ids = held.join(listed, ["s1", "s2"]).select(*KEY, F.explode_outer("ids").alias("item_id"))
+    per_doc = ids.groupBy(*KEY).agg(F.array_sort(F.collect_set("item_id")).alias("ids"))
+    return covered_words(places).join(per_doc, KEY)
+
+
+def _with_counts(keyed: DataFrame, names: dict[str, str], text: str, found: DataFrame | None, one_in: int, out: str) -> DataFrame:
+    rows = with_words(keyed, names[text], "_th_w")
+    if found is None:
+        rows = rows.withColumns({"n_hit": F.lit(None).cast("long"), "ids": F.lit(None).cast("array<string>")})
+    else:
+        rows = rows.join(bounded(found), KEY, "left")
+    words, n_hit = F.size("_th_w").cast("long"), F.coalesce("n_hit", F.lit(0)).cast("long")
+    ids = F.coalesce("ids", F.array().cast("array<string>"))
     result = F.struct(
         words.alias("n_words"),
         n_hit.alias("n_hit"),
-        F.size("_th_ids").cast("long").alias("n_items"),
-        F.sha2(F.array_join("_th_ids", ","), 256).alias("items_sha256"),
+        F.size(ids).cast("long").alias("n_items"),
+        F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"),
         ((n_hit > 0) & (one_in * n_hit >= words)).alias("contaminated"),
     )
-    return with_result(counted, [F.col(v).alias(c) for c, v in names.items() if c != out], result, out)
-
-
-def _verified(alignments: Column, words: Column) -> Column:
-    """Alignments with a run of equal words as long as a window, with the positions of those words."""
-    compared = F.transform(
-        alignments,
-        lambda a: F.struct(
-            a["item_id"].alias("item_id"),
-            a["diag"].alias("diag"),
-            a["span"].alias("span"),
-            F.transform(a["iw"], lambda x, i: F.coalesce(x == F.get(words, a["diag"] + i), F.lit(False))).alias("same"),
-        ),
-    )
-    runs = F.transform(
-        compared,
-        lambda a: F.struct(
-            a["item_id"].alias("item_id"),
-            F.flatten(
-                F.transform(
-                    F.filter(
-                        F.sequence(F.lit(0), F.size(a["same"]) - a["span"]),
-                        lambda j: F.forall(F.slice(a["same"], j + 1, a["span"]), lambda x: x),
-                    ),
-                    lambda j: F.sequence(a["diag"] + j, a["diag"] + j + a["span"] - 1),
-                )
-            ).alias("hit"),
-        ),
-    )
-    return F.filter(runs, lambda a: F.size(a["hit"]) > 0)
+    return with_result(rows, own_columns(names, out), result, out)
