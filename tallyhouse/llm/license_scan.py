@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from tallyhouse.llm.common import ascii_lower, own_columns, shield, with_result
 from tallyhouse.llm.decontaminate import NON_WORD
 
+CHUNK = 256  # detections whose suppression is gathered in one array
 OPEN, CLOSE = "\x01", "\x02"  # can't occur in the word string
 
 
@@ -106,6 +107,8 @@ SHORT_NAMES = {
 }
 #: names of products: without the noun they are licences only where something is licensed under them
 PRODUCTS = {"php": "php", "ruby": "ruby", "elastic": "elastic", "postgresql": "postgresql", "openssl": "openssl"}
+#: labels whose short names mean nothing else: a number behind them is a version even without a mark
+ONLY_LICENCES = {"gpl", "lgpl", "agpl", "fdl", "mpl", "eupl", "cddl"}
 UNDER = "under (?:the )?(?:terms (?:and conditions )?of )?(?:the )?"
 ANY_VERSION = "(?:(?: (?:version|v))? ?v?[0-9]+(?: [0-9]+)?)?"
 
@@ -169,7 +172,9 @@ def build_rules() -> list[Rule]:
         add(label, "short notice", word, "under", f"{verb} {UNDER}{name}{ANY_VERSION}", 2, 0.9)
         add(label, "licensed", "licen", word, f"{name}{ANY_VERSION} licen[cs]ed", 2, 0.85)
         for v in versions:
-            add(label, "short version", word, v, f"{name}(?: (?:version|v))? ?v?{v}(?! [0-9])", 3, 0.6)
+            add(label, "marked version", word, v, f"{name}(?: (?:version |v ?){v}| {v} (?:only|or later))(?! [0-9])", 3, 0.6)
+            if label in ONLY_LICENCES:
+                add(label, "short version", word, v, f"{name} ?{v}(?! [0-9])", 3, 0.6)
     for label, keyword, regex, priority, confidence in SINGLE_RULES:
         add(label, "text", keyword, keyword, f"(?:{regex})", priority, confidence)
     for phrase, label in BASE_PHRASES.items():
@@ -228,19 +233,26 @@ def scan_licenses(docs: DataFrame, text: str = "text", out: str = "_license", ru
         "_th_d",
         F.when((F.size("_th_k") > 0) & F.col("_th_n").isNotNull(), F.sort_array(F.flatten(places))).otherwise(F.array().cast(kind)).cast(kind),
     )
-    # sweep in order of start, longer first: per priority the furthest end so far
-    start = F.struct(F.array_repeat(F.lit(-1), n_priorities).alias("ends"), F.array().cast(kind).alias("kept"))
-    swept = F.aggregate(
-        F.col("_th_d"),
-        start,
-        lambda acc, x: F.struct(
-            F.transform(acc["ends"], lambda e, i: F.when(i + 1 == x["priority"], F.greatest(e, -x["neg_last"])).otherwise(e)).alias("ends"),
-            F.when(
-                F.array_max(F.slice(acc["ends"], F.lit(1), x["priority"])) >= -x["neg_last"], acc["kept"]
-            ).otherwise(F.concat(acc["kept"], F.array(x))).alias("kept"),
-        ),
-        lambda acc: acc["kept"],
-    )
+    # sweep in order of start, longer first: per priority the furthest end so far. Appending copies an array, so
+    # the kept ones are gathered in pieces of CHUNK detections and the pieces joined at the end
+    no_ends, none = F.array_repeat(F.lit(-1), n_priorities), F.array().cast(kind)
+
+    def step(acc: Column, x: Column) -> Column:
+        covered = F.array_max(F.slice(acc["ends"], F.lit(1), x["priority"])) >= -x["neg_last"]
+        ends = F.transform(acc["ends"], lambda e, i: F.when(i + 1 == x["priority"], F.greatest(e, -x["neg_last"])).otherwise(e))
+        return F.struct(ends.alias("ends"), F.when(covered, acc["kept"]).otherwise(F.concat(acc["kept"], F.array(x))).alias("kept"))
+
+    def piece(acc: Column, at: Column) -> Column:
+        empty = F.struct(acc["ends"].alias("ends"), none.alias("kept"))
+        one = F.aggregate(F.slice(F.col("_th_d"), at + 1, F.lit(CHUNK)), empty, step)
+        # a lambda over one element names the result, which would be computed twice otherwise
+        return F.get(
+            F.transform(F.array(one), lambda r: F.struct(r["ends"].alias("ends"), F.concat(acc["pieces"], F.array(r["kept"])).alias("pieces"))), F.lit(0)
+        )
+
+    starts = F.when(F.size("_th_d") > 0, F.sequence(F.lit(0), F.size("_th_d") - 1, F.lit(CHUNK))).otherwise(F.array().cast("array<int>"))
+    begin = F.struct(no_ends.alias("ends"), F.array().cast(f"array<{kind}>").alias("pieces"))
+    swept = F.aggregate(starts, begin, piece, lambda acc: F.flatten(acc["pieces"]))
     base = F.filter("_th_d", lambda x: x["base"])
     d = d.withColumn("_th_kept", swept).withColumn("_th_base", base)
     b, kept = F.col("_th_base"), F.col("_th_kept")

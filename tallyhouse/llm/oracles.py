@@ -3,6 +3,7 @@ without the hashes, filters and partial steps of the Spark operators."""
 
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+# a document is known to a line by the set of its other lines, to its host by the set of all
 OP1 = rf"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS t FROM documents),
 w AS (SELECT rid, doc_id, source, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM d),
@@ -17,9 +18,9 @@ norm AS (
 lines AS (SELECT rid, source, line FROM (SELECT rid, source, trim(unnest(string_split(t, chr(10))), ' ') AS line FROM norm) WHERE line <> ''),
 sig AS (SELECT rid, list_sort(list_distinct(list(md5(line)))) AS s FROM lines GROUP BY rid),
 line_docs AS (
-  SELECT source, line, count(DISTINCT CASE WHEN md5(line) = s[1] THEN coalesce(s[2], s[1]) ELSE s[1] END) AS n
-  FROM lines JOIN sig USING (rid) GROUP BY source, line),
-host_docs AS (SELECT source, count(DISTINCT s[1]) AS n FROM lines JOIN sig USING (rid) GROUP BY source),
+  SELECT source, line, count(DISTINCT md5(CAST(list_filter(s, lambda x: x <> md5(line)) AS VARCHAR))) AS n
+  FROM (SELECT DISTINCT rid, source, line FROM lines) JOIN sig USING (rid) GROUP BY source, line),
+host_docs AS (SELECT source, count(DISTINCT s) AS n FROM (SELECT DISTINCT rid, source FROM lines) JOIN sig USING (rid) GROUP BY source),
 often AS (
   SELECT l.source, l.line FROM line_docs l JOIN host_docs h ON l.source IS NOT DISTINCT FROM h.source WHERE l.n > 50 AND l.n > 0.01 * h.n),
 gone AS (

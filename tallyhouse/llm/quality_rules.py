@@ -167,7 +167,8 @@ def quality_rules(
     gone = F.coalesce(F.col("_th_removed"), F.lit(0)).cast("long")
     failed = (b["n_words"] < min_words) | (100 * b["n_repeat_words"] > max_repeat_pct * b["n_words"])
     depleted = (b["n_words"] - gone) < min_left_share * b["n_words"]
-    stats = base_stats(keyed, text).join(removed, KEY, "left")
+    # few documents lose lines: counted, they are broadcast, and no text is shuffled
+    stats = base_stats(keyed, text).join(bounded(settled(removed)), KEY, "left")
     result = F.struct(
         *[b[c].alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
         failed.alias("base_failed"),
