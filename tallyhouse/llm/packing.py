@@ -36,7 +36,7 @@ SEQ_LEN = 2048
 UNIT = 16
 CELL_ROWS = 256  # rows ranked together
 MAX_CELLS = 4096
-SLICE = 1000  # texts encoded together
+SLICE = 500  # texts encoded together
 CACHE_CHARS = 40_000_000  # a worker forgets the words it has met after so many characters
 LATIN_END = "\u0250"
 MARKS = frozenset(string.punctuation)
