@@ -638,7 +638,10 @@ def _text_queries() -> tuple[dict[str, Query], dict[str, str]]:
     try:
         import corpus_pipeline
         from tallyhouse.llm import queries as text
-    except ImportError:
+    except ImportError as e:
+        # only the parts themselves may be missing; a package that they need is a fault of the installation
+        if not (e.name or "").startswith(("corpus_pipeline", "tallyhouse.llm")):
+            raise
         return {}, {}
     sql = text.oracle_sql()
     if corpus_pipeline.ORACLE_SQL:
