@@ -3,22 +3,28 @@
 A page is a sequence of words and tags. Every token has a context: the nearest container on its
 stack that says what it is (menu, header, footer, sidebar, advert, notice, form, comments, or
 content). Words score positive and tags negative, both weighted per context (and tag), with
-weights learned from labelled pages; a single scan (Kadane) finds the contiguous region of
-greatest total. The text of the region's content tokens, block by block, is the result.
+weights learned from labelled pages. Scores are added up per block (so that no block is cut in two),
+and a single scan (Kadane) finds the contiguous region of greatest total. The text of the region's
+content blocks is the result.
 
 Labelled pages are those of the table whose own markup marks the main region (an ``article`` or
-``main`` element): Spark counts the tokens of each kind inside and outside it and the log odds are the
-weights. Kinds never seen keep a prior by context. The model is at most contexts x known tags
-numbers.
+``main`` element): Spark counts the tokens of each kind, and the words under each class word, inside and
+outside it; the log odds are the weights. What is never seen keeps a prior by context. The model is at
+most contexts x known tags, and known class words.
+
+Ambiguous parts. A class or id may name page furniture or a part of the article (related, notice,
+menu ...). Inside the main element, and on sections and headings anywhere, such an element is no cut: its
+words score by what the class word stands for, its learned odds and the length of its prose, words in
+links negative. The runs of greatest total on the negated scores (the same scan, all maximal runs) are
+removed from the region: a short cookie notice or a list of links goes, an essay in a ``div`` called
+menu stays. A section or heading whose *id* is such a word is a topic and scores higher.
+
+Cut without a score: elements of CONTEXT_TAGS and CONTEXT_ROLES, hidden elements, class words outside the
+main element, FURNITURE words (not on headings), and the text of RAW elements (svg, noscript, select, iframe
+...; of math only its annotations). ``<svg/>`` and ``<math/>`` are empty.
 
 Scale: two passes over the pages in Arrow batches; the first shuffles only partial counts of
-token kinds. No group of pages ever meets, so no host can be hot.
-
-Inside an ``article`` or ``main`` element a class or id is a cut only if it names page furniture and
-nothing else (FURNITURE, not on headings); any other context word (discussion, related, search, alert
-...) gives a lower weight, and the scan decides. Excluded there: elements of CONTEXT_TAGS and
-CONTEXT_ROLES, hidden elements, furniture, and the text of RAW elements (svg, noscript, select, iframe
-...; of math only its annotations). ``<svg/>`` and ``<math/>`` are empty.
+token kinds. No group of pages ever meets, so no host can be hot. A page takes time linear in its length.
 
 Defined cases: null and empty html and pages without a positive region give an empty text;
 unclosed tags, comments and scripts end with the page; repeated rows get equal results; extra
@@ -69,10 +75,18 @@ FURNITURE = frozenset(
     " ad ads adv advert adverts advertisement adsense gdpr popup newsletter signup searchbox comments commentlist disqus".split()
 )
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
+SECTIONS = HEADINGS | {"section"}
 CONTENT = "content"
-MAYBE = "maybe"  # inside the main element under an ambiguous word: a lower weight, not a cut
+MAYBE = "maybe"  # an ambiguous class word: scored, not a cut
 TEXT_CONTEXTS = (CONTENT, MAYBE)
 CONTEXTS = [CONTENT, MAYBE, *dict.fromkeys([*CONTEXT_TAGS.values(), *CONTEXT_ROLES.values(), *CONTEXT_WORDS])]
+#: score of a word under an ambiguous class word, before length and learned odds
+MAYBE_PRIOR = {"menu": -0.5, "header": -0.5, "footer": -0.75, "sidebar": -0.5, "advert": -1.5, "notice": -0.75, "form": -0.75, "comment": -2.0}
+OWN_WORDS = {"discussion": 0.0, "alert": 1.25, "alerts": 1.25}  # as often a chapter as a thread; the author's own warnings
+TOPIC = 1.5  # the id of a section or heading
+LONG = 40  # words of prose under one ambiguous element that neither speak for it nor against it
+LINKED = -1.0
+LEARNED = (-1.0, 0.4)  # bounds of a class word's learned odds; a comment or advert stays negative
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -85,56 +99,65 @@ SPLIT = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=\d)")
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
-def context_of(name: str, attrs: str, inside_main: bool) -> str | None:
-    """What a container says about what it holds, None if nothing."""
+def context_of(name: str, attrs: str, inside_main: bool, nested: bool = False) -> tuple[str | None, str, str]:
+    """(what a container says about what it holds or None, the class word that says so, the element if it is a topic)."""
     if name == "header":
-        return None if inside_main else "header"
+        return (None if inside_main else "header"), "", ""
     if name in CONTEXT_TAGS:
-        return CONTEXT_TAGS[name]
-    if not attrs or name in ("html", "body", "article", "main"):
-        return None
-    found = None
+        return CONTEXT_TAGS[name], "", ""
+    if not attrs or name in ("html", "body", "main") or name == "article" and not nested:
+        return None, "", ""
+    found, topic = "", ""
     for m in ATTR.finditer(attrs):
         key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
         if key == "role" and value in CONTEXT_ROLES:
-            return CONTEXT_ROLES[value]
+            return CONTEXT_ROLES[value], "", ""
         if key in ("class", "id"):
             for w in SPLIT.split(re.sub(r"(?<=[a-z])([A-Z])", r"-\1", m[2] or m[3] or m[4] or "").lower()):
                 if w in WORD_CONTEXT:
-                    if not inside_main or w in FURNITURE and name not in HEADINGS:
-                        return WORD_CONTEXT[w]
-                    found = MAYBE
+                    cut = w in FURNITURE and name not in HEADINGS
+                    if cut or not inside_main and name not in SECTIONS:
+                        return WORD_CONTEXT[w], w, ""
+                    topic = name if name in HEADINGS or key == "id" and name == "section" else topic
+                    found = min(found or w, w, key=maybe_prior)
         elif key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and HIDDEN.search(value):
-            return "notice"
-    return found
+            return "notice", "", ""
+    return (MAYBE if found else None), found, topic
+
+
+def maybe_prior(word: str) -> float:
+    return OWN_WORDS.get(word, MAYBE_PRIOR[WORD_CONTEXT[word]])
 
 
 def tokens(page: str):
-    """(kind, value, context, inside main element): kind is "tag" (name), "break" or "text"."""
-    stack: list[tuple[str, str, bool]] = []  # element, context, inside main
-    at, n = 0, len(page)
+    """(kind, value, context, inside main element, part): kind is "tag" (name), "break", "text" or "link"
+    (text in a link); part names the ambiguous or cut element by (number, class word, topic)."""
+    stack: list[tuple[str, str, bool, tuple]] = []  # element, context, inside main, part
+    at, n, parts, linked = 0, len(page), 0, False
     while at < n:
         m = TOKEN.match(page, at)
         if m is None:  # a lone "<" of an unfinished tag: the rest of the page is markup
             return
         at = m.end()
-        context, main = (stack[-1][1], stack[-1][2]) if stack else (CONTENT, False)
+        context, main, part = stack[-1][1:] if stack else (CONTENT, False, (0, "", ""))
         text = m["text"] or m["cdata"]
         if text:
-            yield "text", text, context, main
+            yield "link" if linked else "text", text, context, main, part
             continue
         name = m["name"] or m["name2"]
         if not name:
             continue
         name, attrs, close = name.lower(), m["attrs"] or m["attrs2"] or "", m["close"] or m["close2"]
+        if name == "a" or name in BLOCKS and close:  # an unclosed link ends with its block
+            linked = name == "a" and not close
         if close:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == name:
                     del stack[i:]
                     break
-            yield "tag", name, context, main
+            yield "tag", name, context, main, part
             if name in BLOCKS:
-                yield "break", "", context, main
+                yield "break", "", context, main, part
             continue
         if name in EMPTY_IF_CLOSED and attrs.rstrip().endswith("/"):
             continue
@@ -143,20 +166,21 @@ def tokens(page: str):
             at = end.end() if end else n
             continue
         if name in BLOCKS:
-            yield "break", "", context, main
+            yield "break", "", context, main, part
         if name == "body":
             stack.clear()  # an unclosed head ends here
-            context, main = CONTENT, False
+            context, main, part = CONTENT, False, (0, "", "")
         if name not in VOID and name not in INLINE and name not in ("p", "html") and not attrs.rstrip().endswith("/"):
-            main = main or name in ("article", "main")
+            nested, main = main, main or name in ("article", "main")
             if context in TEXT_CONTEXTS:
-                context = ("header" if name in HEAD else None) or context_of(name, attrs, main) or context
-            stack.append((name, context, main))
-        elif context == CONTENT and name in ("span", "a", "p") and attrs and context_of(name, attrs, main):
-            pass  # inline hints don't open a container
-        yield "tag", name, context, main
+                own, word, topic = ("header", "", "") if name in HEAD else context_of(name, attrs, main, nested and name == "article")
+                if own:
+                    parts += 1
+                    context, part = own, (parts, word, topic)
+            stack.append((name, context, main, part))
+        yield "tag", name, context, main, part
         if name == "br":
-            yield "text", " ", context, main
+            yield "link" if linked else "text", " ", context, main, part
 
 
 def kind_of(kind: str, value: str, context: str) -> str:
@@ -164,16 +188,18 @@ def kind_of(kind: str, value: str, context: str) -> str:
     if kind == "tag":
         known = value in BLOCKS or value in INLINE or value in VOID
         return f"tag {context} {value if known else 'other'}"
-    return f"word {context}"
+    return f"{'link' if kind == 'link' else 'word'} {context}"
 
 
 def prior(feature: str) -> float:
     kind, context = feature.split(" ")[:2]
-    if context == MAYBE:
-        return 0.3 if kind == "word" else -0.3
+    if kind == "class":
+        return 0.0
+    if kind == "link":
+        return -0.5 if context == CONTENT else -1.0
     if kind == "word":
         return 1.0 if context == CONTENT else -1.0
-    return -0.05 if context == CONTENT else -1.0
+    return -0.05 if context in TEXT_CONTEXTS else -1.0
 
 
 def learn_weights(pages: DataFrame, html: str) -> dict[str, float]:
@@ -187,27 +213,31 @@ def learn_weights(pages: DataFrame, html: str) -> dict[str, float]:
                 low = page.lower() if isinstance(page, str) else ""
                 if low.count("<article") + low.count("<main") != 1:
                     continue
-                for kind, value, context, main in tokens(page):
+                for kind, value, context, main, (_, word, _) in tokens(page):
                     if kind == "break":
                         continue
-                    n = len(value.split()) if kind == "text" else 1
+                    n = 1 if kind == "tag" else len(value.split())
                     own = inside if main else outside
-                    f = kind_of(kind, value, context)
-                    own[f] = own.get(f, 0) + n
+                    for f in (kind_of(kind, value, context), f"class {word}") if word and kind != "tag" else (kind_of(kind, value, context),):
+                        own[f] = own.get(f, 0) + n
         names = sorted({*inside, *outside})
         yield pd.DataFrame({"f": pd.Series(names, dtype="str"), "inside": [inside.get(f, 0) for f in names], "outside": [outside.get(f, 0) for f in names]})
 
     rows = pages.select(F.col(f"`{html}`").alias("html")).mapInPandas(count, "f string, inside long, outside long")
-    got = rows.groupBy("f").agg(F.sum("inside").alias("i"), F.sum("outside").alias("o")).collect()  # contexts x known tags
+    got = rows.groupBy("f").agg(F.sum("inside").alias("i"), F.sum("outside").alias("o")).collect()  # contexts x known tags, known class words
     return {r["f"]: weigh(r["f"], r["i"], r["o"]) for r in got}
 
 
 def weigh(feature: str, inside: int, outside: int) -> float:
-    """Words of content stay positive and small costs keep its tags from splitting it; all else is log odds."""
+    """Log odds within bounds: words of content stay positive, and small costs keep its tags from splitting it."""
     kind, context = feature.split(" ")[:2]
-    if context == MAYBE:
-        return prior(feature)  # stands inside the main element only: there are no odds to learn
+    if kind == "class":
+        return min(LEARNED[1], max(LEARNED[0], math.log((inside + LONG) / (outside + LONG)) / 2))
     odds = math.log((inside + 1) / (outside + 1))
+    if context == MAYBE:
+        return prior(feature)  # its words are weighed by class word
+    if kind == "link":
+        return max(-1.0, min(odds / 4, -0.25)) if context == CONTENT else min(-0.5, max(odds, -3.0))
     if kind == "word":
         return max(0.5, min(odds, 2.0)) if context == CONTENT else min(-0.5, max(odds, -3.0))
     if context == CONTENT:
@@ -227,29 +257,76 @@ def best_region(scores: list[float]) -> tuple[int, int]:
     return at
 
 
+def maximal_runs(scores: list[float]) -> list[tuple[int, int]]:
+    """All maximal-scoring runs [first, last) in order (Ruzzo and Tompa), in linear time."""
+    runs: list[tuple[int, int, float, float, int]] = []  # first, last, total before and behind, last run that starts lower
+    total = 0.0
+    for i, s in enumerate(scores):
+        before, total = total, total + s
+        if s <= 0:
+            continue
+        first, j = i, len(runs) - 1
+        while True:
+            while j >= 0 and runs[j][2] >= before:
+                j = runs[j][4]
+            if j < 0 or runs[j][3] >= total:
+                break
+            first, before = runs[j][0], runs[j][2]
+            del runs[j:]
+            j -= 1
+        runs.append((first, i + 1, before, total, j))
+    return [r[:2] for r in runs]
+
+
+def removed_parts(own: list[tuple], weights: dict[str, float]) -> tuple[dict[int, float], set[int]]:
+    """Scores of the words of ambiguous parts, and the positions that their negative runs remove."""
+    texts: dict[tuple, list[int]] = {}
+    sizes: dict[int, int] = {}
+    for i, (kind, value, context, _, part) in enumerate(own):
+        if context == MAYBE and kind in ("text", "link") and (n := len(value.split())):
+            texts.setdefault(part, []).append(i)
+            sizes[i] = n
+    scores, removed = {}, set()
+    for (_, word, topic), at in texts.items():
+        prose = sum(sizes[i] for i in at if own[i][0] == "text")
+        length = max(-1.0, min(math.log2((prose + 1) / LONG) / 2, 1.0))
+        each = (TOPIC if topic else maybe_prior(word)) + weights.get(f"class {word}", 0.0) + length
+        # a heading may be a link
+        part = [sizes[i] * (each if own[i][0] == "text" or topic in HEADINGS else LINKED) for i in at]
+        scores.update(zip(at, part, strict=True))
+        for first, last in maximal_runs([-x for x in part]):
+            removed.update(at[first:last])
+    return scores, removed
+
+
 def extract(page: str | None, weights: dict[str, float]) -> str:
     if not page:
         return ""
     own = list(tokens(page))
-    scores = []
-    for kind, value, context, main in own:
-        # what the main element itself holds of other contexts is cut out below, it must not split the region
-        if kind == "break" or main and context not in TEXT_CONTEXTS:
-            scores.append(0.0)
-            continue
-        f = kind_of(kind, value, context)
-        w = weights[f] if f in weights else prior(f)
-        scores.append(w * len(value.split()) if kind == "text" else w)
-    first, last = best_region(scores)
-    blocks, part = [], []
-    for kind, value, context, _ in [*own[first:last], ("break", "", CONTENT, False)]:
+    maybe, removed = removed_parts(own, weights)
+    blocks, scores, start = [], [], 0
+    total = 0.0
+    for i, (kind, value, context, main, _) in enumerate(own):
         if kind == "break":
-            if text := " ".join(entities.unescape("".join(part)).split()):
-                blocks.append(text)
-            part = []
-        elif kind == "text" and context in TEXT_CONTEXTS:
-            part.append(value)
-    return "\n".join(blocks)
+            blocks.append((start, i))
+            scores.append(total)
+            start, total = i + 1, 0.0
+        elif i in maybe:
+            # what the main element holds of other things is removed anyway, it must not split the region
+            total += max(maybe[i], 0.0) if main else maybe[i]
+        elif not main or context == CONTENT:
+            f = kind_of("text" if main and kind == "link" else kind, value, context)
+            w = weights[f] if f in weights else prior(f)
+            total += w if kind == "tag" else w * len(value.split())
+    blocks.append((start, len(own)))
+    scores.append(total)
+    first, last = best_region(scores)
+    texts = []
+    for lo, hi in blocks[first:last]:
+        part = [v for i, (kind, v, context, _, _) in enumerate(own[lo:hi], lo) if kind in ("text", "link") and context in TEXT_CONTEXTS and i not in removed]
+        if text := " ".join(entities.unescape("".join(part)).split()):
+            texts.append(text)
+    return "\n".join(texts)
 
 
 def extract_pages(pages: DataFrame, html: str = "html", out: str = "_main_text", weights: dict[str, float] | None = None) -> DataFrame:
