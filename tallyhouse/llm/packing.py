@@ -106,8 +106,10 @@ class WordTokenizer:
         self.words.update({w: get(x[:-1]) + get(x[-1]) for w, x in marked.items()})
         self.words.update(zip(plain, [b"".join(map(get, c)) for c in cut], strict=True))
 
-    def encode_batch(self, texts: list[str]) -> list[bytes]:
-        trimmed = pc.ascii_trim_whitespace(pa.array(texts, type=pa.large_string()))
+    def encode_batch(self, texts: list[str] | pa.Array) -> list[bytes]:
+        """The ids of every text; null is empty."""
+        texts = texts.cast(pa.large_string()) if isinstance(texts, pa.Array) else pa.array(texts, type=pa.large_string())
+        trimmed = pc.ascii_trim_whitespace(pc.fill_null(texts, ""))
         lists = pc.ascii_split_whitespace(trimmed)
         words = lists.flatten().dictionary_encode()
         distinct, which = words.dictionary.to_numpy(zero_copy_only=False).tolist(), words.indices.to_numpy(zero_copy_only=False)
@@ -138,23 +140,25 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, text: str, id_col: str, s
     def cut(batches):
         tok = WordTokenizer(tokenizer_path)
         for b in batches:
-            ids, texts = b["id"], b["text"]
-            for lo in range(0, len(b), SLICE):
-                out = []
-                part = [t if isinstance(t, str) else "" for t in texts[lo : lo + SLICE]]
-                for doc, enc in zip(ids[lo : lo + SLICE], tok.encode_batch(part), strict=True):
+            for lo in range(0, b.num_rows, SLICE):  # a slice shares the batch's memory
+                part = b.slice(lo, SLICE)
+                rows, pieces = [], []
+                for doc, enc in enumerate(tok.encode_batch(part.column(1))):
                     enc += end
                     n = len(enc) // 4
                     for s in range(0, n, seq_len):
                         piece = enc[4 * s : 4 * (s + seq_len)]
-                        row = (doc, s, len(piece) // 4, zlib.crc32(piece), n)
-                        out.append((*row, np.frombuffer(piece, dtype="<i4")) if with_ids else row)
-                frame = pd.DataFrame(out, columns=["id", "start", "length", "ids_crc32", "doc_tokens"] + ["ids"] * with_ids)
-                if id_type in ("bigint", "int", "smallint", "tinyint"):
-                    frame["id"] = frame["id"].astype("Int64")
-                yield frame
-
-    return docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").alias("text")).mapInPandas(cut, schema)
+                        rows.append((doc, s, len(piece) // 4, zlib.crc32(piece), n))
+                        if with_ids:
+                            pieces.append(piece)
+                doc, *numbers = np.array(rows, dtype=np.int64).T.copy()
+                columns = [part.column(0).take(pa.array(doc)), *map(pa.array, numbers)]
+                if with_ids:
+                    offsets = np.concatenate([[0], np.cumsum(numbers[1])]).astype(np.int32)
+                    columns.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(pieces), dtype="<i4"))))
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "start", "length", "ids_crc32", "doc_tokens", "ids"][: len(columns)])
+
+    return docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").alias("text")).mapInArrow(cut, schema)
 
 
 def price(duals: np.ndarray, sizes: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
