@@ -11,7 +11,9 @@ tasks are simply written again.
 
 Reading: files are read whole by Spark's binary reader (one file at a time is in memory, its size
 is bounded by ``FILE_BYTES`` plus one record) and cut by Content-Length, so a payload may hold
-anything, record headers included. Assembly joins the records of a capture through
+anything, record headers included. A file is one gzip stream, so it is read from its start, not sought into.
+The archive is parsed once: its records are written as a table (without the bodies unless asked for), and
+assembly joins the records of a capture from there through
 WARC-Concurrent-To and emits one nested row; revisits find their response by payload digest.
 
 Defined cases: null html is an empty payload; a null id has no page-id field and never wins over
@@ -184,7 +186,9 @@ def assemble(records: DataFrame) -> DataFrame:
 def captures(spark: SparkSession, path: str, with_body: bool = True) -> DataFrame:
     """Assembled captures with ``refers_to``, the page id of the response that a revisit stands for, and
     ``payload_bytes``, the length of the payload read back (for a revisit, that of its response)."""
-    rows = assemble(read_warc(spark, path, with_body))
+    parsed = scratch_path(spark, "warc-records")
+    read_warc(spark, path, with_body).write.parquet(parsed)
+    rows = assemble(spark.read.schema(RECORD).parquet(parsed))
     found = rows.where(F.col("response.kind") == "response").groupBy(F.col("response.digest").alias("d")).agg(
         F.max("metadata.page_id").alias("holder"), F.max("response.payload_length").alias("held")
     )
