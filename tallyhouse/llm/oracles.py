@@ -45,11 +45,28 @@ h AS (
 r AS (SELECT * FROM (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')) v(rh, rp, verdict)),
 best AS (
   SELECT page_id, arg_max(rh || rp, length(rh || rp)) AS rule, arg_max(verdict, length(rh || rp)) AS verdict
-  FROM h JOIN r ON (host = rh OR suffix(host, '.' || rh)) AND starts_with(path, rp) GROUP BY page_id)
+  FROM h JOIN r ON (host = rh OR suffix(host, '.' || rh)) AND starts_with(path, rp) GROUP BY page_id),
+plain AS (
+  SELECT regexp_replace(regexp_replace(url, '#.*$', ''), '^https?:', 'http:') AS url
+  FROM pages JOIN h USING (page_id) WHERE substr(md5(url), 1, 2) < '1a' OR regexp_matches(host, '(^|\.)spam-')),
+urls AS (
+  SELECT page_id, url FROM pages
+  UNION ALL SELECT NULL, url || CASE WHEN contains(url, '?') THEN '&' ELSE '?' END || 'utm_medium=list#listed' FROM plain),
+cut AS (
+  SELECT page_id, substr(url, position('://' IN url) + 3) AS rest,
+    list_sort(list_filter(string_split(regexp_extract(url, '^[^?#]*\?([^#]*)', 1), '&'),
+      lambda p: p <> '' AND NOT regexp_matches(p, '^(utm_[^=&]*|ref|fbclid|gclid)(=|$)'))) AS params
+  FROM urls WHERE position('://' IN url) > 0),
+canon AS (
+  SELECT page_id, regexp_replace(regexp_replace({LOWER.format("regexp_extract(rest, '^[^/?#]*')")}, '^www\.', ''), '\.?(:(80|443))?$', '') AS site,
+    regexp_replace(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '/+$', '')
+      || CASE WHEN len(params) > 0 THEN '?' || array_to_string(params, '&') ELSE '' END AS page
+  FROM cut),
+hit AS (SELECT DISTINCT page_id FROM canon JOIN (SELECT DISTINCT site, page FROM canon WHERE page_id IS NULL AND site <> '') USING (site, page) WHERE page_id IS NOT NULL)
 SELECT h.page_id, h.host, h.path, best.rule,
-  coalesce(best.verdict, CASE WHEN regexp_matches(h.host, '(^|\.)spam-') THEN 'block' ELSE 'allow' END) AS verdict,
-  regexp_matches(h.host, '(^|\.)spam-') AS listed
-FROM h LEFT JOIN best USING (page_id)
+  coalesce(best.verdict, CASE WHEN hit.page_id IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict,
+  hit.page_id IS NOT NULL AS listed
+FROM h LEFT JOIN best USING (page_id) LEFT JOIN hit USING (page_id)
 """
 
 OP6 = """

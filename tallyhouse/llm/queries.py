@@ -44,10 +44,13 @@ def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The list: every URL that a host with a label of the form ``spam-...`` serves in the table."""
+    """The list: URLs of the table picked by their MD5 (a tenth) and those that hosts with a label of the
+    form ``spam-...`` serve, all spelled in another way (scheme, tracking parameter, fragment)."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    listed = pages.where(host_of(F.col("url")).rlike(r"(^|\.)spam-")).select("url")
-    return filter_urls(pages, listed, URL_RULES).select("page_id", "_url.*")
+    picked = (F.substring(F.md5("url"), 1, 2) < "1a") | host_of(F.col("url")).rlike(r"(^|\.)spam-")
+    plain = F.regexp_replace(F.regexp_replace("url", "#.*$", ""), "^https?:", "http:")
+    mark = F.when(plain.contains("?"), "&utm_medium=list#listed").otherwise("?utm_medium=list#listed")
+    return filter_urls(pages, pages.where(picked).select(F.concat(plain, mark).alias("url")), URL_RULES).select("page_id", "_url.*")
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
