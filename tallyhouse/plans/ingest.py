@@ -57,6 +57,9 @@ def _with_fk_flags(batch: DataFrame, refs: dict[str, DataFrame]) -> DataFrame:
             found = present_keys(batch_keys, ref, ref_col, BATCH_KEYS_BROADCAST_ROWS).withColumnRenamed(ref_col, f"_fk_{col}")
             if within_rows(batch_keys, BATCH_KEYS_BROADCAST_ROWS):
                 found = F.broadcast(found)  # no more rows than the batch's distinct keys
+            else:
+                # a map of the task's share of the keys; a merge join would sort the whole batch
+                found = found.hint("shuffle_hash")
         flags = found.withColumn(f"_has_{col}", F.lit(True))
         out = out.join(flags, F.col(col) == F.col(f"_fk_{col}"), "left").drop(f"_fk_{col}")
     return out

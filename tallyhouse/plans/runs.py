@@ -19,7 +19,7 @@ from tallyhouse.operators import normalize, scd2
 from tallyhouse.operators.quality import REASON
 from tallyhouse.plans.warehouse import Warehouse
 from tallyhouse.schemas import SALE_SUBMISSION, conform
-from tallyhouse.session import shared_dir
+from tallyhouse.session import bounded_tasks, shared_dir
 from tallyhouse.sources import tpch
 
 _WAREHOUSES: dict[tuple[str, str, str], Warehouse] = {}
@@ -83,7 +83,7 @@ def warehouse(spark: SparkSession, sf_dir: str, reuse: bool = True) -> Warehouse
         wh.built.update({"staging", "oltp", "star", "address"})
     else:
         # the address table needs only customer and nation: built alongside the sales layers
-        with ThreadPoolExecutor(max_workers=1) as pool:
+        with bounded_tasks(spark, tpch.sales_rows(spark, sf_dir)), ThreadPoolExecutor(max_workers=1) as pool:
             addresses = pool.submit(lambda: wh.build_addresses(tpch.customer_addresses(spark, sf_dir)))
             wh.load_staging(tpch.retail_sales(spark, sf_dir)).build_oltp().build_star()
             addresses.result()
@@ -120,7 +120,8 @@ def sales_submissions(spark: SparkSession, sf_dir: str, wh: Warehouse) -> DataFr
     one-unit price, except for returned lines (flag ``R``), which submit the undiscounted price and
     are therefore rejected whenever their discount is above zero. Landed once per warehouse."""
     if "submissions" not in wh.built:
-        wh._timed("submissions", lambda: wh.write("sales_submissions", _derive_submissions(spark, sf_dir, wh)))
+        with bounded_tasks(spark, tpch.sales_rows(spark, sf_dir)):
+            wh._timed("submissions", lambda: wh.write("sales_submissions", _derive_submissions(spark, sf_dir, wh)))
     return wh.table("sales_submissions")
 
 

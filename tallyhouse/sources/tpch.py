@@ -62,6 +62,11 @@ def customer_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def sales_rows(spark: SparkSession, sf_dir: str) -> int:
+    """Lines of the largest table (a count that reads no column)."""
+    return read_table(spark, sf_dir, "lineitem").count()
+
+
 def retail_sales(spark: SparkSession, sf_dir: str, extra: tuple[str, ...] = ()) -> DataFrame:
     """The staging table ``retail_sales`` (13 columns) derived from lineitem/orders/customer/part.
 
