@@ -199,7 +199,8 @@ class Warehouse:
                     "cum_customer_sales", cum.backfill_customer_sales(sd, self.table("customer")), partition_by=("current_year",)
                 ),
             ))
-            self._write_together(jobs)
+            with store.few_partitions(self.spark):  # a folder a year
+                self._write_together(jobs)
 
         self._timed("cumulative", run)
         return self

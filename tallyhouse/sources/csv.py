@@ -14,6 +14,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from tallyhouse.operators.quality import REASON
 from tallyhouse.schemas import FAKE_CUSTOMER_ADDRESS, FAKE_CUSTOMER_NAMES, RETAIL_SALES
 from tallyhouse.session import scratch_path
+from tallyhouse.sources.tables import few_partitions
 
 CORRUPT = "_corrupt_record"
 
@@ -108,17 +109,19 @@ def load_checked(spark: SparkSession, path: str, schema: StructType, staging_pat
     judged = parsed.withColumn(REASON, line_reason(schema)).withColumn("is_bad", F.col(REASON).isNotNull().cast("int"))
     kept = F.when(F.col("is_bad") == 0, F.struct(*[F.col(f"_row.{f.name}").alias(f.name) for f in schema.fields])).alias("row")
     rejected = [F.when(F.col("is_bad") == 1, F.col(c)).alias(c) for c in (SOURCE_FILE, RAW_LINE, REASON)]
-    judged.select(kept, *rejected, "is_bad").write.mode("overwrite").partitionBy("is_bad").parquet(target)
+    with few_partitions(spark):  # two halves
+        judged.select(kept, *rejected, "is_bad").write.mode("overwrite").partitionBy("is_bad").parquet(target)
     landed = spark.read.parquet(target)
     good = landed.where("is_bad = 0").select("row.*")
     return good, landed.where("is_bad = 1").select(SOURCE_FILE, RAW_LINE, REASON)
 
 
 def write_lines(lines: DataFrame, path: str, header: str, by: str) -> None:
-    """Write the column ``line`` as it stands, one file set per value of ``by``, each file with a header line."""
+    """Write the column ``line`` as it stands, one file set per value of ``by`` (a few), each file with a header line."""
     writer = lines.select(F.col("line").alias(header), by).write.mode("overwrite").option("header", True).option("sep", _NO_CHARACTER)
     writer = writer.option("quote", "").option("escapeQuotes", False).option("ignoreLeadingWhiteSpace", False)
-    writer.option("ignoreTrailingWhiteSpace", False).partitionBy(by).csv(path)
+    with few_partitions(lines.sparkSession):
+        writer.option("ignoreTrailingWhiteSpace", False).partitionBy(by).csv(path)
 
 
 def load_retail_sales(spark: SparkSession, path: str, staging_path: str | None = None) -> tuple[DataFrame, DataFrame]:

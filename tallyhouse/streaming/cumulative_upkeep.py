@@ -63,7 +63,8 @@ class UpkeptTable:
 
     def _write(self, rows: DataFrame, batch_id: int) -> None:
         marked = rows.withColumn(VERSION, F.lit(batch_id).cast("long"))
-        marked.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(self.spec.period_col, VERSION).parquet(self.rows_path)
+        with store.few_partitions(rows.sparkSession):
+            marked.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(self.spec.period_col, VERSION).parquet(self.rows_path)
 
     def _list(self, spark: SparkSession, live: dict, batch_id: int) -> None:
         rows = spark.createDataFrame([(p, v, batch_id) for p, v in live.items()], self.live_schema)

@@ -21,6 +21,31 @@ from conftest import SF_SMALL, rows
 WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
 
 
+def last_write_plan(spark) -> str:
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    runs_ = spark._jsparkSession.sharedState().statusStore().executionsList()
+    plans = [runs_.apply(i).physicalPlanDescription() for i in range(runs_.size())]
+    return [p for p in plans if "InsertIntoHadoopFsRelationCommand" in p][-1]
+
+
+def test_writes_to_few_partitions_are_not_sorted(spark):
+    before = spark.conf.get(WRITERS)
+    path = scratch_path(spark, "feed")
+    lines = spark.range(0, 2000, 1, 4).select(F.concat(F.lit("l,"), F.col("id").cast("string")).alias("line"), (F.col("id") % 3).alias("feed"))
+    csv_source.write_lines(lines, path, "a,b", "feed")
+    assert "Sort" not in last_write_plan(spark)
+    _good, bad = csv_source.load_checked(spark, path, sales_stream.DIM_DATE)
+    assert "Sort" not in last_write_plan(spark)
+    assert bad.count() == 2000
+    assert spark.conf.get(WRITERS) == before
+    target = scratch_path(spark, "many")  # more partitions than are kept open: the rest is sorted, all rows are there
+    with store.few_partitions(spark), store.few_partitions(spark):
+        store.write_table(spark.range(0, 5000, 1, 2).withColumn("p", F.col("id") % (3 * store.OPEN_PARTITIONS)), target, ("p",))
+        assert spark.conf.get(WRITERS) == str(store.OPEN_PARTITIONS)
+    assert spark.conf.get(WRITERS) == before
+    assert rows(spark.read.parquet(target).select("id")) == rows(spark.range(5000))
+
+
 def test_bounded_tasks_follow_the_rows(spark):
     keys = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.files.maxPartitionBytes")
     before = [spark.conf.get(k) for k in keys]
