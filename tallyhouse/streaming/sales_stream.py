@@ -15,6 +15,7 @@ per batch does not grow with the stream's history.
 from __future__ import annotations
 
 import datetime as _dt
+import math
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -34,6 +35,9 @@ MALFORMED = "malformed_line"
 # batch and 42 bits within the batch (512 partitions x 2^33 rows)
 STREAM_IDS, BATCH_BITS, PART_LIMIT = 1 << 62, 42, 512
 
+# rows of one incoming file (about 40 MB of CSV): what a task writes or reads doesn't grow with the feed
+ROWS_PER_FILE = 1_000_000
+
 
 @dataclass
 class SalesStreamTargets:
@@ -73,6 +77,18 @@ def process_batch(
     store.append_table(new_dates, targets.dim_date_path)
 
 
+def deal_files(submissions: DataFrame, path: str, batches: int, rows_per_file: int = ROWS_PER_FILE) -> int:
+    """Write a feed that the stream takes in ``batches`` equal batches; returns the files of a batch.
+
+    The feed is dealt over as many files as keep each at about ``rows_per_file`` rows (the count reads no column).
+    """
+    files = max(1, math.ceil(submissions.count() / (batches * rows_per_file)))
+    # by the row's place: even, and without the sort of all rows that a repartition by number alone does
+    dealt = submissions.withColumn("_place", F.monotonically_increasing_id()).repartition(batches * files, "_place")
+    csv_source.write_csv(dealt.drop("_place"), path)
+    return files
+
+
 def start_sales_stream(
     spark: SparkSession,
     source_dir: str,

@@ -21,6 +21,24 @@ from conftest import SF_SMALL, rows
 WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
 
 
+def test_feed_is_dealt_over_files_of_bounded_size(spark, wh):
+    root = scratch_path(spark, "dealt")
+    subs = runs.sales_submissions(spark, SF_SMALL, wh)
+    n = subs.count()
+    files = sales_stream.deal_files(subs, f"{root}/incoming", 3, rows_per_file=500)
+    assert files == -(-n // 1500) > 1
+    lines = spark.read.option("header", True).csv(f"{root}/incoming")
+    sizes = [r["count"] for r in lines.groupBy(F.input_file_name()).count().collect()]
+    assert sum(sizes) == n and max(sizes) <= 2 * 500
+    targets = sales_stream.SalesStreamTargets(f"{root}/sales", f"{root}/rejected", f"{root}/dim_date", f"{root}/_checkpoint")
+    store.write_table(wh.table("dim_date"), targets.dim_date_path)
+    refs = runs.reference_tables(wh)
+    sales_stream.start_sales_stream(spark, f"{root}/incoming", refs, targets, dt.date(2025, 1, 1), files_per_batch=files).awaitTermination()
+    sales, rejected = (spark.read.parquet(p) for p in (targets.sales_path, targets.rejected_path))
+    assert sales.count() + rejected.count() == n
+    assert {r[0] for r in sales.select(sales_stream.BATCH_COL).distinct().collect()} == {0, 1, 2}
+
+
 def last_write_plan(spark) -> str:
     spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
     runs_ = spark._jsparkSession.sharedState().statusStore().executionsList()
