@@ -19,6 +19,7 @@ Descriptive names (category, region, customer_no) are joined after aggregation,
 from __future__ import annotations
 
 import datetime as _dt
+import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -38,6 +39,7 @@ from tallyhouse.schemas import (
     SALES_STATS,
     conform,
 )
+from tallyhouse.session import ROWS_PER_TASK
 from tallyhouse.sources import tables as store
 
 LOOKUP_BROADCAST_ROWS = 100_000
@@ -51,6 +53,7 @@ class CumulativeSpec:
     period_col: str
     measures: tuple[tuple[str, str], ...]  # (output column, sales_details column summed)
     schema: StructType
+    fine: bool = False  # a cell (keys, period) has a few sales only: combining them before a shuffle saves little
 
 
 PRODUCT_SALES = CumulativeSpec(
@@ -76,6 +79,7 @@ CUSTOMER_PRODUCT_ENGAGE = CumulativeSpec(
     "current_year",
     (("cum_purchase_count", "quantity"), ("cumulative_sales", "amount")),
     CUM_CUSTOMER_PRODUCT_ENGAGE,
+    fine=True,
 )
 CUSTOMER_REVENUE = CumulativeSpec(
     "cum_customer_revenue",
@@ -253,6 +257,24 @@ def expand_periods(grain: str, start: Column, next_active: Column, end) -> Colum
     return F.sequence(start, stop)
 
 
+KEY_BUCKETS, MAX_KEY_SKEW = 64, 2.0
+
+
+def key_spread(sales_details: DataFrame, spec: CumulativeSpec) -> tuple[object, int, float]:
+    """(last period, rows, largest bucket of the keys over the mean one), by one scan that sends a row per bucket and task."""
+    bucket = F.pmod(F.hash(*spec.keys), F.lit(KEY_BUCKETS))
+    found = sales_details.groupBy(bucket).agg(F.count(F.lit(1)).alias("n"), F.max(period_expr(spec.grain)).alias("p")).collect()
+    total = sum(r["n"] for r in found)
+    skew = max((r["n"] for r in found), default=0) * KEY_BUCKETS / total if total else 0.0
+    return max((r["p"] for r in found if r["p"] is not None), default=None), total, skew
+
+
+def by_key(df: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
+    """``df`` shuffled by its keys, to more tasks than the session's shuffle width if ``rows`` need them."""
+    tasks = math.ceil(rows / ROWS_PER_TASK)
+    return df.repartition(tasks, *keys) if tasks > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df.repartition(*keys)
+
+
 def backfill(
     sales_details: DataFrame,
     spec: CumulativeSpec,
@@ -261,10 +283,21 @@ def backfill(
 ) -> DataFrame:
     """The whole cumulative table, every key from its first period to ``end``.
 
+    Sums per (key, period) are combined before the shuffle, then brought together by key: two shuffles. The sales of
+    a ``fine`` table go to their key at once instead, in one; unless some keys hold far more of them than others.
+    Names depend on the keys only and are attached before the periods are filled in.
+
     Equals :func:`run_chain` over all periods (tested).
     """
+    together = False
+    if spec.fine:
+        last, rows, skew = key_spread(sales_details, spec)
+        end, together = end if end is not None else last, skew <= MAX_KEY_SKEW
     end = end if end is not None else last_period(sales_details, spec.grain)
-    per = sales_details.where(up_to(spec.grain, end)).groupBy(*spec.keys, period_expr(spec.grain).alias("_p")).agg(
+    sales = sales_details.where(up_to(spec.grain, end))
+    if together:
+        sales = by_key(sales.select(*spec.keys, "invoice_date", *dict.fromkeys(src for _, src in spec.measures)), spec.keys, rows)
+    per = sales.groupBy(*spec.keys, period_expr(spec.grain).alias("_p")).agg(
         *[F.sum(src).alias(out) for out, src in spec.measures]
     )
     w = Window.partitionBy(*spec.keys).orderBy("_p")
@@ -275,14 +308,10 @@ def backfill(
         F.lead("_p").over(w).alias("_next"),
         *[F.sum(out).over(running).alias(out) for out, _ in spec.measures],
     )
-    expanded = run.select(
-        *spec.keys,
-        F.explode(expand_periods(spec.grain, F.col("_p"), F.col("_next"), end)).alias(spec.period_col),
-        *[out for out, _ in spec.measures],
-    )
     if names is not None:
-        expanded = names(expanded)
-    return conform(expanded, spec.schema)
+        run = names(run)
+    periods = F.explode(expand_periods(spec.grain, F.col("_p"), F.col("_next"), end)).alias(spec.period_col)
+    return conform(run.select(*[c for c in run.columns if c not in ("_p", "_next")], periods), spec.schema)
 
 
 def backfill_sparse(sales_details: DataFrame, spec: CumulativeSpec) -> DataFrame:

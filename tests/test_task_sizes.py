@@ -64,6 +64,29 @@ def test_writes_to_few_partitions_are_not_sorted(spark):
     assert rows(spark.read.parquet(target).select("id")) == rows(spark.range(5000))
 
 
+@pytest.mark.parametrize("hot", [False, True])
+def test_fine_table_is_shuffled_once_unless_a_key_is_hot(spark, hot):
+    i = F.col("id")
+    customer = F.when(i % 3 == 0, F.lit(1)).otherwise(i % 1999) if hot else i % 1999
+    sales = conform(spark.range(0, 20_000, 1, 4).select(
+        i.alias("sales_id"), customer.alias("customer_id"), (i % 4 + 1).alias("category_id"), F.lit(1).alias("payment_method_id"), F.lit(1).alias("region_id"),
+        F.lit("2.00").alias("unit_price"), (i % 5 + 1).alias("quantity"), F.lit("0.10").alias("discount"), (i % 97 / 4).alias("amount"),
+        F.date_add(F.lit(dt.date(2020, 1, 1)), (i % 1500).cast("int")).alias("invoice_date"),
+    ), SALES_DETAILS)
+    spec = cum.CUSTOMER_PRODUCT_ENGAGE
+    category = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "category_id int, category string")  # 4 has no name
+    names = cum.name_joiner(category)
+    table = cum.backfill(sales, spec, names)
+    assert table._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == (2 if hot else 1)
+    assert rows(table) == rows(cum.backfill(sales, replace(spec, fine=False), names))
+
+
+def test_by_key_gives_more_tasks_for_more_rows(spark):
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df = spark.range(100).withColumnRenamed("id", "k")
+    assert cum.by_key(df, ["k"], (width + 3) * ROWS_PER_TASK).rdd.getNumPartitions() == width + 3
+
+
 def test_bounded_tasks_follow_the_rows(spark):
     keys = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.files.maxPartitionBytes")
     before = [spark.conf.get(k) for k in keys]
